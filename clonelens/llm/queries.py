@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import media, mixing, sharding, warc
+from . import decontaminate, media, mixing, pfor, sharding, warc
 
 
 def queries() -> dict:
     return {
+        "op3_token_blocks": pfor.op3_token_blocks,
+        "op6_decontamination": decontaminate.op6_decontamination,
         "op7_mixing": mixing.op7_mixing,
         "op8_sharding": sharding.op8_sharding,
         "op9_warc": warc.op9_warc,
