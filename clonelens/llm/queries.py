@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, media, mixing, pfor, sharding, warc
+from . import chat, decontaminate, media, mixing, pfor, secrets, sharding, warc
 
 
 def queries() -> dict:
     return {
+        "op2_secrets": secrets.op2_secrets,
+        "op4_chat": chat.op4_chat,
         "op3_token_blocks": pfor.op3_token_blocks,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_mixing": mixing.op7_mixing,
@@ -17,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_sharding": sharding.OP8_SQL, "op9_warc": warc.OP9_SQL}
+    return {"op2_secrets": secrets.OP2_SQL, "op8_sharding": sharding.OP8_SQL, "op9_warc": warc.OP9_SQL}
