@@ -40,7 +40,9 @@ def mark_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     keys = small.where(F.col("payload_bytes") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("newest"), F.count("*").alias("n")).where("n > 1")
     keys = keys.select("digest", "newest", F.explode(F.expr("sequence(0L, 15L)")).alias("salt"))
     tied = small.where(F.col("payload_bytes") >= min_bytes).join(keys, ["digest", "salt"]).where(F.col("page_id") < F.col("newest"))
-    tied = tied.select(F.col("page_id").alias("old_id"), F.col("digest").alias("old_digest"), "newest").distinct().repartition(n, "old_id")
+    tied = tied.select(F.col("page_id").alias("old_id"), F.col("digest").alias("old_digest"), "newest").distinct()
+    # Written first, so that the plan below knows its size and deals the texts once only.
+    tied = materialize(tied, "tied").repartition(n, "old_id")
     joined = base.repartition(n, "page_id").join(tied, (F.col("page_id") == F.col("old_id")) & (F.col("digest") == F.col("old_digest")), "left")
     return joined.select("page_id", "url", "html", "payload_bytes", "digest", F.col("newest").alias("refers_to"))
 
