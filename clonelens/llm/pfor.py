@@ -19,46 +19,53 @@ their text; an empty table gives no segment and no row; other columns are ignore
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from itertools import chain, islice
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, shared_path, table, text_of
+from .words import buffers, chunks
 
 BLOCK = 128
 PERCENTILE = 0.98
 SEGMENT_IDS = 1 << 20
+ENCODE_BYTES = 8 << 20
 END_ID = 0
-MEMO = 300_000
+MEMO = 1_000_000
+_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 _HEAD = struct.Struct("<4sIQIIB")
 
 
 def pack(ids: np.ndarray, percentile: float = PERCENTILE):
     """(mins, widths, exception counts, starts, exception positions, exception values, packed words) of ``ids``."""
     n = -(-len(ids) // BLOCK)
-    v = np.empty(n * BLOCK, np.uint64)
+    v = np.empty(n * BLOCK, np.uint32)
     v[: len(ids)] = ids
     v[len(ids) :] = ids[-1] if len(ids) else 0
     v = v.reshape(n, BLOCK)
     mins = v.min(1, initial=(1 << 32) - 1)
     d = v - mins[:, None]
     k = min(BLOCK - 1, int(percentile * BLOCK))
-    at = np.partition(d, k, axis=1)[:, k] if n else np.zeros(0, np.uint64)
-    widths = np.ceil(np.log2(at.astype(np.float64) + 1)).astype(np.uint8)
-    out = d >= (np.uint64(1) << widths.astype(np.uint64))[:, None]
-    where, positions = np.nonzero(out)
-    values = v[where, positions].astype(np.uint32)
-    d[out] = 0
+    # Bit lengths are few, so their counts in each block give the percentile without sorting.
+    lengths = _BITS[d] if n and d.max() < len(_BITS) else np.frexp(d.astype(np.float64))[1].astype(np.uint8)
+    counts = np.bincount((np.arange(n)[:, None] * 33 + lengths).ravel(), minlength=33 * n).reshape(n, 33)
+    widths = (np.cumsum(counts, axis=1) <= k).sum(1).astype(np.uint8)
+    limits = ((np.uint64(1) << widths.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
+    where, positions = np.divmod(np.flatnonzero(d > limits[:, None]), BLOCK)
+    values = v[where, positions]
+    d[where, positions] = 0
     starts = np.concatenate([[0], np.cumsum(2 * widths.astype(np.int64))])
     words = np.zeros(starts[-1], np.uint64)
     for w in np.unique(widths).tolist():
         if not w:
             continue
         rows = np.flatnonzero(widths == w)
-        t = np.ascontiguousarray(d[rows].T)
+        t = np.ascontiguousarray(d[rows].T).astype(np.uint64)
         p = np.zeros((2 * w, len(rows)), np.uint64)
         for i in range(BLOCK):
             word, off = divmod(i * w, 64)
@@ -131,8 +138,8 @@ class Segment:
 
 
 class _Memo(dict):
-    def __init__(self):
-        super().__init__()
+    def __init__(self, *known):
+        super().__init__(*known)
         self.new: list[str] = []
 
     def __missing__(self, key):
@@ -141,12 +148,18 @@ class _Memo(dict):
         return i
 
 
+BARE = "\n\n"  # marks a piece without a blank before it; no plain text holds it
+WHOLE = "\n\n\x00"  # stands for a text that is encoded as a whole
+MARKS = frozenset(".,;:!?")
+_ODD = "^$|^ | $|\n$|^\n|  | \n|\n |\n\n|[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 class Encoder:
     """Byte-level BPE of whole texts through the tokenizers library, with a table of words met before.
 
-    The library's pre-tokenizer always starts a piece at a blank before a non-blank and at a single line end, and merges
-    stay inside pieces. So a text whose white space is single blanks and line ends between words equals the sequence of
-    its words' encodings; any other text is encoded as a whole.
+    The library's pre-tokenizer always starts a piece at a blank before a non-blank, at a single line end and at a mark
+    after a letter, and merges stay inside pieces. So a text whose white space is single blanks and line ends between
+    words equals the sequence of its words' encodings; any other text is encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -154,53 +167,109 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.reset()
-
-    def reset(self):
-        self.memo = _Memo()
-        self.memo[""] = 0
+        self.memo = _Memo({"": 0})
         self.flat, self.start, self.length = np.array([END_ID], np.uint32), np.array([0]), np.array([1])
 
-    def _add(self, encodings):
-        lists = [e.ids for e in encodings]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for x in lists for i in x), np.uint32, int(lengths.sum()))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.length = np.concatenate([self.length, lengths])
+    def _learn(self, known: int, whole: list[str]):
+        """Fill the table for the keys that the memo got since it had ``known``."""
+        memo = self.memo
+        get, pairs = memo.__getitem__, []
+
+        def parts(test, first, second):
+            """Keys that ``test`` picks from the new ones are pairs of keys; what this adds to the memo is new as well."""
+            at, new = known, memo.new
+            while new:
+                memo.new = []
+                hits = np.flatnonzero(np.fromiter(map(test, new), bool, len(new)))
+                some = [new[i] for i in hits.tolist()]
+                found.append(new)
+                pairs.append((hits + at, np.fromiter(map(get, map(first, some)), np.int64, len(some)), np.fromiter(map(get, map(second, some)), np.int64, len(some))))
+                at, new = at + len(new), memo.new
+
+        # A mark after a letter, and a line end before a word, are pieces of their own.
+        found: list[list[str]] = []
+        parts(lambda x: x[-1] in MARKS and x[-2:-1].isalpha(), lambda x: x[:-1], lambda x: BARE + x[-1])
+        marked, pairs, memo.new = pairs, [], list(chain.from_iterable(found))
+        found = []
+        parts(lambda x: x[0] == "\n" and x[1:].isalpha(), lambda x: BARE + "\n", lambda x: BARE + x[1:])
+        lined, new = pairs, list(chain.from_iterable(found))
+        memo.new = []
+        pairs = [tuple(np.concatenate(c) for c in zip(*kind, strict=True)) for kind in (lined, marked)]
+        rest = np.ones(len(new), bool)
+        for at, _, _ in pairs:
+            rest[at - known] = False
+        rest = np.flatnonzero(rest)
+        words = [new[i] for i in rest.tolist()]
+        # Words of letters alone go to the library in one text, of which the encoding says which word an id is of.
+        blank = np.fromiter(map(str.isalpha, words), bool, len(words))
+        bare = np.fromiter((x[:2] == BARE and x[2:].isalpha() for x in words), bool, len(words))
+        at, flats, counts = [], [], []
+        for mask, cut, lead, gap, step in ((blank, 0, " ", " ", 1), (bare, 2, "", "\n", 2)):
+            own = np.flatnonzero(mask)
+            at.append(rest[own])
+            for a in range(0, len(own), 1000):
+                part = [words[i][cut:] for i in own[a : a + 1000].tolist()]
+                e = self.tok.encode(lead + gap.join(part), add_special_tokens=False)
+                of = np.array(e.word_ids, np.int64)
+                flats.append(np.array(e.ids, np.uint32)[of % step == 0])
+                counts.append(np.bincount(of, minlength=step * len(part))[::step][: len(part)])
+        own = np.flatnonzero(~(blank | bare))
+        at.append(rest[own])
+        other = [words[i] for i in own.tolist()]
+        raw = [whole[int(x[3:])] if x[:3] == WHOLE else x[2:] if x[:2] == BARE else x if x[:1] == "\n" else " " + x for x in other]
+        lists = [e.ids for e in self.tok.encode_batch(raw, add_special_tokens=False)] if raw else []
+        counts.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+        flats.append(np.fromiter(chain.from_iterable(lists), np.uint32, int(counts[-1].sum())))
+        flat, lengths, at = np.concatenate(flats), np.concatenate(counts).astype(np.int64), np.concatenate(at) + known
+        more = np.zeros(len(memo) - known, np.int64)
+        self.start, self.length = start, length = np.concatenate([self.start, more]), np.concatenate([self.length, more])
+        start[at], length[at] = len(self.flat) + np.cumsum(lengths) - lengths, lengths
         self.flat = np.concatenate([self.flat, flat])
+        for at, one, two in pairs:
+            length[at] = length[one] + length[two]
+            start[at] = len(self.flat) + np.cumsum(length[at]) - length[at]
+            both = np.stack([one, two], 1).ravel()
+            self.flat = np.concatenate([self.flat, self._gather(start[both], length[both])])
+
+    def _gather(self, start, length):
+        ends = np.cumsum(length)
+        return self.flat[np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def _keep(self, n: int):
+        """Forget all but the ``n`` first words, which are mostly the frequent ones."""
+        self.memo = _Memo(islice(self.memo.items(), n))
+        self.flat = self._gather(self.start[:n], self.length[:n])
+        self.length = self.length[:n]
+        self.start = np.cumsum(self.length) - self.length
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of an Arrow array of texts, each text's followed by END_ID, and the number of ids of each text."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by END_ID, and the number of ids of each text."""
         if len(self.memo) > MEMO:
-            self.reset()
-        memo, pieces, counts, whole = self.memo, [], [], []
-        for t in texts:
-            if " ".join(t.split()) == t.replace("\n", " ") and t and not any(s in t for s in self.special):
-                some = t.replace("\n", " \n").split(" ")
-                some[0] = "\n\n" + some[0]
-                pieces += some
-                counts.append(len(some) + 1)
-            else:
-                pieces.append(("whole", len(whole)))
-                whole.append(t)
-                counts.append(2)
-            pieces.append("")
-        known = len(memo)
-        index = np.fromiter(map(memo.__getitem__, pieces), np.int64, len(pieces))
-        # As the library is given them: the first word of a text bare, after a line end with it, others with their blank.
-        new, memo.new = memo.new, []
-        as_is = [x if isinstance(x, tuple) else x[2:] if x[:2] == "\n\n" else x if x[:1] == "\n" else " " + x for x in new]
-        self._add(self.tok.encode_batch([whole[x[1]] if isinstance(x, tuple) else x for x in as_is], add_special_tokens=False))
+            self._keep(MEMO // 2)
+        odd = pc.match_substring_regex(texts, _ODD)
+        for s in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, s))
+        at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        whole, known = texts.take(pa.array(at)).to_pylist(), len(self.memo)
+        marked = pc.binary_join_element_wise(BARE, pc.replace_substring(texts, "\n", " \n"), " ", "")
+        if whole:
+            marked = pc.replace_with_mask(marked, odd, pa.array([f"{WHOLE}{i} " for i in range(len(whole))], marked.type))
+        pieces = pc.split_pattern(marked, " ")
+        counts = pc.list_value_length(pieces).to_numpy().astype(np.int64)
+        coded = pieces.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        index = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+        if self.memo.new:
+            self._learn(known, whole)
+        index = index[coded.indices.to_numpy()]
         lengths = self.length[index]
-        ends = np.cumsum(lengths)
-        ids = self.flat[np.repeat(self.start[index] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
-        edges = np.cumsum(counts) - counts
-        per = np.add.reduceat(lengths, edges) if len(counts) else np.zeros(0, np.int64)
+        ids = self._gather(self.start[index], lengths)
+        per = np.add.reduceat(lengths, np.cumsum(counts) - counts) if len(counts) else np.zeros(0, np.int64)
         if whole:
-            for k in [k for k in new if isinstance(k, tuple)]:
-                del memo[k]
-            if len(memo) != known + len(new):
-                self.reset()
+            self._keep(known)
         return ids, per
 
 
@@ -240,18 +309,12 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id"
 
         for b in batches:
             col, names = b.column("text"), b.column("id").to_pylist()
-            a = 0
-            while a < len(names):
-                e, size = a, 0
-                while e < len(names) and (e == a or size < 1 << 20):
-                    size += col[e].as_buffer().size
-                    e += 1
-                some, per = enc.encode(col.slice(a, e - a).to_pylist())
+            for a, e in chunks(buffers(col)[1], ENCODE_BYTES):
+                some, per = enc.encode(col.slice(a, e - a))
                 keys += names[a:e]
                 lengths.append(per)
                 ids.append(some)
                 n += len(some)
-                a = e
                 if n >= segment_ids:
                     yield segment()
                     keys, lengths, ids, n, seq = [], [], [], 0, seq + 1

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import edge_docs, no_docs
 from hypothesis import given, settings
@@ -40,7 +41,7 @@ def plain(texts):
 def test_encoder_equals_library(texts):
     enc = pfor.encoder(pfor.token_file())
     for _ in range(2):
-        ids, per = enc.encode(texts)
+        ids, per = enc.encode(pa.array(texts, pa.string()))
         ends = np.cumsum(per)
         assert [ids[e - n : e].tolist() for e, n in zip(ends, per, strict=True)] == plain(texts)
 
