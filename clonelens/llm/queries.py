@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, media, mixing, pfor, secrets, sharding, warc
+from . import chat, decontaminate, media, mixing, pfor, secrets, sharding, toxicity, warc
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op2_secrets": secrets.op2_secrets,
         "op4_chat": chat.op4_chat,
         "op3_token_blocks": pfor.op3_token_blocks,

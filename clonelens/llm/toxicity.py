@@ -1,14 +1,14 @@
 """Toxicity by a subsequence string kernel, Nyström landmarks and a linear support vector machine.
 
-A text is cut into units: its blank-separated tokens without punctuation, accents and digit spellings folded to letters,
-and runs of single characters joined, so that spaced, punctuated and inserted-character insults stay comparable. Two
+A text is cut into units: its blank-separated tokens without punctuation, digit spellings folded to letters, and
+runs of single characters joined, so that spaced, punctuated and inserted-character insults stay comparable. Two
 units are compared by the gap-weighted subsequence kernel of ORDER letters within a span of SPAN, normalised. Landmarks
 from the training sentences span the Nyström feature space; the machine is linear there. Since each landmark's kernel is
 a sum over subsequences, machine and landmarks together are one weight a subsequence, which is how texts are scored.
 
 A labelled sentence of a toxic text need not hold the insult, so training follows multiple instances: the units of clean
-sentences are negative, and of a toxic text's units the most telling ones, by the counts of sentences of either label
-that hold them, are positive. A text's score is a logistic function of its largest unit margins.
+sentences are negative, and of a toxic text's units the most telling ones, by the counts of distinct sentences of either
+label that hold them, are positive. A text's score is a logistic function of its largest unit margins.
 
 Training reads at most ROWS_A_CLASS labelled rows of each class; every text is scored whole.
 
@@ -20,7 +20,6 @@ repeated rows give a row each; an empty table gives no rows; other columns are i
 from __future__ import annotations
 
 import re
-import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,9 +29,11 @@ from pyspark.sql import functions as F
 from .common import materialize, table, text_of
 
 ROWS_A_CLASS = 2000
-LANDMARKS = 96
+LANDMARKS = 400
 POSITIVES, NEGATIVES = 600, 6000
 LEAST_TOXIC = 3
+FALSE_UNITS = 0.01  # units that chance alone may make telling
+RIDGE, COST = 1e-2, 1.0
 SPAN, DECAY = 6, 0.6
 ORDER = 3
 LONGEST, STRIDE = 24, 16
@@ -52,8 +53,8 @@ def _symbols() -> np.ndarray:
     out = np.zeros(0x250, np.uint8)
     for cp in range(0x250):
         c = chr(cp).lower()
-        base = _WRITTEN_FOR.get(c) or unicodedata.normalize("NFD", c)[0]
-        out[cp] = ord(base) - 96 if "a" <= base <= "z" else 27 + cp % 5 if c.isalnum() else 0
+        base = _WRITTEN_FOR.get(c, c)
+        out[cp] = ord(base) - 96 if "a" <= base <= "z" and len(base) == 1 else 27 + cp % 5 if c.isalnum() else 0
     return out
 
 
@@ -213,28 +214,43 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
 
 def fit_units(stats: list[tuple[str, int, int]], n_toxic: int, n_clean: int, landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
     """Weights by subsequence and bias from (unit, toxic sentences, clean sentences)."""
-    odds = lambda t, c: np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1))
-    ranked = sorted(((odds(t, c), t, u) for u, t, c in stats if t >= LEAST_TOXIC and odds(t, c) > 2.5), reverse=True)
-    pos = [u for _, _, u in sorted(ranked, key=lambda r: (-r[1], r[2]))[:POSITIVES]]
+    # A unit counts as telling if chance would rarely give so many toxic sentences among those that hold it.
+    share = (n_toxic + 1) / (n_toxic + n_clean + 2)
+    chance = lambda t, c: t * np.log(t / (t + c) / share) + (c * np.log(c / (t + c) / (1 - share)) if c else 0)
+    limit = np.log(len(stats) / FALSE_UNITS)
+    ranked = [(t, u) for u, t, c in stats if t >= LEAST_TOXIC and t / (t + c) > share and chance(t, c) > limit and t >= 0.9 * (t + c)]
+    pos = [u for _, u in sorted(ranked, key=lambda r: (-r[0], r[1]))[:POSITIVES]]
     counts = {u: t for u, t, _ in stats}
     known = set(pos)
-    neg = [u for u, t, c in sorted(stats, key=lambda r: (-r[2], r[0])) if c and u not in known][:NEGATIVES]
+    neg = [u for u, t, c in sorted(stats, key=lambda r: (-r[2], r[0])) if c and u not in known]
+    # Frequent clean units and an even pick of the rarer ones.
+    neg = neg[:NEGATIVES] + neg[NEGATIVES :: max(1, (len(neg) - NEGATIVES) // NEGATIVES)]
     if not pos or not neg:
         return np.zeros(32**ORDER, np.float32), 0.0
-    half = landmarks // 2
-    chosen = pos[:half] + neg[: landmarks - min(half, len(pos))]
-    lm, _ = units_matrix([u[:LONGEST] for u in chosen])
     rows, owner = units_matrix(pos + neg)
     y = np.where(owner < len(pos), 1.0, -1.0)
-    k_ll = kernel(lm, lm)
-    value, vector = np.linalg.eigh((k_ll + k_ll.T) / 2)
-    root = (vector / np.sqrt(np.maximum(value, 1e-6))) @ vector.T
-    x = kernel(rows, lm) @ root
     seen = np.array([counts[u] for u in pos], float)
-    c = np.where(y > 0, 10.0 * (len(neg) / len(pos)), 10.0)
+    c = np.where(y > 0, len(neg) / len(pos), 1.0) * COST
     c[y > 0] *= (seen / seen.mean())[owner[y > 0]] ** 0.5
-    w = svm(x, y, c)
-    return (expand(lm).T @ (root @ w[:-1])).astype(np.float32), float(w[-1])
+    quarter = landmarks // 4
+    chosen = pos[: 2 * quarter] + neg[:quarter]
+    x = np.zeros((len(rows), 0))
+    dense = np.zeros((0, 32**ORDER), np.float32)
+    # The last quarter of the landmarks are the clean units that a first machine takes for toxic.
+    for more in (chosen, None):
+        if more is None:
+            margin = np.full(len(neg), -np.inf)
+            np.maximum.at(margin, owner[y < 0] - len(pos), (x @ root @ w[:-1])[y < 0])
+            more = [neg[i] for i in np.argsort(-margin, kind="stable")[:quarter] if neg[i] not in chosen]
+            if not more:
+                break
+        lm, _ = units_matrix([u[:LONGEST] for u in more])
+        x = np.hstack([x, kernel(rows, lm)])
+        dense = np.vstack([dense, expand(lm)])
+        value, vector = np.linalg.eigh((dense @ dense.T).astype(np.float64))
+        root = (vector / np.sqrt(np.maximum(value, RIDGE))) @ vector.T
+        w = svm(x @ root, y, c)
+    return (dense.T @ (root @ w[:-1])).astype(np.float32), float(w[-1])
 
 
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -249,25 +265,33 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = docs.select(F.col(id_col).alias("l_id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), "l_id")
     sample = materialize(sample.groupBy("l_id", "y").agg(F.max("text").alias("text")), "labelled")
 
-    def sentences(batches):
+    def split(batches):
         import pyarrow as pa
 
         for b in batches:
-            unit, label = [], []
             for text, y in zip(b.column("text"), b.column("y").to_pylist(), strict=True):
-                for s in _SENTENCE.split(text.as_py()):
-                    some = tokens_of(s)
-                    if some:
-                        unit += some
-                        unit.append("")
-                        label += [y] * (len(some) + 1)
+                some = list({x for x in _SENTENCE.split(text.as_py()) if x.strip()})
+                if some:
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([y] * len(some), pa.int32())], ["sentence", "y"])
+
+    def units(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            unit, label = [], []
+            for s, y in zip(b.column("sentence").to_pylist(), b.column("y").to_pylist(), strict=True):
+                some = tokens_of(s)
+                unit += [*some, ""]
+                label += [y] * (len(some) + 1)
             m, owner = units_matrix(unit)
             letters = ["".join(chr(96 + v) for v in r if v) for r in m]
             names = ["" if not unit[k] else x or "?" for x, k in zip(letters, owner.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([label[k] for k in owner.tolist()], pa.int32())], ["unit", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([label[k] for k in owner.tolist()], pa.int32())], ["unit", "y"])
 
+    # A sentence that copies repeat counts once; one of both labels is clean.
+    sentences = sample.mapInArrow(split, "sentence string, y int").groupBy("sentence").agg(F.min("y").alias("y"))
     # A unit of symbols 1 to 31 reads as the characters from "a" on; the empty unit counts sentences.
-    counted = sample.mapInArrow(sentences, "unit string, y int").groupBy("unit").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
+    counted = sentences.mapInArrow(units, "unit string, y int").groupBy("unit").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
     counted = materialize(counted, "units")
     totals = counted.where("unit = ''").first()
     n1, n0 = sample.agg(F.sum("y"), F.sum(1 - F.col("y"))).first()
@@ -275,7 +299,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model(None, 0.0, None, (n1 or 0) / ((n1 or 0) + (n0 or 0)) if n1 else 0.0)
     some = counted.where("unit not in ('', '?')")
     top = some.where(F.col("t") >= LEAST_TOXIC).orderBy(((F.col("t") + 0.5) / (F.col("c") + 0.5)).desc(), F.col("t").desc(), "unit").limit(4 * POSITIVES)
-    low = some.where("c > 0").orderBy(F.col("c").desc(), "unit").limit(NEGATIVES + POSITIVES)
+    low = some.where("c > 0").orderBy(F.col("c").desc(), F.xxhash64("unit")).limit(2 * NEGATIVES)
     stats = {r.unit: (int(r.t), int(r.c)) for r in [*top.collect(), *low.collect()]}
     rewrite = str.maketrans({chr(96 + 27 + k): chr(0x250 + (k - 0x250 % 5) % 5) for k in range(5)})
     weights, bias = fit_units([(u.translate(rewrite), *v) for u, v in stats.items()], int(totals.t), int(totals.c))
