@@ -76,9 +76,10 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
         if state.where(F.col("up").isNotNull()).isEmpty() or 1 << (len(jumps) - 1) > n:
             break
         above = state.select(F.col("id").alias("a_id"), F.col("up").alias("a_up"), F.col("steps").alias("a_steps"), F.col("total").alias("a_total"))
-        state = materialize(
-            state.join(above, F.col("up") == F.col("a_id"), "left").select("tree", "id", F.col("a_up").alias("up"), (F.col("steps") + F.coalesce("a_steps", F.lit(0))).alias("steps"), (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total")), "jump"
-        )
+        # Only messages whose pointer has not passed the root yet are joined again.
+        going = state.where(F.col("up").isNotNull()).join(above, F.col("up") == F.col("a_id"))
+        going = going.select("tree", "id", F.col("a_up").alias("up"), (F.col("steps") + F.col("a_steps")).alias("steps"), (F.col("total") + F.col("a_total")).alias("total"))
+        state = materialize(state.where(F.col("up").isNull()).unionByName(going), "jump")
     rooted = state.where(F.col("up").isNull())
     leaves = rooted.join(nodes.select(F.col("parent").alias("has_child")).distinct(), F.col("id") == F.col("has_child"), "left_anti")
     order = Window.partitionBy("tree").orderBy(F.col("total").desc(), F.col("steps").desc(), "id")
