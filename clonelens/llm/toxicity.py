@@ -32,7 +32,10 @@ ROWS_A_CLASS = 2000
 LANDMARKS = 400
 POSITIVES, NEGATIVES = 600, 6000
 LEAST_TOXIC = 3
-FALSE_UNITS = 0.01  # units that chance alone may make telling
+FALSE_STEMS = 0.01  # stems that chance alone may make telling
+STEM = (4, 5, 6, 7)
+FIRST = "`"
+STEM_MARK = "\t"
 RIDGE, COST = 1e-2, 1.0
 SPAN, DECAY = 6, 0.6
 ORDER = 3
@@ -212,14 +215,24 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     return w
 
 
-def fit_units(stats: list[tuple[str, int, int]], n_toxic: int, n_clean: int, landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
-    """Weights by subsequence and bias from (unit, toxic sentences, clean sentences)."""
-    # A unit counts as telling if chance would rarely give so many toxic sentences among those that hold it.
+def telling(stats: list[tuple[str, int, int]], n_toxic: int, n_clean: int, tried: int) -> list[str]:
+    """Stems that chance would rarely give so many toxic sentences among those that hold them, given that ``tried`` stems are looked at."""
     share = (n_toxic + 1) / (n_toxic + n_clean + 2)
     chance = lambda t, c: t * np.log(t / (t + c) / share) + (c * np.log(c / (t + c) / (1 - share)) if c else 0)
-    limit = np.log(len(stats) / FALSE_UNITS)
-    ranked = [(t, u) for u, t, c in stats if t >= LEAST_TOXIC and t / (t + c) > share and chance(t, c) > limit and t >= 0.9 * (t + c)]
-    pos = [u for _, u in sorted(ranked, key=lambda r: (-r[0], r[1]))[:POSITIVES]]
+    limit = np.log(max(1, tried) / FALSE_STEMS)
+    return [u for u, t, c in stats if t >= LEAST_TOXIC and t >= 0.8 * (t + c) and chance(t, c) > limit]
+
+
+def stems_of(unit: str) -> set[str]:
+    """The substrings of STEM characters, a mark before the unit counting as one, and the unit itself."""
+    unit = FIRST + unit
+    return {unit[i : i + n] for n in STEM for i in range(len(unit) - n + 1)} | {unit}
+
+
+def fit_units(stats: list[tuple[str, int, int]], stems: list[str], landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
+    """Weights by subsequence and bias from (unit, toxic sentences, clean sentences) and the stems of toxic units."""
+    own = [(t, u) for u, t, c in stats if t >= 0.9 * (t + c) and any(x in FIRST + u for x in stems)]
+    pos = [u for _, u in sorted(own, key=lambda r: (-r[0], r[1]))[:POSITIVES]]
     counts = {u: t for u, t, _ in stats}
     known = set(pos)
     neg = [u for u, t, c in sorted(stats, key=lambda r: (-r[2], r[0])) if c and u not in known]
@@ -285,24 +298,37 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 label += [y] * (len(some) + 1)
             m, owner = units_matrix(unit)
             letters = ["".join(chr(96 + v) for v in r if v) for r in m]
-            names = ["" if not unit[k] else x or "?" for x, k in zip(letters, owner.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([label[k] for k in owner.tolist()], pa.int32())], ["unit", "y"])
+            names, ys = [], []
+            held: set[str] = set()
+            for x, k in zip(letters, owner.tolist(), strict=True):
+                if unit[k]:
+                    held |= {STEM_MARK + g for g in stems_of(x)} | {x} if x else set()
+                else:  # the end of a sentence
+                    names += [*held, ""]
+                    ys += [label[k]] * (len(held) + 1)
+                    held = set()
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(ys, pa.int32())], ["unit", "y"])
 
     # A sentence that copies repeat counts once; one of both labels is clean.
     sentences = sample.mapInArrow(split, "sentence string, y int").groupBy("sentence").agg(F.min("y").alias("y"))
-    # A unit of symbols 1 to 31 reads as the characters from "a" on; the empty unit counts sentences.
+    # A unit reads as the characters from "a" on, its stems follow a mark; the empty unit counts sentences.
     counted = sentences.mapInArrow(units, "unit string, y int").groupBy("unit").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
     counted = materialize(counted, "units")
     totals = counted.where("unit = ''").first()
     n1, n0 = sample.agg(F.sum("y"), F.sum(1 - F.col("y"))).first()
     if not n1 or not n0 or totals is None:
         return Model(None, 0.0, None, (n1 or 0) / ((n1 or 0) + (n0 or 0)) if n1 else 0.0)
-    some = counted.where("unit not in ('', '?')")
-    top = some.where(F.col("t") >= LEAST_TOXIC).orderBy(((F.col("t") + 0.5) / (F.col("c") + 0.5)).desc(), F.col("t").desc(), "unit").limit(4 * POSITIVES)
+    stem_rows = counted.where(F.col("unit").startswith(STEM_MARK)).select(F.expr("substring(unit, 2)").alias("unit"), "t", "c")
+    best = stem_rows.where(F.col("t") >= LEAST_TOXIC).orderBy(((F.col("t") + 0.5) / (F.col("c") + 0.5)).desc(), F.col("t").desc(), "unit").limit(4 * POSITIVES)
+    stems = telling([(r.unit, int(r.t), int(r.c)) for r in best.collect()], int(totals.t), int(totals.c), stem_rows.count())
+    some = counted.where((F.col("unit") != "") & ~F.col("unit").startswith(STEM_MARK))
+    own = some.where(F.concat(F.lit(FIRST), "unit").rlike("|".join(re.escape(x) for x in stems))) if stems else some.limit(0)
+    top = own.where(F.col("t") > 0).orderBy(F.col("t").desc(), F.col("c"), "unit").limit(4 * POSITIVES)
     low = some.where("c > 0").orderBy(F.col("c").desc(), F.xxhash64("unit")).limit(2 * NEGATIVES)
     stats = {r.unit: (int(r.t), int(r.c)) for r in [*top.collect(), *low.collect()]}
-    rewrite = str.maketrans({chr(96 + 27 + k): chr(0x250 + (k - 0x250 % 5) % 5) for k in range(5)})
-    weights, bias = fit_units([(u.translate(rewrite), *v) for u, v in stats.items()], int(totals.t), int(totals.c))
+    # Symbols 27 to 31 read as the characters after "z"; written back as letters of these symbols.
+    rewrite = str.maketrans({chr(96 + 27 + k): chr(0x250 + (k - 2) % 5) for k in range(5)})
+    weights, bias = fit_units([(u.translate(rewrite), *v) for u, v in stats.items()], [x.translate(rewrite) for x in stems])
     model = Model(weights, bias, None, 0.0)
     margins = score_rows(sample.select("l_id", "y", "text"), model, ("l_id", "y")).select("y", "top").collect()
     model.logistic = logistic(np.array([r.top for r in margins]), np.array([r.y for r in margins], float))
