@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, media, mixing, pfor, secrets, sharding, toxicity, warc
+from . import chat, decontaminate, media, mixing, ngram_join, pfor, secrets, sharding, toxicity, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_secrets": secrets.op2_secrets,
         "op4_chat": chat.op4_chat,
         "op3_token_blocks": pfor.op3_token_blocks,
+        "op5_ngram_join": ngram_join.op5_ngram_join,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_mixing": mixing.op7_mixing,
         "op8_sharding": sharding.op8_sharding,
