@@ -8,8 +8,8 @@ many text lanes at once. Items are sent in blocks of ITEM_BYTES, so what is broa
 mean more passes over the texts in the same stage.
 
 Defined results: a null or wordless text has no words and no hits; items without words are ignored; a null item id
-reads as the empty string; repeated rows give a row each; empty tables give no rows or no hits; other columns are
-passed through only where ``keep`` names them.
+reads as the empty string; repeated rows give a row each; empty tables give no rows or no hits; ``leaks_of`` passes
+all other columns through, whatever their names.
 """
 
 from __future__ import annotations
@@ -143,23 +143,22 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, size: int = ITEM_B
         yield block
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, keep: tuple[str, ...] = (), item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """Rows (id, kept columns, n_words, hits, items): merged hit word ranges and the ids of items with occurring windows."""
+def leaks_of(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, item_bytes: int = ITEM_BYTES) -> DataFrame:
+    """Rows (doc, n_words, hits, items): ``doc`` is the whole row, hits its merged hit word ranges, items the ids with occurring windows."""
     spark = docs.sparkSession
-    kept = [F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)]
-    df = docs.select(F.col(id_col).alias("__id"), *kept, text_of(text_col).alias("__text"), F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"))
-    blocks = item_blocks(items, item_id, item_text, item_bytes)
-    for block in [*blocks] or [[]]:
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"))
+    for block in [*item_blocks(items, item_id, item_text, item_bytes)] or [[]]:
         sent = spark.sparkContext.broadcast(block)
 
         def run(batches, sent=sent):
             import pyarrow as pa
+            import pyarrow.compute as pc
 
             matcher = Matcher(sent.value, window)
             for b in batches:
                 old = list(zip(b.column("hits").to_pylist(), b.column("items").to_pylist(), strict=True))
                 words, hits, ids = [], [], []
-                for (n, ranges, found), (old_hits, old_items) in zip(matcher.rows(*buffers(b.column("__text"))), old, strict=True):
+                for (n, ranges, found), (old_hits, old_items) in zip(matcher.rows(*buffers(pc.struct_field(b.column("doc"), [text_col]))), old, strict=True):
                     words.append(n)
                     spans = merged([*ranges, *((x["start"], x["end"]) for x in old_hits)]) if ranges or old_hits else []
                     hits.append([{"start": s, "end": e} for s, e in spans])
@@ -168,7 +167,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                 yield pa.RecordBatch.from_arrays([new.get(x, b.column(x)) for x in b.schema.names], b.schema.names)
 
         df = df.mapInArrow(run, df.schema)
-    return df.select(F.col("__id").alias("id"), *(F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)), "n_words", "hits", "items")
+    return df
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Rows (id, n_words, hits, items) of ``leaks_of``."""
+    named = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    return leaks_of(named, items, **options).select("doc.id", "n_words", "hits", "items")
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:

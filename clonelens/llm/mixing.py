@@ -18,7 +18,7 @@ from .common import materialize, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_EPOCHS = 3
-ROWS_A_BUCKET = 20_000
+ROWS_A_BUCKET = 4_000
 
 
 def n_words(text: str = "text") -> Column:
@@ -51,15 +51,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
     return level.select("source", "source_size", F.least("cap", F.col("weight") * F.coalesce(first["v"], F.col("v"))).alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: int = 17, rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
-    """Rows (id, source, size, source_size, target, taken): ``taken`` counts the words that the mix takes of a row, repeats included."""
-    n = docs.count()
-    buckets = max(1, -(-n // rows_a_bucket))
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, buckets: int, *more: Column) -> DataFrame:
+    """Rows (id, source, size, key, bucket) and ``more``."""
     key = F.xxhash64(F.lit(seed), F.col(id_col), text_of(text_col))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), key.alias("key"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), key.alias("key"), *more)
     # Uniform keys: a range of keys is a multiple of 2^64 / buckets, so no sampling pass is needed to find the ranges.
-    rows = materialize(rows.withColumn("bucket", F.floor((F.shiftrightunsigned("key", 11) / F.lit(float(1 << 53))) * buckets).cast("long")), "mix")
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    return rows.withColumn("bucket", F.floor((F.shiftrightunsigned("key", 11) / F.lit(float(1 << 53))) * buckets).cast("long"))
+
+
+def _take(rows: DataFrame, small: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
+    """``rows`` with source_size, target and taken; ``small`` has the same rows' source, bucket and size."""
+    sums = small.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     targets = source_targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, max_epochs)
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("ahead", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
@@ -72,7 +74,34 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     start = F.col("ahead") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     rest = budget - epochs * F.col("source_size") - start
     taken = epochs * F.col("size") + F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest))
-    return joined.select("id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return joined.withColumn("taken", taken.cast("long"))
+
+
+def _buckets(docs: DataFrame, rows_a_bucket: int) -> int:
+    return max(1, -(-docs.count() // rows_a_bucket))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: int = 17, rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
+    """Rows (id, source, size, source_size, target, taken): ``taken`` counts the words that the mix takes of a row, repeats included."""
+    rows = materialize(_keyed(docs, id_col, text_col, source_col, seed, _buckets(docs, rows_a_bucket)), "mix")
+    return _take(rows, rows, weights, max_epochs).select("id", "source", "size", "source_size", "target", "taken")
+
+
+def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: int = 17, rows_a_bucket: int = ROWS_A_BUCKET, length_col: str = "n_chars") -> DataFrame:
+    """The mixed rows with all columns of ``docs``: a row for each time that a document is taken whole, and for the
+    document at a source's edge one more row whose text ends with the last word of the budget."""
+    buckets = _buckets(docs, rows_a_bucket)
+    keyed = lambda *more: _keyed(docs, id_col, text_col, source_col, seed, buckets, *more)
+    small = materialize(keyed().select("source", "bucket", "size"), "mix")
+    whole = keyed(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    times = F.ceil(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
+    rows = _take(whole, small, weights, max_epochs).where("taken > 0").select("doc", "size", "taken", F.explode(F.sequence(F.lit(1), times)).alias("at"))
+    rest = F.col("taken") - (F.col("at") - 1) * F.col("size")
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("doc")[text_col], F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), 1, rest.cast("int")), "")
+    shorter = F.col("doc").withField(text_col, cut)
+    if length_col in docs.columns:
+        shorter = shorter.withField(length_col, F.char_length(cut).cast(docs.schema[length_col].dataType))
+    return rows.select(F.when(rest < F.col("size"), shorter).otherwise(F.col("doc")).alias("doc")).select("doc.*")
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:

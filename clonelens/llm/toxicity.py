@@ -335,32 +335,37 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-def score_rows(docs: DataFrame, model: Model, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` with score double and top array<double>, the largest unit margins, for every row."""
+def score_docs(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """Rows (doc, score, top): ``doc`` is the whole row, top its largest unit margins."""
     from pyspark.sql import types as T
 
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [f for c in keep for f in docs.select(c).schema]
-    schema = T.StructType([*kept, T.StructField("score", T.DoubleType()), T.StructField("top", T.ArrayType(T.DoubleType()))])
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    schema = T.StructType([*packed.schema, T.StructField("score", T.DoubleType()), T.StructField("top", T.ArrayType(T.DoubleType()))])
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         from .words import buffers, chunks
 
         scorer = Scorer(sent.value)
         for b in batches:
-            text = b.column(text_col)
-            _, offsets = buffers(text)
+            text = pc.fill_null(pc.struct_field(b.column("doc"), [text_col]), "")
             tops = [np.zeros((0, TOP))]
-            for a, e in chunks(offsets, 1 << 20):
-                part = [x or "" for x in text.slice(a, e - a).to_pylist()]
+            for a, e in chunks(buffers(text)[1], 1 << 20):
+                part = text.slice(a, e - a).to_pylist()
                 tops.append(scorer.top(part) if scorer.model.weights is not None else np.full((len(part), TOP), NONE))
             top = np.concatenate(tops)
-            cols = [b.column(f.name) for f in kept] + [pa.array(scorer.model.score(top)), pa.array(list(top), pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(cols, [f.name for f in schema])
+            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(scorer.model.score(top)), pa.array(list(top), pa.list_(pa.float64()))], ["doc", "score", "top"])
+
+    return packed.mapInArrow(run, schema)
 
-    return docs.select(*[F.col(f.name) for f in kept], text_of(text_col).alias(text_col)).mapInArrow(run, schema)
+
+def score_rows(docs: DataFrame, model: Model, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` with score double and top array<double> for every row."""
+    named = docs.select(*[F.col(c) for c in keep], text_of(text_col).alias("__text"))
+    return score_docs(named, model, "__text").select(*[F.col(f"doc.{c}") for c in keep], "score", "top")
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
