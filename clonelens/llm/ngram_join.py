@@ -19,8 +19,8 @@ Result, a row per document: class_id (smallest id of its connected near-duplicat
 set), n_links (documents at or above the threshold, copies included), n_shingles.
 
 Defined results: null, empty and wordless texts have no shingles and no links, and are alone in their class; repeated
-rows link to each other; null ids are rows like others but have no class of their own beside other null ids; an empty
-table gives no rows; other columns are ignored.
+rows link to each other; of several texts under one smallest id only one is compared with others; rows with a null id
+share the class of their equal set; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -143,6 +143,10 @@ class Forest:
                 self.edges.append((x, y))
 
 
+def _key(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, set_key, n_shingles, low, bands): a 16-byte key of the shingle set, 8-bit MinHash values, and band keys of 8 bytes."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
@@ -158,7 +162,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 none = [None] * len(sets)
                 key, lows, bands = none[:], none[:], none[:]
                 for r, k in enumerate(full):
-                    key[k], lows[k], bands[k] = hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest(), low[r].tobytes(), keys[r].tolist()
+                    key[k], lows[k], bands[k] = _key(sets[k]), low[r].tobytes(), keys[r].tolist()
                 cols = [b.column("id").slice(start, len(sets)), pa.array(key, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(lows, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(cols, ["id", "set_key", "n_shingles", "low", "bands"])
 
@@ -257,7 +261,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _verify(texts_rows: DataFrame) -> DataFrame:
-    """(component, p, q, side, id, text) with both sides of a block pair together -> (id, other, n): links by class, and edges of their forest."""
+    """(component, p, q, side, id, set_key, n_copies, text) with both sides of a block pair together -> (id, other, n): links by class, and edges of their forest."""
 
     def run(key, table):
         import pyarrow as pa
@@ -265,10 +269,16 @@ def _verify(texts_rows: DataFrame) -> DataFrame:
         p, q = key[1].as_py(), key[2].as_py()
         side = table.column("side").to_numpy()
         ids, weight = table.column("id").to_numpy(), table.column("n_copies").to_numpy()
-        sets = list(shingle_sets(table.column("text").combine_chunks() if hasattr(table.column("text"), "combine_chunks") else table.column("text")))
-        one = np.flatnonzero(side == 0)
-        two = np.flatnonzero(side == 1) if p != q else one
-        mh = minhashes(sets)
+        sets = list(shingle_sets(pa.concat_arrays(table.column("text").chunks)))
+        # Of rows of one id, one whose set is the id's own.
+        known, right = set(), np.zeros(len(sets), bool)
+        for k, (name, wanted) in enumerate(zip(zip(ids.tolist(), side.tolist(), strict=True), table.column("set_key").to_pylist(), strict=True)):
+            right[k] = name not in known and _key(sets[k]) == wanted
+            known |= {name} if right[k] else set()
+        mh = np.zeros((len(sets), HASHES), np.uint32)
+        mh[right] = minhashes([sets[k] for k in np.flatnonzero(right)])
+        one = np.flatnonzero(right & (side == 0))
+        two = np.flatnonzero(right & (side == 1)) if p != q else one
         i, j = survivors(mh[one], mh[two], 32)
         if p == q:
             i, j = i[i < j], j[i < j]
@@ -297,27 +307,33 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     sig = materialize(signatures(docs, id_col, text_col), "signatures")
     # Copies meet in a reduction on the map side; one member of each set goes on.
     sets = materialize(sig.where("set_key is not null").groupBy("set_key").agg(F.min("id").alias("copy_id"), F.count("*").alias("n_copies")), "sets")
-    reps = sets.where("copy_id is not null")
-    own = sig.where("set_key is not null").select("id", F.col("set_key").alias("k"), "low", "bands").join(reps, (F.col("k") == F.col("set_key")) & (F.col("id") == F.col("copy_id"))).dropDuplicates(["id"])
-    members = own.select("id", "low", F.explode("bands").alias("key"))
+    # An id stands for one set; another set under the same smallest id is not compared with others.
+    reps = materialize(sets.where("copy_id is not null").groupBy("copy_id").agg(F.min(F.struct("set_key", "n_copies")).alias("s")).select("copy_id", "s.set_key", "s.n_copies"), "members")
+    is_rep = (F.col("id") == F.col("copy_id")) & (F.col("k") == F.col("set_key"))
+    own = sig.where("set_key is not null").withColumnRenamed("set_key", "k")
+    keys = own.select("id", "k", "bands").join(reps, is_rep).select("id", F.explode("bands").alias("key"))
+    # Most buckets hold one document: only those of two or more take MinHash values along.
+    shared = materialize(keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").select("id", "key"), "shared")
+    lows = own.select("id", "k", "low").join(reps, is_rep).select(F.col("id").alias("low_id"), "low")
+    members = shared.join(lows, F.col("id") == F.col("low_id")).select("key", "id", "low")
     ties = materialize(bucket_ties(members), "ties")
     found = components(ties)
-    place = F.row_number().over(Window.partitionBy("label").orderBy("id")) - 1
-    placed = found.withColumn("block", F.floor(place / BLOCK)).withColumn("blocks", F.max("block").over(Window.partitionBy("label")))
-    placed = placed.join(reps.select("copy_id", "n_copies"), F.col("id") == F.col("copy_id")).drop("copy_id")
-    # Block b meets the blocks p <= b as the second side and q >= b as the first.
+    counts = found.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    placed = found.join(counts, "label").select("id", "label", (F.col("blocks") - 1).alias("blocks"), F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"))
+    placed = placed.join(reps, F.col("id") == F.col("copy_id"))
+    # Block b meets the blocks q >= b as the first side and the blocks p < b as the second.
     spots = F.concat(
         F.transform(F.sequence("block", "blocks"), lambda q: F.struct(F.col("block").alias("p"), q.alias("q"), F.lit(0).alias("side"))),
         F.transform(F.filter(F.sequence(F.lit(0).cast("long"), "block"), lambda p: p < F.col("block")), lambda p: F.struct(p.alias("p"), F.col("block").alias("q"), F.lit(1).alias("side"))),
     )
-    placed = materialize(placed.select(F.col("id").alias("p_id"), "label", "n_copies", spots.alias("spots")), "blocks")
+    placed = materialize(placed.select(F.col("id").alias("p_id"), "label", "set_key", "n_copies", spots.alias("spots")), "blocks")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    # Ids need not be unique: the text of the wanted set is the one whose row made the class.
-    texts = texts.join(placed, F.col("id") == F.col("p_id")).dropDuplicates(["id"]).select("id", "text", "label", "n_copies", F.explode("spots").alias("s"))
-    verified = materialize(_verify(texts.select(F.col("label").alias("component"), "s.p", "s.q", "s.side", "id", "n_copies", "text")), "links")
+    texts = texts.join(placed.hint("merge"), F.col("id") == F.col("p_id")).select("id", "text", "label", "set_key", "n_copies", F.explode("spots").alias("s"))
+    verified = materialize(_verify(texts.select(F.col("label").alias("component"), "s.p", "s.q", "s.side", "id", "set_key", "n_copies", "text")), "links")
     links = verified.where("other is null").groupBy(F.col("id").alias("l_id")).agg(F.sum("n").alias("links"))
     labels = components(verified.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
-    per = sets.join(links, F.col("copy_id") == F.col("l_id"), "left").join(labels.select(F.col("id").alias("c_id"), "label"), F.col("copy_id") == F.col("c_id"), "left")
+    linked = reps.join(links, F.col("copy_id") == F.col("l_id"), "left").join(labels.select(F.col("id").alias("c_id"), "label"), F.col("copy_id") == F.col("c_id"), "left")
+    per = sets.join(linked.select("set_key", "links", "label"), "set_key", "left")
     per = per.select(F.col("set_key").alias("k"), "copy_id", F.coalesce("label", "copy_id").alias("class_id"), (F.col("n_copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.explode(F.expr("sequence(0L, 15L)")).alias("salt"))
     rows = sig.select("id", "set_key", "n_shingles", F.pmod(F.xxhash64("id"), F.lit(16)).alias("r_salt"))
     out = rows.join(per, (F.col("set_key") == F.col("k")) & (F.col("r_salt") == F.col("salt")), "left")
