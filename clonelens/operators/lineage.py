@@ -142,7 +142,8 @@ def lineages(subs: DataFrame, trim: bool = False, nodes: int = 30, share: float
         germ = next((g for g in pdf.germline if g), None)
         cols = [x.split()[0] for x in SCHEMA.split(", ")]
         if len(pdf) < 2 or not germ:
-            return pd.DataFrame({c: [] for c in cols})
+            kinds = {"int": "int32", "long": "int64", "boolean": "bool", "string": "object"}
+            return pd.DataFrame({x.split()[0]: pd.Series([], dtype=kinds[x.split()[1]]) for x in SCHEMA.split(", ")})
         names, reads = [GERMLINE, *pdf.name], [1, *(int(x) for x in pdf.reads)]
         rows = star_align(germ.upper(), [s.upper() for s in pdf.whole_seq])
         d = distance_matrix(rows)
