@@ -26,11 +26,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, table, text_of
+from .common import give_back, materialize, table, text_of
 
 ROWS_A_CLASS = 2000
 LANDMARKS = 400
-POSITIVES, NEGATIVES = 600, 6000
+POSITIVES, NEGATIVES = 600, 5000
 LEAST_TOXIC = 3
 FALSE_STEMS = 0.01  # stems that chance alone may make telling
 STEM = (4, 5, 6, 7)
@@ -40,7 +40,7 @@ RIDGE, COST = 1e-2, 1.0
 SPAN, DECAY = 6, 0.6
 ORDER = 3
 LONGEST, STRIDE = 24, 16
-MEMO = 400_000
+MEMO = 250_000
 TOP = 3
 NONE = -1.5
 
@@ -117,11 +117,13 @@ def norms(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 def kernel(m: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     """Normalised kernel of unit rows with landmark rows."""
-    codes, weights = subsequences(m)
-    n = np.maximum(norms(codes, weights), 1e-9)
+    dense = expand(landmarks)
     out = np.empty((len(m), len(landmarks)))
-    for k, dense in enumerate(expand(landmarks)):
-        out[:, k] = (dense[codes] * weights).sum(1) / n
+    for a in range(0, len(m), 4000):
+        codes, weights = subsequences(m[a : a + 4000])
+        n = np.maximum(norms(codes, weights), 1e-9)
+        for k, row in enumerate(dense):
+            out[a : a + 4000, k] = (row[codes] * weights).sum(1) / n
     return out
 
 
@@ -220,7 +222,7 @@ def telling(stats: list[tuple[str, int, int]], n_toxic: int, n_clean: int, tried
     share = (n_toxic + 1) / (n_toxic + n_clean + 2)
     chance = lambda t, c: t * np.log(t / (t + c) / share) + (c * np.log(c / (t + c) / (1 - share)) if c else 0)
     limit = np.log(max(1, tried) / FALSE_STEMS)
-    return [u for u, t, c in stats if t >= LEAST_TOXIC and t >= 0.8 * (t + c) and chance(t, c) > limit]
+    return [u for u, t, c in stats if t >= LEAST_TOXIC and t >= 0.95 * (t + c) and chance(t, c) > limit]
 
 
 def stems_of(unit: str) -> set[str]:
@@ -231,39 +233,36 @@ def stems_of(unit: str) -> set[str]:
 
 def fit_units(stats: list[tuple[str, int, int]], stems: list[str], landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
     """Weights by subsequence and bias from (unit, toxic sentences, clean sentences) and the stems of toxic units."""
-    own = [(t, u) for u, t, c in stats if t >= 0.9 * (t + c) and any(x in FIRST + u for x in stems)]
+    whole = set(stems)
+    own = [(t, u) for u, t, c in stats if FIRST + u in whole or (t > 2 and not c and any(x in FIRST + u for x in stems))]
     pos = [u for _, u in sorted(own, key=lambda r: (-r[0], r[1]))[:POSITIVES]]
     counts = {u: t for u, t, _ in stats}
     known = set(pos)
     neg = [u for u, t, c in sorted(stats, key=lambda r: (-r[2], r[0])) if c and u not in known]
-    # Frequent clean units and an even pick of the rarer ones.
-    neg = neg[:NEGATIVES] + neg[NEGATIVES :: max(1, (len(neg) - NEGATIVES) // NEGATIVES)]
     if not pos or not neg:
         return np.zeros(32**ORDER, np.float32), 0.0
-    rows, owner = units_matrix(pos + neg)
-    y = np.where(owner < len(pos), 1.0, -1.0)
-    seen = np.array([counts[u] for u in pos], float)
-    c = np.where(y > 0, len(neg) / len(pos), 1.0) * COST
-    c[y > 0] *= (seen / seen.mean())[owner[y > 0]] ** 0.5
     quarter = landmarks // 4
-    chosen = pos[: 2 * quarter] + neg[:quarter]
-    x = np.zeros((len(rows), 0))
-    dense = np.zeros((0, 32**ORDER), np.float32)
-    # The last quarter of the landmarks are the clean units that a first machine takes for toxic.
-    for more in (chosen, None):
-        if more is None:
-            margin = np.full(len(neg), -np.inf)
-            np.maximum.at(margin, owner[y < 0] - len(pos), (x @ root @ w[:-1])[y < 0])
-            more = [neg[i] for i in np.argsort(-margin, kind="stable")[:quarter] if neg[i] not in chosen]
-            if not more:
-                break
-        lm, _ = units_matrix([u[:LONGEST] for u in more])
-        x = np.hstack([x, kernel(rows, lm)])
-        dense = np.vstack([dense, expand(lm)])
+    clean, lm_units = neg[:NEGATIVES], pos[: 2 * quarter] + neg[:quarter]
+    seen = np.array([counts[u] for u in pos], float)
+    # The last quarter of the landmarks, and more rows, are the clean units that a first machine comes nearest to take for toxic.
+    for last in (False, True):
+        lm, _ = units_matrix([u[:LONGEST] for u in lm_units])
+        rows, owner = units_matrix(pos + clean)
+        y = np.where(owner < len(pos), 1.0, -1.0)
+        c = np.where(y > 0, len(clean) / len(pos), 1.0) * COST
+        c[y > 0] *= (seen / seen.mean())[owner[y > 0]] ** 0.5
+        dense = expand(lm)
         value, vector = np.linalg.eigh((dense @ dense.T).astype(np.float64))
         root = (vector / np.sqrt(np.maximum(value, RIDGE))) @ vector.T
-        w = svm(x @ root, y, c)
-    return (dense.T @ (root @ w[:-1])).astype(np.float32), float(w[-1])
+        w = svm(kernel(rows, lm) @ root, y, c)
+        model = Model((dense.T @ (root @ w[:-1])).astype(np.float32), float(w[-1]), None, 0.0)
+        if last:
+            return model.weights, model.bias
+        order = np.argsort(-model.margins(neg), kind="stable")
+        known = set(lm_units)
+        lm_units += [neg[i] for i in order[: 2 * quarter].tolist() if neg[i] not in known][:quarter]
+        known = set(clean)
+        clean = clean + [neg[i] for i in order[:NEGATIVES].tolist() if neg[i] not in known]
 
 
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -307,6 +306,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     names += [*held, ""]
                     ys += [label[k]] * (len(held) + 1)
                     held = set()
+                    if len(names) > 100_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(ys, pa.int32())], ["unit", "y"])
+                        names, ys = [], []
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(ys, pa.int32())], ["unit", "y"])
 
     # A sentence that copies repeat counts once; one of both labels is clean.
@@ -324,7 +326,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     some = counted.where((F.col("unit") != "") & ~F.col("unit").startswith(STEM_MARK))
     own = some.where(F.concat(F.lit(FIRST), "unit").rlike("|".join(re.escape(x) for x in stems))) if stems else some.limit(0)
     top = own.where(F.col("t") > 0).orderBy(F.col("t").desc(), F.col("c"), "unit").limit(4 * POSITIVES)
-    low = some.where("c > 0").orderBy(F.col("c").desc(), F.xxhash64("unit")).limit(2 * NEGATIVES)
+    low = some.where("c > 0").orderBy(F.col("c").desc(), F.xxhash64("unit")).limit(10 * NEGATIVES)
     stats = {r.unit: (int(r.t), int(r.c)) for r in [*top.collect(), *low.collect()]}
     # Symbols 27 to 31 read as the characters after "z"; written back as letters of these symbols.
     rewrite = str.maketrans({chr(96 + 27 + k): chr(0x250 + (k - 2) % 5) for k in range(5)})
@@ -358,6 +360,8 @@ def score_docs(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
                 tops.append(scorer.top(part) if scorer.model.weights is not None else np.full((len(part), TOP), NONE))
             top = np.concatenate(tops)
             yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(scorer.model.score(top)), pa.array(list(top), pa.list_(pa.float64()))], ["doc", "score", "top"])
+        scorer.memo.clear()
+        give_back()
 
     return packed.mapInArrow(run, schema)
 
