@@ -183,3 +183,19 @@ def op6_decontamination(spark, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated")
     )
+
+
+WORD_LIST = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP6_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {WORD_LIST} AS w FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item_id, {WORD_LIST} AS w FROM benchmark),
+bi AS (SELECT item_id, w, least(len(w), {WINDOW}) AS k, unnest(generate_series(1, greatest(1, len(w) - {WINDOW - 1}))) AS i FROM b WHERE len(w) > 0),
+pats AS (SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS p FROM bi),
+di AS (SELECT r, k, w, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM pats)),
+found AS (SELECT r, i, di.k, item_id FROM di JOIN pats ON pats.k = di.k AND pats.p = array_to_string(w[i : i + di.k - 1], ' ')),
+hit AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + k - 1)) AS x FROM found) GROUP BY r),
+ids AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT r, item_id FROM found) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)
+"""

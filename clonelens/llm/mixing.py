@@ -5,7 +5,8 @@ by key inside (source, bucket), and a prefix sum runs in two levels: over the bu
 rows of one bucket. A source's budget is cut at its exact word: whole epochs first, then a prefix of the key order.
 
 Defined results: a null or empty text has size 0 and takes 0; a null source is a source of its own and sorts last;
-repeated rows count as rows of their own; ties of key are broken by id and size; an empty table gives no rows; columns
+repeated rows count as rows of their own; ties of key are broken by id and size; a row without
+id has the key of its text; an empty table gives no rows; columns
 other than the named ones are ignored.
 """
 
@@ -18,6 +19,8 @@ from .common import materialize, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_EPOCHS = 3
+SEED = 17
+KEY_BITS = 60
 ROWS_A_BUCKET = 4_000
 
 
@@ -53,10 +56,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, buckets: int, *more: Column) -> DataFrame:
     """Rows (id, source, size, key, bucket) and ``more``."""
-    key = F.xxhash64(F.lit(seed), F.col(id_col), text_of(text_col))
+    name = F.coalesce(F.col(id_col).cast("string"), text_of(text_col))
+    key = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, KEY_BITS // 4), 16, 10).cast("long")
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), key.alias("key"), *more)
-    # Uniform keys: a range of keys is a multiple of 2^64 / buckets, so no sampling pass is needed to find the ranges.
-    return rows.withColumn("bucket", F.floor((F.shiftrightunsigned("key", 11) / F.lit(float(1 << 53))) * buckets).cast("long"))
+    # Uniform keys: a range of keys is a multiple of 2^KEY_BITS / buckets, so no sampling pass is needed to find the ranges.
+    return rows.withColumn("bucket", F.floor((F.col("key") / F.lit(float(1 << KEY_BITS))) * buckets).cast("long"))
 
 
 def _take(rows: DataFrame, small: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
@@ -81,13 +85,13 @@ def _buckets(docs: DataFrame, rows_a_bucket: int) -> int:
     return max(1, -(-docs.count() // rows_a_bucket))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: int = 17, rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: int = SEED, rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
     """Rows (id, source, size, source_size, target, taken): ``taken`` counts the words that the mix takes of a row, repeats included."""
     rows = materialize(_keyed(docs, id_col, text_col, source_col, seed, _buckets(docs, rows_a_bucket)), "mix")
     return _take(rows, rows, weights, max_epochs).select("id", "source", "size", "source_size", "target", "taken")
 
 
-def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: int = 17, rows_a_bucket: int = ROWS_A_BUCKET, length_col: str = "n_chars") -> DataFrame:
+def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: int = SEED, rows_a_bucket: int = ROWS_A_BUCKET, length_col: str = "n_chars") -> DataFrame:
     """The mixed rows with all columns of ``docs``: a row for each time that a document is taken whole, and for the
     document at a source's edge one more row whose text ends with the last word of the budget."""
     buckets = _buckets(docs, rows_a_bucket)
@@ -108,3 +112,26 @@ def op7_mixing(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
     return mix(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+OP7_SQL = f"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, text, '')), 1, {KEY_BITS // 4}))::BIGINT AS key FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight, ({MAX_EPOCHS} * source_size)::DOUBLE AS cap FROM s),
+o AS (
+  SELECT *, row_number() OVER r AS k, (sum(source_size) OVER ())::DOUBLE AS total,
+         coalesce(sum(cap) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_caps,
+         sum(weight) OVER () - coalesce(sum(weight) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open_weight
+  FROM w WINDOW r AS (ORDER BY cap / weight, source NULLS LAST)),
+v AS (SELECT *, (total - full_caps) / open_weight AS v FROM o),
+level AS (SELECT arg_min(v, k) AS level FROM v WHERE weight * v <= cap),
+t AS (SELECT source, source_size, least(cap, weight * coalesce(level, v)) AS target FROM v, level),
+p AS (
+  SELECT d.*, source_size, target, floor(target + 1e-6)::BIGINT AS budget,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs FROM p)
+SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, budget - epochs * source_size - ahead)))::BIGINT AS taken FROM e
+"""

@@ -32,7 +32,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table, text_of
+from .common import give_back, materialize, table, text_of
+from .decontaminate import WORD_LIST
 from .words import Canonical, buffers, chunks, mix64, word_hashes
 
 NGRAM = 5
@@ -165,6 +166,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     key[k], lows[k], bands[k] = _key(sets[k]), low[r].tobytes(), keys[r].tolist()
                 cols = [b.column("id").slice(start, len(sets)), pa.array(key, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(lows, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(cols, ["id", "set_key", "n_shingles", "low", "bands"])
+        give_back()
 
     return rows.mapInArrow(run, "id long, set_key binary, n_shingles long, low binary, bands array<long>")
 
@@ -342,3 +344,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def op5_ngram_join(spark, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+OP5_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS r, {WORD_LIST} AS w FROM documents),
+di AS (SELECT r, w, unnest(generate_series(1, greatest(1, len(w) - {NGRAM - 1}))) AS i FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT r, array_to_string(w[i : i + {NGRAM - 1}], ' ') AS g FROM di),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+both_ AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.r <> y.r GROUP BY ALL),
+link AS (SELECT a, b, c = p.n AND c = q.n AS same FROM both_ JOIN n p ON p.r = a JOIN n q ON q.r = b WHERE c >= {THRESHOLD} * (p.n + q.n - c) - 1e-9),
+reach AS (SELECT r AS a, r AS b FROM n UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+class AS (SELECT reach.a AS r, min(d.doc_id) AS class_id FROM reach JOIN d ON d.r = reach.b GROUP BY 1),
+copy AS (SELECT link.a AS r, min(d.doc_id) AS copy_id FROM link JOIN d ON d.r = link.b WHERE same GROUP BY 1),
+deg AS (SELECT a AS r, count(*) AS n_links FROM link GROUP BY 1)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, least(coalesce(copy_id, doc_id), doc_id) AS copy_id, coalesce(n_links, 0) AS n_links, coalesce(n.n, 0) AS n_shingles
+FROM d LEFT JOIN n USING (r) LEFT JOIN class USING (r) LEFT JOIN copy USING (r) LEFT JOIN deg USING (r)
+"""

@@ -21,4 +21,12 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secrets": secrets.OP2_SQL, "op8_sharding": sharding.OP8_SQL, "op9_warc": warc.OP9_SQL}
+    return {
+        "op2_secrets": secrets.OP2_SQL,
+        "op4_chat": chat.OP4_SQL,
+        "op5_ngram_join": ngram_join.OP5_SQL,
+        "op6_decontamination": decontaminate.OP6_SQL,
+        "op7_mixing": mixing.OP7_SQL,
+        "op8_sharding": sharding.OP8_SQL,
+        "op9_warc": warc.OP9_SQL,
+    }
