@@ -6,7 +6,7 @@ import argparse
 import time
 from pathlib import PurePath
 
-from .plans.analysis import Settings, run
+from .plans.analysis import Settings, bundle, run
 from .session import session
 
 
@@ -21,6 +21,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--alleles", action="store_true")
     p.add_argument("--trim", action="store_true")
     p.add_argument("--merge-singletons", action="store_true")
+    p.add_argument("--bundle", help="zip file on this machine for JSON, FASTA and statistics")
     a = p.parse_args(argv)
     if PurePath(a.input).suffix not in (".tsv", ".txt"):
         p.error("the input must be a .tsv or .txt table")
@@ -34,7 +35,9 @@ def main(argv: list[str] | None = None) -> None:
     name = PurePath(a.input).stem
     began = time.perf_counter()
     settings = Settings(a.threshold, a.kind, integer_option(a.clones, 5), integer_option(a.subclones, 200), a.alleles, trim=a.trim, merge_singletons=a.merge_singletons)
-    run(session(), a.input, f"{a.output}/{name}_output", settings, name)
+    result = run(session(), a.input, f"{a.output}/{name}_output", settings, name)
+    if a.bundle:
+        bundle(result, a.bundle, name)
     print(f"run time: {time.perf_counter() - began:.0f} seconds")
 
 

@@ -81,6 +81,32 @@ def tree_json(edges: DataFrame, info: DataFrame, details: list[str]) -> DataFram
     return fixed.groupBy("clone_rank", "complexity").applyInPandas(lambda p: run(p.astype(object).where(p.notna(), None)), "clone_rank int, complexity string, json string")
 
 
+def clone_summary(ranks: DataFrame, kinds: list[str], clones: int | None = 5) -> DataFrame:
+    """(clone_rank, name, v_call, j_call, ab_rep, reads, tree_type): each of the first clones that has a tree, by tree type."""
+    n = ranks.groupBy("clone_rank").agg(F.count("*").alias("n"), F.sum("of_repertoire").alias("ab_rep"))
+    rows = ranks.where("subclone_rank = 1").join(n, "clone_rank").where("n > 1")
+    if clones is not None:
+        rows = rows.where(F.col("clone_rank") <= clones)
+    return rows.select("clone_rank", F.col("clone_name").alias("name"), "v_call", "j_call", "ab_rep", F.col("clone_reads").alias("reads"), F.explode(F.array(*[F.lit(k) for k in kinds])).alias("tree_type"))
+
+
+def newick_trees(edges: DataFrame) -> DataFrame:
+    """(clone_rank, complexity, newick) of lineage edges."""
+    from ..sources.newick import dumps
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        kids: dict[str, list[str]] = {}
+        for p, c in zip(pdf.parent, pdf.child, strict=True):
+            if isinstance(p, str):
+                kids.setdefault(p, []).append(c)
+        root = pdf.child[[not isinstance(p, str) for p in pdf.parent]].iloc[0]
+        lengths = dict(zip(pdf.child, pdf.dist, strict=True))
+        lengths.pop(root)
+        return pd.DataFrame({"clone_rank": [int(pdf.clone_rank.iloc[0])], "complexity": [pdf.complexity.iloc[0]], "newick": [dumps(root, kids, lengths)]})
+
+    return edges.select("clone_rank", "complexity", "parent", "child", "dist").groupBy("clone_rank", "complexity").applyInPandas(run, "clone_rank int, complexity string, newick string")
+
+
 def productive_label(c) -> Column:
     c = F.col(c)
     return F.when(c, "productive").when(~c, "unproductive").otherwise("/")

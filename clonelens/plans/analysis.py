@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +73,7 @@ def write(result: Result, path: str, name: str) -> None:
     trees = checkpointed(result.trees)
     trees.write.partitionBy("complexity").parquet(f"{path}/{name}_tree_edges")
     details = ["v_call", "j_call", "cdr3_aa", "productive", "of_clone", "of_repertoire", "positions"]
+    export.newick_trees(trees).write.partitionBy("complexity").json(f"{path}/{name}_newick")
     export.tree_json(trees, result.subclones, details).write.partitionBy("complexity").json(f"{path}/{name}_trees")
     export.clone_json(result.ranks, ["v_call", "j_call", "cdr3_aa"]).write.parquet(f"{path}/{name}_repertoire")
     last = trees.where("complexity = 'simplification2' and not silent").select(F.concat(F.lit("C"), "clone_rank").alias("clone"), F.col("child").alias("name"), F.col("aligned").alias("sequence"), "abundance")
@@ -79,6 +81,22 @@ def write(result: Result, path: str, name: str) -> None:
     last.where(F.col("name") == lineage.GERMLINE).select("clone", F.concat(F.lit(">HAUS\n"), "sequence").alias("value")).write.partitionBy("clone").text(f"{path}/{name}_HAUS_fasta")
 
 
+def bundle(result: Result, file: str, name: str) -> None:
+    """A zip on the driver's disk: repertoire and tree JSON, FASTA and the statistics; trees are of the first clones only."""
+    statistics = result.statistics.first().asDict()
+    trees = checkpointed(result.trees)
+    details = ["v_call", "j_call", "cdr3_aa", "productive", "of_clone", "of_repertoire", "positions"]
+    files = {f"{name}_repertoire.json": export.repertoire_json(export.clone_json(result.ranks, ["v_call", "j_call", "cdr3_aa"]), statistics, name), f"{name}_log.json": json.dumps(statistics, indent=4)}
+    for kind in ("all", "simplification1", "simplification2"):
+        rows = export.tree_json(trees.where(F.col("complexity") == kind), result.subclones, details).orderBy("clone_rank").toLocalIterator()
+        files[f"{name}_tree_{kind}.json"] = json.dumps([json.loads(r.json) for r in rows], indent=4)
+    for r in trees.where("complexity = 'simplification2' and not silent").orderBy("clone_rank", "child").toLocalIterator():
+        kind, head = ("HAUS", "HAUS") if r.child == lineage.GERMLINE else ("subclones", f"{r.child}@{r.abundance}")
+        key = f"{name}_C{r.clone_rank}_{kind}_sequence{'' if kind == 'HAUS' else 's'}.fasta"
+        files[key] = files.get(key, "") + f">{head}\n{r.aligned}\n"
+    export.bundle(file, files)
+
+
 def run(spark: SparkSession, source: str, path: str, settings: Settings | None = None, name: str = "analysis") -> Result:
     result = analyse(airr.read_airr(spark, source), settings)
     write(result, path, name)

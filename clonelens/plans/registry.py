@@ -535,6 +535,17 @@ def lineage_trees(spark, sf):
     return lineage.lineages(_top_subclones(spark, sf))
 
 
+@query(f"{RANKS}, n as (select clone_rank, count(*) as n, sum(reads) / (select sum(reads) from subs) * 100 as ab from ranks group by 1) select clone_rank::int as clone_rank, 'C' || clone_rank as name, v_call, j_call, round(ab, 6) as ab_rep, clone_reads as reads, tree_type from ranks join n using (clone_rank), (values ('all'), ('simplification1')) t(tree_type) where subclone_rank = 1 and n > 1 and clone_rank <= 5")
+def clone_tree_types(spark, sf):
+    out = export.clone_summary(rollup.ranked(rollup.subclones(_clones(spark, sf))), ["all", "simplification1"])
+    return out.withColumn("ab_rep", r6("ab_rep"))
+
+
+@query()
+def newick_trees(spark, sf):
+    return export.newick_trees(lineage.lineages(_top_subclones(spark, sf)))
+
+
 @query()
 def tree_json(spark, sf):
     subs = _top_subclones(spark, sf)

@@ -112,6 +112,13 @@ def test_singletons_join(spark):
     assert out.select("cluster_id").distinct().count() == 1
 
 
+def test_uniform_clusters_join(spark):
+    rows = [(c, f"{c}{i}", i, 10 * c + i, "V", "CASSSSSSSSSSSSS" + x, "acgt") for c in (0, 1) for i, x in enumerate("FGH")]
+    df = spark.createDataFrame(rows, MEMBERS)
+    out = refine.merge_uniform(df, refine.pair_distance("a", "b", F.lit(16)))
+    assert out.select("cluster_id").distinct().count() == 1
+
+
 def weight(edges):
     return sum(e[2] for e in edges)
 
@@ -273,7 +280,18 @@ def test_whole_analysis(spark, tmp_path):
     trees = spark.read.json(str(tmp_path / "out" / "reads_trees"))
     for row in trees.collect():
         assert json.loads(row.json)["name"] == "HAUS"
-    assert list((tmp_path / "out").glob("reads_*"))
+    for row in spark.read.json(str(tmp_path / "out" / "reads_newick")).collect():
+        assert newick.loads(row.newick)[0] == lineage.GERMLINE
+    import zipfile
+
+    from clonelens.plans.analysis import bundle
+
+    bundle(r, str(tmp_path / "x.zip"), "reads")
+    with zipfile.ZipFile(tmp_path / "x.zip") as z:
+        names = set(z.namelist())
+        assert {"reads_repertoire.json", "reads_tree_all.json", "reads_log.json", "reads_C1_HAUS_sequence.fasta"} <= names
+        whole = json.loads(z.read("reads_repertoire.json"))
+    assert whole["reads"]["analysed"] == 60 and len(whole["children"]) == 3
 
 
 def test_missing_columns(spark, tmp_path):
