@@ -39,6 +39,20 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def give_back() -> None:
+    """Return memory that a task's Python worker no longer needs to the machine: workers live on for other stages."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     """Tasks of a shuffle, as the session sets them."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -28,15 +28,15 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, shared_path, table, text_of
+from .common import give_back, partitions, shared_path, table, text_of
 from .words import buffers, chunks
 
 BLOCK = 128
 PERCENTILE = 0.98
 SEGMENT_IDS = 1 << 20
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 END_ID = 0
-MEMO = 1_000_000
+MEMO = 400_000
 _BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 _HEAD = struct.Struct("<4sIQIIB")
 
@@ -320,6 +320,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id"
                     keys, lengths, ids, n, seq = [], [], [], 0, seq + 1
         if keys:
             yield segment()
+        keys, lengths, ids = [], [], []
+        give_back()
 
     rows.mapInArrow(run, SEGMENTS).write.option("compression", "none").parquet(path)
 

@@ -40,6 +40,7 @@ RIDGE, COST = 1e-2, 1.0
 SPAN, DECAY = 6, 0.6
 ORDER = 3
 LONGEST, STRIDE = 24, 16
+ROWS_AT_ONCE = 2000
 MEMO = 250_000
 TOP = 3
 NONE = -1.5
@@ -115,15 +116,15 @@ def norms(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.sqrt(np.where(last, (total - before) ** 2, 0).sum(1))
 
 
-def kernel(m: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
-    """Normalised kernel of unit rows with landmark rows."""
-    dense = expand(landmarks)
+def kernel(m: np.ndarray, landmarks: np.ndarray, dense: np.ndarray | None = None) -> np.ndarray:
+    """Normalised kernel of unit rows with landmark rows, whose ``expand`` is ``dense``."""
+    dense = expand(landmarks) if dense is None else dense
     out = np.empty((len(m), len(landmarks)))
-    for a in range(0, len(m), 4000):
-        codes, weights = subsequences(m[a : a + 4000])
+    for a in range(0, len(m), ROWS_AT_ONCE):
+        codes, weights = subsequences(m[a : a + ROWS_AT_ONCE])
         n = np.maximum(norms(codes, weights), 1e-9)
         for k, row in enumerate(dense):
-            out[a : a + 4000, k] = (row[codes] * weights).sum(1) / n
+            out[a : a + ROWS_AT_ONCE, k] = (row[codes] * weights).sum(1) / n
     return out
 
 
@@ -133,7 +134,8 @@ def expand(m: np.ndarray) -> np.ndarray:
     out = np.zeros((len(m), 32**ORDER), np.float32)
     for row, c, w in zip(out, codes, weights, strict=True):
         np.add.at(row, c, w)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+    out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+    return out
 
 
 @dataclass
@@ -146,11 +148,11 @@ class Model:
     def margins(self, tokens: list[str]) -> np.ndarray:
         m, token = units_matrix(tokens)
         out = np.full(len(tokens), NONE, np.float32)
-        for a in range(0, len(m), 20_000):
-            codes, weights = subsequences(m[a : a + 20_000])
+        for a in range(0, len(m), ROWS_AT_ONCE):
+            codes, weights = subsequences(m[a : a + ROWS_AT_ONCE])
             n = norms(codes, weights)
             f = (self.weights[codes] * weights).sum(1) / np.maximum(n, 1e-9) + self.bias
-            np.maximum.at(out, token[a : a + 20_000], np.where(n > 0, f, NONE))
+            np.maximum.at(out, token[a : a + ROWS_AT_ONCE], np.where(n > 0, f, NONE))
         return out
 
     def score(self, top: np.ndarray) -> np.ndarray:
@@ -254,8 +256,9 @@ def fit_units(stats: list[tuple[str, int, int]], stems: list[str], landmarks: in
         dense = expand(lm)
         value, vector = np.linalg.eigh((dense @ dense.T).astype(np.float64))
         root = (vector / np.sqrt(np.maximum(value, RIDGE))) @ vector.T
-        w = svm(kernel(rows, lm) @ root, y, c)
-        model = Model((dense.T @ (root @ w[:-1])).astype(np.float32), float(w[-1]), None, 0.0)
+        w = svm(kernel(rows, lm, dense) @ root, y, c)
+        model = Model((dense.T @ (root @ w[:-1]).astype(np.float32)).astype(np.float32), float(w[-1]), None, 0.0)
+        del dense
         if last:
             return model.weights, model.bias
         order = np.argsort(-model.margins(neg), kind="stable")
@@ -331,6 +334,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # Symbols 27 to 31 read as the characters after "z"; written back as letters of these symbols.
     rewrite = str.maketrans({chr(96 + 27 + k): chr(0x250 + (k - 2) % 5) for k in range(5)})
     weights, bias = fit_units([(u.translate(rewrite), *v) for u, v in stats.items()], [x.translate(rewrite) for x in stems])
+    give_back()
     model = Model(weights, bias, None, 0.0)
     margins = score_rows(sample.select("l_id", "y", "text"), model, ("l_id", "y")).select("y", "top").collect()
     model.logistic = logistic(np.array([r.top for r in margins]), np.array([r.y for r in margins], float))
