@@ -148,6 +148,9 @@ class Model:
     def margins(self, tokens: list[str]) -> np.ndarray:
         m, token = units_matrix(tokens)
         out = np.full(len(tokens), NONE, np.float32)
+        # Rows of like length together: each run is only as wide as its longest row.
+        order = np.argsort((m > 0).sum(1), kind="stable")
+        m, token = m[order], token[order]
         for a in range(0, len(m), ROWS_AT_ONCE):
             codes, weights = subsequences(m[a : a + ROWS_AT_ONCE])
             n = norms(codes, weights)
