@@ -38,3 +38,15 @@ def test_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
 def test_runs(spark, name):
     assert registry.queries()[name](spark, SF).count() > 0
+
+
+def test_combined_distance_pairs_the_whole_view(spark, tmp_path):
+    """600 reads, so twice as many as the registered SQL pairs."""
+    spark.read.parquet("/root/testdata/sf0.01/part.parquet").where("p_partkey < 600").write.parquet(str(tmp_path / "part.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view part as select * from '{tmp_path}/part.parquet/*.parquet'")
+    whole = registry.oracle_sql()["combined_distance"].replace(" where ordinal < 300", "")
+    want = con.sql(whole).fetchall()
+    got = registry.queries()["combined_distance"](spark, str(tmp_path)).select("a", "b", "dist").collect()
+    assert max(r[0] for r in want) >= 300
+    assert plain(map(tuple, got)) == plain(want)
