@@ -19,8 +19,12 @@ Result, a row per document: class_id (smallest id of its connected near-duplicat
 set), n_links (documents at or above the threshold, copies included), n_shingles.
 
 Defined results: null, empty and wordless texts have no shingles and no links, and are alone in their class; repeated
-rows link to each other; of several texts under one smallest id only one is compared with others; rows with a null id
-share the class of their equal set; an empty table gives no rows; other columns are ignored.
+rows link to each other; texts under one id are compared like any others; rows with a null id are members of their
+class like any others, and a class of such rows only has a null class_id; an empty table gives no rows; other columns are
+ignored.
+
+Ids may be null or repeat, so inside the join a class of copies is named by its node, the smallest row number among its
+members, and texts are found again by ``row_hash``.
 """
 
 from __future__ import annotations
@@ -148,9 +152,14 @@ def _key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def row_hash(id_col: str, text_col: str):
+    """Hash of a row's id and text."""
+    return F.xxhash64(F.col(id_col).cast("long"), text_of(text_col))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, set_key, n_shingles, low, bands): a 16-byte key of the shingle set, 8-bit MinHash values, and band keys of 8 bytes."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    """(id, hash, set_key, n_shingles, low, bands): ``row_hash``, a 16-byte key of the shingle set, 8-bit MinHash values, and band keys of 8 bytes."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), row_hash(id_col, text_col).alias("hash"), text_of(text_col).alias("text"))
 
     def run(batches):
         import pyarrow as pa
@@ -164,11 +173,11 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 key, lows, bands = none[:], none[:], none[:]
                 for r, k in enumerate(full):
                     key[k], lows[k], bands[k] = _key(sets[k]), low[r].tobytes(), keys[r].tolist()
-                cols = [b.column("id").slice(start, len(sets)), pa.array(key, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(lows, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(cols, ["id", "set_key", "n_shingles", "low", "bands"])
+                cols = [*[b.column(c).slice(start, len(sets)) for c in ("id", "hash")], pa.array(key, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(lows, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(cols, ["id", "hash", "set_key", "n_shingles", "low", "bands"])
         give_back()
 
-    return rows.mapInArrow(run, "id long, set_key binary, n_shingles long, low binary, bands array<long>")
+    return rows.mapInArrow(run, "id long, hash long, set_key binary, n_shingles long, low binary, bands array<long>")
 
 
 def _portions(column, size: int = 1 << 18):
@@ -272,7 +281,7 @@ def _verify(texts_rows: DataFrame) -> DataFrame:
         side = table.column("side").to_numpy()
         ids, weight = table.column("id").to_numpy(), table.column("n_copies").to_numpy()
         sets = list(shingle_sets(pa.concat_arrays(table.column("text").chunks)))
-        # Of rows of one id, one whose set is the id's own.
+        # Of rows of one hash, one whose set is the node's own.
         known, right = set(), np.zeros(len(sets), bool)
         for k, (name, wanted) in enumerate(zip(zip(ids.tolist(), side.tolist(), strict=True), table.column("set_key").to_pylist(), strict=True)):
             right[k] = name not in known and _key(sets[k]) == wanted
@@ -304,42 +313,48 @@ def _verify(texts_rows: DataFrame) -> DataFrame:
     return texts_rows.groupBy("component", "p", "q").applyInArrow(run, "id long, other long, n long")
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per document: id, class_id, copy_id, n_links, n_shingles."""
-    sig = materialize(signatures(docs, id_col, text_col), "signatures")
-    # Copies meet in a reduction on the map side; one member of each set goes on.
-    sets = materialize(sig.where("set_key is not null").groupBy("set_key").agg(F.min("id").alias("copy_id"), F.count("*").alias("n_copies")), "sets")
-    # An id stands for one set; another set under the same smallest id is not compared with others.
-    reps = materialize(sets.where("copy_id is not null").groupBy("copy_id").agg(F.min(F.struct("set_key", "n_copies")).alias("s")).select("copy_id", "s.set_key", "s.n_copies"), "members")
-    is_rep = (F.col("id") == F.col("copy_id")) & (F.col("k") == F.col("set_key"))
-    own = sig.where("set_key is not null").withColumnRenamed("set_key", "k")
-    keys = own.select("id", "k", "bands").join(reps, is_rep).select("id", F.explode("bands").alias("key"))
+def classed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row per document: id, hash (``row_hash``), label (a number of its class, null without words), class_id, copy_id, n_links, n_shingles."""
+    sig = materialize(signatures(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    # Copies meet in a reduction on the map side; one member of each set, the node, goes on.
+    sets = materialize(sig.where("set_key is not null").groupBy("set_key").agg(F.min("id").alias("copy_id"), F.min("row").alias("node"), F.count("*").alias("n_copies")), "sets")
+    keys = sig.join(sets.select("node"), F.col("row") == F.col("node")).select("node", F.explode("bands").alias("key"))
     # Most buckets hold one document: only those of two or more take MinHash values along.
-    shared = materialize(keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").select("id", "key"), "shared")
-    lows = own.select("id", "k", "low").join(reps, is_rep).select(F.col("id").alias("low_id"), "low")
-    members = shared.join(lows, F.col("id") == F.col("low_id")).select("key", "id", "low")
+    shared = materialize(keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").select("node", "key"), "shared")
+    members = shared.join(sig.select("row", "low"), F.col("node") == F.col("row")).select("key", F.col("node").alias("id"), "low")
     ties = materialize(bucket_ties(members), "ties")
     found = components(ties)
     counts = found.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
     placed = found.join(counts, "label").select("id", "label", (F.col("blocks") - 1).alias("blocks"), F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"))
-    placed = placed.join(reps, F.col("id") == F.col("copy_id"))
+    placed = placed.join(sets, F.col("id") == F.col("node")).join(sig.select("row", "hash"), F.col("id") == F.col("row"))
     # Block b meets the blocks q >= b as the first side and the blocks p < b as the second.
     spots = F.concat(
         F.transform(F.sequence("block", "blocks"), lambda q: F.struct(F.col("block").alias("p"), q.alias("q"), F.lit(0).alias("side"))),
         F.transform(F.filter(F.sequence(F.lit(0).cast("long"), "block"), lambda p: p < F.col("block")), lambda p: F.struct(p.alias("p"), F.col("block").alias("q"), F.lit(1).alias("side"))),
     )
-    placed = materialize(placed.select(F.col("id").alias("p_id"), "label", "set_key", "n_copies", spots.alias("spots")), "blocks")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    texts = texts.join(placed.hint("merge"), F.col("id") == F.col("p_id")).select("id", "text", "label", "set_key", "n_copies", F.explode("spots").alias("s"))
+    placed = materialize(placed.select("node", F.col("hash").alias("p_hash"), "label", "set_key", "n_copies", spots.alias("spots")), "blocks")
+    texts = docs.select(row_hash(id_col, text_col).alias("hash"), text_of(text_col).alias("text"))
+    # Repeated rows have one hash and one text: the text goes on once.
+    texts = texts.join(placed.hint("merge"), F.col("hash") == F.col("p_hash")).drop("p_hash").distinct()
+    texts = texts.select(F.col("node").alias("id"), "text", "label", "set_key", "n_copies", F.explode("spots").alias("s"))
     verified = materialize(_verify(texts.select(F.col("label").alias("component"), "s.p", "s.q", "s.side", "id", "set_key", "n_copies", "text")), "links")
-    links = verified.where("other is null").groupBy(F.col("id").alias("l_id")).agg(F.sum("n").alias("links"))
+    links = verified.where("other is null").groupBy(F.col("id").alias("l_node")).agg(F.sum("n").alias("links"))
     labels = components(verified.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
-    linked = reps.join(links, F.col("copy_id") == F.col("l_id"), "left").join(labels.select(F.col("id").alias("c_id"), "label"), F.col("copy_id") == F.col("c_id"), "left")
-    per = sets.join(linked.select("set_key", "links", "label"), "set_key", "left")
-    per = per.select(F.col("set_key").alias("k"), "copy_id", F.coalesce("label", "copy_id").alias("class_id"), (F.col("n_copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.explode(F.expr("sequence(0L, 15L)")).alias("salt"))
-    rows = sig.select("id", "set_key", "n_shingles", F.pmod(F.xxhash64("id"), F.lit(16)).alias("r_salt"))
+    named = labels.join(sets, F.col("id") == F.col("node")).groupBy("label").agg(F.min("copy_id").alias("least"))
+    labels = labels.join(named, "label").select(F.col("id").alias("c_node"), "label", "least")
+    per = sets.join(links, F.col("node") == F.col("l_node"), "left").join(labels, F.col("node") == F.col("c_node"), "left")
+    per = per.select(
+        F.col("set_key").alias("k"), F.coalesce("label", "node").alias("label"), "copy_id", F.coalesce("least", "copy_id").alias("class_id"),
+        (F.col("n_copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.explode(F.expr("sequence(0L, 15L)")).alias("salt"),
+    )
+    rows = sig.select("id", "hash", "set_key", "n_shingles", F.pmod(F.xxhash64("row"), F.lit(16)).alias("r_salt"))
     out = rows.join(per, (F.col("set_key") == F.col("k")) & (F.col("r_salt") == F.col("salt")), "left")
-    return out.select("id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("copy_id", "id").alias("copy_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "n_shingles")
+    return out.select("id", "hash", "label", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("copy_id", "id").alias("copy_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "n_shingles")
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row per document: id, class_id, copy_id, n_links, n_shingles."""
+    return classed(docs, id_col, text_col).drop("hash", "label")
 
 
 def op5_ngram_join(spark, sf_dir: str) -> DataFrame:

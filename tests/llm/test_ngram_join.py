@@ -83,3 +83,13 @@ def test_pruning_keeps_what_reaches_the_threshold():
     for bits in (8, 32):
         least = j.fewest_equal(bits)
         assert least == sorted(least) and 0.5 * j.HASHES < least[-1] < 0.8 * j.HASHES
+
+
+def test_null_and_repeated_ids(spark):
+    """Sets whose ids are all null, and two sets under one smallest id, keep their near copies."""
+    text = lambda name, *other: " ".join([*(f"{name}{i}" for i in range(60)), *other])
+    rows = [(None, text("a")), (None, text("a", "x")), (3, text("a", "x", "y")), (None, text("b")), (None, text("b", "x")), (None, text("b"))]
+    rows += [(5, text("c")), (5, text("d")), (5, text("c", "x")), (6, text("c", "x", "y")), (7, text("d", "x")), (5, text("c").upper()), (None, ""), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert run(docs) == brute(rows)
+    assert {(r.id, r.class_id) for r in j.join(docs).collect()} == {(None, 3), (3, 3), (None, None), (5, 5), (6, 5), (7, 5)}
