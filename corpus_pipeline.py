@@ -20,16 +20,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each class of near-duplicates, one row of it.
-
-    Rows without an id or without words are in no class and stay."""
-    found = ngram_join.join(docs)
-    keep = materialize(found.where("id is not null and id = class_id").select(F.col("id").alias("k_id")).distinct(), "keep")
-    # Rows of one id count as one document, of which the row with the smallest hash of its text stays.
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").alias("d_id"), F.xxhash64("text").alias("d_hash"))
-    first = F.row_number().over(Window.partitionBy("d_id").orderBy("d_hash"))
-    named = packed.join(keep, F.col("d_id") == F.col("k_id")).withColumn("d_row", first).where("d_row = 1")
-    return named.select("doc.*").unionByName(docs.where("doc_id is null"))
+    """Keeps one row of each class of near-duplicates: of the smallest id, null ids last, and the smallest hash.
+
+    Rows without words are in no class and stay."""
+    found = ngram_join.classed(docs)
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "hash")
+    best = found.where("label is not null").groupBy("label").agg(F.min(place).alias("m")).select("m.id", "m.hash", F.lit(False).alias("alone"))
+    keep = best.unionByName(found.where("label is null").select("id", "hash", F.lit(True).alias("alone")).distinct())
+    known = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(0))
+    keep = materialize(keep.select(known("id").alias("k_id"), F.col("hash").alias("k_hash"), "alone"), "keep")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), known("doc_id").alias("d_id"), ngram_join.row_hash("doc_id", "text").alias("d_hash"))
+    named = packed.join(keep, (F.col("d_id") == F.col("k_id")) & (F.col("d_hash") == F.col("k_hash")))
+    # Of rows of one id and text one stays; each row without words is a group of its own.
+    named = named.withColumn("d_own", F.when(F.col("alone"), F.monotonically_increasing_id()))
+    first = F.row_number().over(Window.partitionBy("d_id", "d_hash", "d_own").orderBy(F.xxhash64("doc")))
+    return named.withColumn("d_row", first).where("d_row = 1").select("doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,6 +40,15 @@ def test_near_duplicates(spark, docs):
     assert rows(out) == sorted((tuple(r) for r in docs.collect() if r.doc_id in keep), key=str)
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    text = lambda name, *other: " ".join([*(f"{name}{i}" for i in range(60)), *other])
+    kept = [(5, text("b")), (5, text("c")), (None, text("d")), (4, text("a")), (None, ""), (None, ""), (5, None), (5, "!")]
+    dropped = [(None, text("a", "x")), (6, text("b", "x")), (7, text("c", "x")), (None, text("d")), (None, text("d")), (4, text("a")), (None, text("b"))]
+    df = spark.createDataFrame(kept + dropped, "doc_id long, text string")
+    out = STAGE["ngram_jaccard_join"](spark, df, SF)
+    assert out.schema == df.schema and rows(out) == sorted(kept, key=str)
+
+
 def test_decontamination(spark, docs):
     out = STAGE["benchmark_decontamination"](spark, docs, SF)
     items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
