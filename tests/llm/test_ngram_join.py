@@ -93,3 +93,14 @@ def test_null_and_repeated_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert run(docs) == brute(rows)
     assert {(r.id, r.class_id) for r in j.join(docs).collect()} == {(None, 3), (3, 3), (None, None), (5, 5), (6, 5), (7, 5)}
+
+
+def test_stated_loss_of_pruning():
+    for bits, at, stated in ((8, 0.8, 8.5e-5), (32, 0.8, 8.3e-5), (8, 0.82, 1.7e-5), (32, 0.82, 1.7e-5), (8, 0.85, 1.9e-6), (32, 0.85, 2.0e-6)):
+        least, p = j.fewest_equal(bits), at + (1 - at) / 2.0**bits
+        chance = np.eye(1, j.HASHES + 1)[0]
+        for n in range(1, j.HASHES + 1):
+            chance = chance * (1 - p) + np.concatenate([[0], chance[:-1]]) * p
+            if n % j.STEP == 0:
+                chance[: least[n // j.STEP]] = 0
+        assert abs(1 - chance.sum() - stated) < 0.05 * stated
