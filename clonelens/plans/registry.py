@@ -478,7 +478,7 @@ def cluster_distribution(spark, sf):
 
 @query(f"{INTRA}, sizes as (select family as cluster_id, sum(occurrence)::bigint as n from f1 group by family), u as (select cluster_id, avg(nearest) as u from intra where cluster_id % 5 <> 0 group by 1) select cluster_id, n, round(coalesce(u, 0), 6) as uniformity from sizes left join u using (cluster_id)")
 def uniformity_by_size(spark, sf):
-    u = refine.uniformity(refine.intra_distances(_members(spark, sf), _distance())).where("cluster_id % 5 != 0")
+    u = refine.uniformity(refine.intra_distances(_members(spark, sf), _distance()))
     return diversity.uniformity_by_size(_sizes(spark, sf), u).select("cluster_id", "n", r6("uniformity").alias("uniformity"))
 
 

@@ -3,6 +3,7 @@ import math
 import duckdb
 import pytest
 
+from clonelens.operators import diversity
 from clonelens.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -50,3 +51,15 @@ def test_combined_distance_pairs_the_whole_view(spark, tmp_path):
     got = registry.queries()["combined_distance"](spark, str(tmp_path)).select("a", "b", "dist").collect()
     assert max(r[0] for r in want) >= 300
     assert plain(map(tuple, got)) == plain(want)
+
+
+def test_uniformity_of_every_cluster(spark, duck):
+    whole = registry.oracle_sql()["uniformity_by_size"].replace(" where cluster_id % 5 <> 0", "")
+    got = registry.queries()["uniformity_by_size"](spark, SF).select("cluster_id", "n", "uniformity").collect()
+    assert plain(map(tuple, got)) == plain(duck.sql(whole).fetchall())
+    assert any(r.uniformity > 0 for r in got if r.cluster_id % 5 == 0)
+
+
+def test_uniformity_of_a_cluster_without_one(spark):
+    sizes, some = spark.createDataFrame([(1, 4), (2, 7)], "cluster_id long, n long"), spark.createDataFrame([(2, 0.5)], "cluster_id long, uniformity double")
+    assert sorted(map(tuple, diversity.uniformity_by_size(sizes, some).collect())) == [(1, 4, 0.0), (2, 7, 0.5)]
