@@ -333,7 +333,7 @@ INTER = f"{INTRA}, inter as (select a.cluster_id, a.id, a.ordinal, b.cluster_id
 
 def _inter(spark, sf):
     m = _members(spark, sf)
-    near = m.select("cluster_id", ((F.col("cluster_id") + 30) % 40).alias("neighbour")).distinct()
+    near = refine.nearest_centroids(refine.set_medoid(m).withColumnRenamed("medoid", "centroid"))
     return m, refine.inter_distances(m, near, _distance())
 
 
@@ -345,8 +345,7 @@ def inter_distance(spark, sf):
 @query(f"{INTER} select i.cluster_id, neighbour, count(*) as n, min(ordinal) as first from inter i join intra a using (cluster_id, id) where bi < ai + 0.9 and same_length group by 1, 2")
 def inconsistency_counts(spark, sf):
     m, inter = _inter(spark, sf)
-    intra = refine.intra_distances(m, _distance()).withColumn("ai", F.col("ai") + 0.9)
-    return refine.inconsistencies(intra, inter)
+    return refine.inconsistencies(refine.intra_distances(m, _distance()), inter)
 
 
 @query(f"{WITH1} select r.sequence_id as rep_id, s.sequence_id, s.family as cluster_id from f1 s join (select * from f1 qualify row_number() over (partition by v_call, j_call, cdr3_aa order by ordinal) = 1) r using (v_call, j_call, cdr3_aa)")

@@ -1,0 +1,21 @@
+from test_queries import SF, duck, plain  # noqa: F401
+
+from clonelens.plans import registry
+
+# The nearest medoid instead of the registered SQL's fixed neighbour.
+SQL = registry.oracle_sql()
+MEDOIDS = SQL["set_medoid"].removeprefix(registry.REPS).rsplit(" select cluster_id, medoid from med", 1)[0]
+NEAR = "near as (select a.cluster_id as c, b.cluster_id as neighbour from med a join med b on a.cluster_id <> b.cluster_id qualify row_number() over (partition by a.cluster_id order by levenshtein(a.medoid, b.medoid), b.cluster_id) = 1)"
+INTER = registry.INTER.replace(", inter as (", f"{MEDOIDS}, {NEAR}, inter as (").replace("join reps b on b.cluster_id = (a.cluster_id + 30) % 40", "join near on near.c = a.cluster_id join reps b on b.cluster_id = near.neighbour")
+
+
+def test_inter_distance_to_the_nearest_centroid(spark, duck):  # noqa: F811
+    want = duck.sql(f"{INTER} select id, neighbour, round(bi, 6) as bi, same_length from inter")
+    got = registry.queries()["inter_distance"](spark, SF).select("id", "neighbour", "bi", "same_length").collect()
+    assert len(got) > 100 and plain(map(tuple, got)) == plain(want.fetchall())
+
+
+def test_inconsistencies_with_the_nearest_centroid(spark, duck):  # noqa: F811
+    want = duck.sql(f"{INTER} select i.cluster_id, neighbour, count(*) as n, min(ordinal) as first from inter i join intra a using (cluster_id, id) where bi < ai and same_length group by 1, 2")
+    got = registry.queries()["inconsistency_counts"](spark, SF).select("cluster_id", "neighbour", "n", "first").collect()
+    assert plain(map(tuple, got)) == plain(want.fetchall())
