@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a folder of this machine in
+    local mode, and on a cluster one below the warehouse, which is shared."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='clonelens-')}"
+        local = spark.sparkContext.master.startswith("local")
+        base = f"file://{tempfile.mkdtemp(prefix='clonelens-')}" if local else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
@@ -56,3 +58,9 @@ def give_back() -> None:
 def partitions(spark: SparkSession) -> int:
     """Tasks of a shuffle, as the session sets them."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def tasks_for(df: DataFrame, bytes_a_task: int) -> int:
+    """Tasks of a shuffle of ``df``: as the session sets them, or more where the plan's size is known to need them."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(partitions(df.sparkSession), size // bytes_a_task if size < 1 << 60 else 0)

@@ -1,18 +1,21 @@
 """Secret scans over an incremental blob ledger, in DataFrame operations only.
 
-Every version of every path is content-addressed by SHA-256. The ledger holds the (blob, rule, rule version) pairs that
-were scanned and their findings; a scan reads the texts of only those blobs that have a pair not yet in the ledger, each
-distinct blob once, and appends to the ledger. Findings are then joined back to all paths of a blob.
+Every version of every path is content-addressed by SHA-256. The ledger is three tables: the versions (scan, path, blob)
+of all scans ever made, the (blob, rule, rule version) pairs that were scanned, and their findings. A scan hashes the
+versions it is given, reads the texts of only those blobs that have a pair not yet in the ledger, each distinct blob
+once, and appends to the ledger. Findings are then joined back to the paths of one scan or of all scans.
 
 Positions come from native functions: splitting at a pattern gives the gaps before its matches, extracting all gives the
 matches, and a running sum over both lengths inside a blob gives code-point offsets.
 
-Defined results: a null text is the empty text; a null path is a path of its own; repeated rows give a row each; an
-empty table gives no rows; other columns are ignored; a rule whose version changes is scanned again.
+Defined results: a null text is the empty text; a null path is a path of its own; repeated rows give a row each, their
+text being scanned once; an empty table gives no rows; other columns are ignored; a rule whose version, pattern, group or
+least length changes is scanned again.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from .common import materialize, shared_path, table, text_of
 
 SALTS = 16
+SENT_BLOBS = 50_000
 
 
 @dataclass(frozen=True)
@@ -33,6 +37,11 @@ class Rule:
     group: int = 0
     least: int = 0
 
+    @property
+    def key(self) -> str:
+        """The version in the ledger: a changed rule is another one even where its number stays."""
+        return f"{self.version}.{zlib.crc32(repr((self.pattern, self.group, self.least)).encode()):08x}"
+
 
 # A shorter run of hex digits, or of capitals and digits after AKIA, holds no long one: the bounds can stand in the pattern.
 RULES = (
@@ -41,27 +50,36 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]{24,}"),
 )
 
-PAIRS = "blob string, rule string, version int"
+PAIRS = "blob string, rule string, version string"
 FINDINGS = PAIRS + ", start long, end long"
 
 
 class Ledger:
-    """Scanned pairs and findings as Parquet tables below ``path``; each scan appends."""
+    """Versions, scanned pairs and findings as Parquet tables below ``path``; each scan appends. ``path_type`` is the type of paths."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, path_type: str = "string"):
+        self.spark, self.path, self.path_type = spark, path, path_type
 
     def _read(self, name: str, schema: str) -> DataFrame:
         fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         there = fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(fs_path)
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if there else self.spark.createDataFrame([], schema)
 
+    def versions(self, scan: int | None = None) -> DataFrame:
+        """(scan, path, blob): a row for every row of every scan, or of one."""
+        every = self._read("versions", f"scan long, path {self.path_type}, blob string")
+        return every if scan is None else every.where(F.col("scan") == scan)
+
+    def scans(self) -> int:
+        """The number of scans so far."""
+        return self.versions().agg(F.coalesce(F.max("scan"), F.lit(0))).first()[0]
+
     def pairs(self) -> DataFrame:
         return self._read("pairs", PAIRS)
 
     def findings(self, rules=RULES) -> DataFrame:
         """Findings of the given rule versions, each once, also where a scan was cut short and repeated."""
-        known = [(F.col("rule") == r.name) & (F.col("version") == r.version) for r in rules]
+        known = [(F.col("rule") == r.name) & (F.col("version") == r.key) for r in rules]
         chosen = known[0]
         for k in known[1:]:
             chosen = chosen | k
@@ -79,7 +97,7 @@ def _matches(rule: Rule) -> Column:
     gaps, found = n(F.split("text", rule.pattern, -1)), n(F.regexp_extract_all("text", p, F.lit(0)))
     tested = n(F.regexp_extract_all("text", p, F.lit(rule.group))) if rule.group else found
     zipped = F.arrays_zip(gaps.alias("gap"), found.alias("size"), tested.alias("tested"))
-    rows = F.transform(F.filter(zipped, lambda x: x["size"].isNotNull()), lambda x, i: F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.version).alias("version"), i.alias("at"), x["gap"].alias("gap"), x["size"].alias("size"), (x["tested"] >= rule.least).alias("kept")))
+    rows = F.transform(F.filter(zipped, lambda x: x["size"].isNotNull()), lambda x, i: F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.key).alias("version"), i.alias("at"), x["gap"].alias("gap"), x["size"].alias("size"), (x["tested"] >= rule.least).alias("kept")))
     return F.when(F.array_contains("rules", F.lit(rule.name)) & F.col("text").rlike(rule.pattern), rows)
 
 
@@ -91,23 +109,29 @@ def scan_blobs(texts: DataFrame, rules=RULES) -> DataFrame:
     return found.withColumn("end", end).where("kept").select("blob", "rule", "version", (F.col("end") - F.col("size")).alias("start"), "end")
 
 
-def update(versions: DataFrame, ledger: Ledger, rules=RULES, path_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Scan what ``ledger`` has not seen of ``versions``; returns (path, blob), a row per version."""
-    named = versions.select(F.col(path_col).alias("path"), text_of(text_col).alias("text")).withColumn("blob", F.sha2("text", 256))
-    refs = materialize(named.select("path", "blob"), "refs")
-    blobs = refs.groupBy("blob").agg(F.min(F.struct("path")).alias("first"))
-    wanted = blobs.select("blob", F.col("first.path").alias("first_path"), F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules])).alias("r")).select("blob", "first_path", "r.*")
-    unseen = wanted.join(ledger.pairs(), ["blob", "rule", "version"], "left_anti")
-    todo = materialize(unseen.groupBy("blob", "first_path").agg(F.collect_set("rule").alias("rules")), "unseen")
-    n = named.alias("n").join(todo.withColumnRenamed("blob", "todo_blob").hint("shuffle_hash"), (F.col("blob") == F.col("todo_blob")) & F.col("path").eqNullSafe(F.col("first_path")))
-    of = {r.name: r.version for r in rules}
-    versions_of = F.element_at(F.create_map(*[F.lit(x) for kv in of.items() for x in kv]), F.col("rule")).alias("version")
-    ledger.append(scan_blobs(n.select("blob", "rules", "text"), rules), todo.select("blob", F.explode("rules").alias("rule")).select("blob", "rule", versions_of))
-    return refs
+def update(versions: DataFrame, ledger: Ledger, rules=RULES, path_col: str = "doc_id", text_col: str = "text", sent_blobs: int = SENT_BLOBS) -> int:
+    """Scan what ``ledger`` has not seen of ``versions``; returns the number of this scan.
+
+    Copies of a text meet on the map side, so a blob that very many rows hold is dealt as a row a task. Blobs to scan are
+    sent to all tasks where they are at most ``sent_blobs`` (64 bytes each), so that known texts are not dealt at all."""
+    named = versions.select(F.col(path_col).cast(ledger.path_type).alias("path"), text_of(text_col).alias("text")).withColumn("blob", F.sha2("text", 256))
+    scan = ledger.scans() + 1
+    named.select(F.lit(scan).cast("long").alias("scan"), "path", "blob").write.mode("append").parquet(f"{ledger.path}/versions")
+    blobs = ledger.versions(scan).select("blob").distinct()
+    wanted = blobs.select("blob", F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.key).alias("version")) for r in rules])).alias("r")).select("blob", "r.*")
+    unseen = wanted.join(ledger.pairs().distinct(), ["blob", "rule", "version"], "left_anti")
+    todo = materialize(unseen.groupBy("blob").agg(F.collect_set("rule").alias("rules")), "unseen")
+    if todo.count() <= sent_blobs:
+        named = named.join(F.broadcast(todo.select("blob")), "blob", "left_semi")
+    texts = named.groupBy("blob").agg(F.first("text").alias("text")).join(todo.hint("shuffle_hash"), "blob")
+    of = {r.name: r.key for r in rules}
+    key_of = F.element_at(F.create_map(*[F.lit(x) for kv in of.items() for x in kv]), F.col("rule")).alias("version")
+    ledger.append(scan_blobs(texts.select("blob", "rules", "text"), rules), todo.select("blob", F.explode("rules").alias("rule")).select("blob", "rule", key_of))
+    return scan
 
 
 def report(refs: DataFrame, findings: DataFrame, rules=RULES) -> DataFrame:
-    """Per version (path, blob, spans, n_<rule>...): findings of its blob joined back, salted over SALTS keys as many paths may share one."""
+    """Per version of ``refs`` (path, blob, spans, n_<rule>...): findings of its blob joined back, salted over SALTS keys as many paths may share one."""
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))])
     span = F.struct("start", F.element_at(order, F.col("rule")).alias("k"), F.col("rule"), F.col("end"))
     text = lambda s: F.concat_ws(":", s["rule"], s["start"].cast("string"), s["end"].cast("string"))
@@ -119,9 +143,9 @@ def report(refs: DataFrame, findings: DataFrame, rules=RULES) -> DataFrame:
 
 
 def op2_secrets(spark, sf_dir: str) -> DataFrame:
-    ledger = Ledger(spark, shared_path(spark, "ledger"))
-    refs = update(table(spark, sf_dir, "documents"), ledger)
-    out = report(refs, ledger.findings())
+    ledger = Ledger(spark, shared_path(spark, "ledger"), "long")
+    scan = update(table(spark, sf_dir, "documents"), ledger)
+    out = report(ledger.versions(scan), ledger.findings())
     return out.select(F.col("path").alias("doc_id"), "n_assign", "n_access", "n_hex", F.sha2("spans", 256).alias("base_sha256"), "spans")
 
 

@@ -29,9 +29,9 @@ TEXTS = [
 
 
 def run(spark, docs, tmp_path):
-    ledger = s.Ledger(spark, str(tmp_path / "ledger"))
-    refs = s.update(docs, ledger)
-    return s.report(refs, ledger.findings())
+    ledger = s.Ledger(spark, str(tmp_path / "ledger"), "long")
+    scan = s.update(docs, ledger)
+    return s.report(ledger.versions(scan), ledger.findings())
 
 
 def test_spans(spark, tmp_path):
@@ -51,13 +51,43 @@ def test_documents(spark, tmp_path):
 
 
 def test_only_unseen_pairs(spark, tmp_path):
-    ledger = s.Ledger(spark, str(tmp_path / "ledger"))
+    ledger = s.Ledger(spark, str(tmp_path / "ledger"), "long")
     first = spark.createDataFrame([(1, TEXTS[0]), (2, TEXTS[0])], "doc_id long, text string")
-    s.update(first, ledger)
+    assert s.update(first, ledger) == 1
     assert ledger.pairs().count() == 3
-    s.update(spark.createDataFrame([(3, TEXTS[0]), (4, TEXTS[1])], "doc_id long, text string"), ledger)
+    assert s.update(spark.createDataFrame([(3, TEXTS[0]), (4, TEXTS[1])], "doc_id long, text string"), ledger) == 2
     assert ledger.pairs().count() == 6
+    # A new version, then a changed pattern under the same version.
     newer = (*s.RULES[:2], s.Rule("hex", 2, r"[0-9a-f]{8,}"))
-    refs = s.update(first, ledger, newer)
-    assert ledger.pairs().count() == 7
-    assert s.report(refs, ledger.findings(newer), newer).count() == 2
+    scan = s.update(first, ledger, newer)
+    assert scan == 3 and ledger.pairs().count() == 7
+    assert s.report(ledger.versions(scan), ledger.findings(newer), newer).count() == 2
+    s.update(first, ledger, (*s.RULES[:2], s.Rule("hex", 2, r"[0-9a-f]{9,}")))
+    assert ledger.pairs().count() == 8
+
+
+def test_history_of_all_paths(spark, tmp_path):
+    """Paths of earlier scans, and the texts they had then, are reported with the findings of later scans."""
+    ledger = s.Ledger(spark, str(tmp_path / "ledger"), "long")
+    rows = lambda *r: spark.createDataFrame(r, "doc_id long, text string")
+    s.update(rows((1, TEXTS[0]), (2, "clean"), (None, TEXTS[4])), ledger)
+    s.update(rows((1, "clean now"), (3, TEXTS[0])), ledger)
+    got = sorted(((r.path, r.spans) for r in s.report(ledger.versions(), ledger.findings()).collect()), key=str)
+    assert got == sorted([(1, brute(TEXTS[0])), (2, ""), (None, brute(TEXTS[4])), (1, ""), (3, brute(TEXTS[0]))], key=str)
+
+
+def test_repeated_rows_scan_one_text(spark, tmp_path, monkeypatch):
+    scanned, plain = [], s.scan_blobs
+    monkeypatch.setattr(s, "scan_blobs", lambda texts, rules: (scanned.append(texts.count()), plain(texts, rules))[1])
+    docs = spark.createDataFrame([(7, TEXTS[0])] * 40 + [(8, TEXTS[0])], "doc_id long, text string").repartition(3)
+    for n, sent in enumerate((s.SENT_BLOBS, 0)):
+        ledger = s.Ledger(spark, str(tmp_path / f"l{n}"), "long")
+        scan = s.update(docs, ledger, sent_blobs=sent)
+        assert s.report(ledger.versions(scan), ledger.findings()).where(f"spans = '{brute(TEXTS[0])}'").count() == 41
+    assert scanned == [1, 1]
+
+
+def test_query_equals_sql(spark):
+    from sqlcheck import equals_sql
+
+    equals_sql(spark, "op2_secrets")
