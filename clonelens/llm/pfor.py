@@ -22,19 +22,20 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import give_back, partitions, shared_path, table, text_of
+from .common import give_back, shared_path, table, tasks_for, text_of
 from .words import buffers, chunks
 
 BLOCK = 128
 PERCENTILE = 0.98
 SEGMENT_IDS = 1 << 20
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 8 << 20
+TASK_BYTES = 64 << 20
 END_ID = 0
 MEMO = 400_000
 _BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
@@ -137,99 +138,94 @@ class Segment:
         return out.ravel()[: self.n]
 
 
-class _Memo(dict):
-    def __init__(self, *known):
-        super().__init__(*known)
-        self.new: list[str] = []
-
-    def __missing__(self, key):
-        self[key] = i = len(self)
-        self.new.append(key)
-        return i
-
-
 BARE = "\n\n"  # marks a piece without a blank before it; no plain text holds it
 WHOLE = "\n\n\x00"  # stands for a text that is encoded as a whole
-MARKS = frozenset(".,;:!?")
 _ODD = "^$|^ | $|\n$|^\n|  | \n|\n |\n\n|[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Letters that every version of Unicode since 3.0 knows, by ranges: Latin, Greek, Cyrillic, Hebrew, Arabic, kana, CJK, Hangul.
+_LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u021f\u0391-\u03a1\u03a3-\u03ce\u0400-\u0481\u05d0-\u05ea\u0621-\u063a\u0641-\u064a\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+_WORD = f"^(?P<line>\n{{0,2}})(?P<word>[{_LETTER}]+)(?P<signs>[!-/:-@\\[-`{{-~]*)$"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: visible Latin-1 characters themselves, others counted up from 256."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in own)
+    return {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 class Encoder:
     """Byte-level BPE of whole texts through the tokenizers library, with a table of words met before.
 
-    The library's pre-tokenizer always starts a piece at a blank before a non-blank, at a single line end and at a mark
-    after a letter, and merges stay inside pieces. So a text whose white space is single blanks and line ends between
-    words equals the sequence of its words' encodings; any other text is encoded as a whole.
+    The library's pre-tokenizer always starts a piece at a blank before a non-blank, at a single line end and at a run of
+    signs after letters, and merges stay inside pieces. So a text whose white space is single blanks and line ends between
+    words equals the sequence of its words' encodings; any other text is encoded as a whole, and so is every text where
+    the tokenizer is of another kind. Pieces that are letters alone go straight to the library's model.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
-        self.tok = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.memo = _Memo({"": 0})
+        self.tok = tok = Tokenizer.from_file(path)
+        self.special = [t.content for t in tok.get_added_tokens_decoder().values()]
+        pre = tok.pre_tokenizer
+        self.by_words = isinstance(tok.model, models.BPE) and isinstance(pre, pre_tokenizers.ByteLevel) and not pre.add_prefix_space and tok.normalizer is None
+        self.memo: dict[str, int] = {"": 0}
         self.flat, self.start, self.length = np.array([END_ID], np.uint32), np.array([0]), np.array([1])
 
-    def _learn(self, known: int, whole: list[str]):
-        """Fill the table for the keys that the memo got since it had ``known``."""
-        memo = self.memo
-        get, pairs = memo.__getitem__, []
-
-        def parts(test, first, second):
-            """Keys that ``test`` picks from the new ones are pairs of keys; what this adds to the memo is new as well."""
-            at, new = known, memo.new
-            while new:
-                memo.new = []
-                hits = np.flatnonzero(np.fromiter(map(test, new), bool, len(new)))
-                some = [new[i] for i in hits.tolist()]
-                found.append(new)
-                pairs.append((hits + at, np.fromiter(map(get, map(first, some)), np.int64, len(some)), np.fromiter(map(get, map(second, some)), np.int64, len(some))))
-                at, new = at + len(new), memo.new
-
-        # A mark after a letter, and a line end before a word, are pieces of their own.
-        found: list[list[str]] = []
-        parts(lambda x: x[-1] in MARKS and x[-2:-1].isalpha(), lambda x: x[:-1], lambda x: BARE + x[-1])
-        marked, pairs, memo.new = pairs, [], list(chain.from_iterable(found))
-        found = []
-        parts(lambda x: x[0] == "\n" and x[1:].isalpha(), lambda x: BARE + "\n", lambda x: BARE + x[1:])
-        lined, new = pairs, list(chain.from_iterable(found))
-        memo.new = []
-        pairs = [tuple(np.concatenate(c) for c in zip(*kind, strict=True)) for kind in (lined, marked)]
-        rest = np.ones(len(new), bool)
-        for at, _, _ in pairs:
-            rest[at - known] = False
-        rest = np.flatnonzero(rest)
-        words = [new[i] for i in rest.tolist()]
-        # Words of letters alone go to the library in one text, of which the encoding says which word an id is of.
-        blank = np.fromiter(map(str.isalpha, words), bool, len(words))
-        bare = np.fromiter((x[:2] == BARE and x[2:].isalpha() for x in words), bool, len(words))
-        at, flats, counts = [], [], []
-        for mask, cut, lead, gap, step in ((blank, 0, " ", " ", 1), (bare, 2, "", "\n", 2)):
-            own = np.flatnonzero(mask)
-            at.append(rest[own])
-            for a in range(0, len(own), 1000):
-                part = [words[i][cut:] for i in own[a : a + 1000].tolist()]
-                e = self.tok.encode(lead + gap.join(part), add_special_tokens=False)
-                of = np.array(e.word_ids, np.int64)
-                flats.append(np.array(e.ids, np.uint32)[of % step == 0])
-                counts.append(np.bincount(of, minlength=step * len(part))[::step][: len(part)])
-        own = np.flatnonzero(~(blank | bare))
-        at.append(rest[own])
-        other = [words[i] for i in own.tolist()]
-        raw = [whole[int(x[3:])] if x[:3] == WHOLE else x[2:] if x[:2] == BARE else x if x[:1] == "\n" else " " + x for x in other]
-        lists = [e.ids for e in self.tok.encode_batch(raw, add_special_tokens=False)] if raw else []
-        counts.append(np.fromiter(map(len, lists), np.int64, len(lists)))
-        flats.append(np.fromiter(chain.from_iterable(lists), np.uint32, int(counts[-1].sum())))
-        flat, lengths, at = np.concatenate(flats), np.concatenate(counts).astype(np.int64), np.concatenate(at) + known
-        more = np.zeros(len(memo) - known, np.int64)
-        self.start, self.length = start, length = np.concatenate([self.start, more]), np.concatenate([self.length, more])
-        start[at], length[at] = len(self.flat) + np.cumsum(lengths) - lengths, lengths
-        self.flat = np.concatenate([self.flat, flat])
-        for at, one, two in pairs:
-            length[at] = length[one] + length[two]
-            start[at] = len(self.flat) + np.cumsum(length[at]) - length[at]
-            both = np.stack([one, two], 1).ravel()
-            self.flat = np.concatenate([self.flat, self._gather(start[both], length[both])])
+    def _letters(self, words: list[str], lead: str) -> list[list[int]]:
+        """Ids of pieces of letters, each after ``lead``."""
+        tokenize = self.tok.model.tokenize
+        mapped = [lead + (w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_LETTERS)) for w in words]
+        return [[t.id for t in tokenize(w)] for w in mapped]
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)] if texts else []
+
+    def _enter(self, names: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        known = len(self.memo)
+        self.memo.update(zip(names, range(known, known + len(names)), strict=True))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.length = np.concatenate([self.length, lengths])
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _add(self, names: list[str], lists: list[list[int]]) -> None:
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        self._enter(names, np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum())), lengths)
+
+    def _find(self, names: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.memo.get, names, repeat(-1)), np.int64, len(names))
+
+    def _learn(self, new) -> None:
+        """Enter the words of the Arrow array ``new``, none of which is known."""
+        import pyarrow.compute as pc
+
+        parts = pc.extract_regex(new, _WORD)
+        other = new.filter(pc.invert(pc.is_valid(parts))).to_numpy(zero_copy_only=False).tolist()
+        self._add(other, self._whole([x[2:] if x[:2] == BARE else x if x[:1] == "\n" else " " + x for x in other]))
+        new, parts = new.filter(pc.is_valid(parts)), parts.filter(pc.is_valid(parts))
+        names, lines, words, signs = (x.to_numpy(zero_copy_only=False) for x in (new, *(pc.struct_field(parts, [k]) for k in ("line", "word", "signs"))))
+        bare, lined, signed = lines != "", lines == "\n", signs != ""
+        # The words themselves, then line ends and runs of signs, then what is put together from these.
+        for is_bare, mark, lead in ((False, "", "\u0120"), (True, BARE, "")):
+            todo = [w for w in dict.fromkeys(words[bare == is_bare].tolist()) if mark + w not in self.memo]
+            self._add([mark + w for w in todo], self._letters(todo, lead))
+        runs = [x for x in ["\n", *dict.fromkeys(signs[signed].tolist())] if BARE + x not in self.memo]
+        self._add([BARE + x for x in runs], self._whole(runs))
+        for has_line, has_sign in ((False, True), (True, False), (True, True)):
+            at = np.flatnonzero((lined == has_line) & (signed == has_sign))
+            if not len(at):
+                continue
+            pieces = [self._find([(BARE if b else "") + w for w, b in zip(words[at].tolist(), bare[at].tolist(), strict=True)])]
+            if has_line:
+                pieces.insert(0, np.full(len(at), self.memo[BARE + "\n"]))
+            if has_sign:
+                pieces.append(self._find([BARE + x for x in signs[at].tolist()]))
+            index = np.stack(pieces, 1)
+            ids, total = self._gather(self.start[index.ravel()], self.length[index.ravel()]), self.length[index].sum(1)
+            self._enter(names[at].tolist(), ids, total)
 
     def _gather(self, start, length):
         ends = np.cumsum(length)
@@ -237,7 +233,7 @@ class Encoder:
 
     def _keep(self, n: int):
         """Forget all but the ``n`` first words, which are mostly the frequent ones."""
-        self.memo = _Memo(islice(self.memo.items(), n))
+        self.memo = dict(islice(self.memo.items(), n))
         self.flat = self._gather(self.start[:n], self.length[:n])
         self.length = self.length[:n]
         self.start = np.cumsum(self.length) - self.length
@@ -249,27 +245,35 @@ class Encoder:
 
         if len(self.memo) > MEMO:
             self._keep(MEMO // 2)
-        odd = pc.match_substring_regex(texts, _ODD)
+        odd = pc.match_substring_regex(texts, _ODD if self.by_words else "")
         for s in self.special:
             odd = pc.or_(odd, pc.match_substring(texts, s))
         at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
-        whole, known = texts.take(pa.array(at)).to_pylist(), len(self.memo)
+        whole = texts.take(pa.array(at)).to_pylist()
         marked = pc.binary_join_element_wise(BARE, pc.replace_substring(texts, "\n", " \n"), " ", "")
         if whole:
             marked = pc.replace_with_mask(marked, odd, pa.array([f"{WHOLE}{i} " for i in range(len(whole))], marked.type))
         pieces = pc.split_pattern(marked, " ")
         counts = pc.list_value_length(pieces).to_numpy().astype(np.int64)
         coded = pieces.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        index = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
-        if self.memo.new:
-            self._learn(known, whole)
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        index = self._find(words)
+        names = [f"{WHOLE}{i}" for i in range(len(whole))]
+        new = np.flatnonzero((index < 0) & ~pc.starts_with(coded.dictionary, WHOLE).to_numpy(zero_copy_only=False))
+        if len(new):
+            self._learn(coded.dictionary.take(pa.array(new)))
+        known = len(self.memo), len(self.flat)
+        self._add(names, self._whole(whole))
+        at = np.flatnonzero(index < 0)
+        index[at] = self._find([words[i] for i in at.tolist()])
         index = index[coded.indices.to_numpy()]
         lengths = self.length[index]
         ids = self._gather(self.start[index], lengths)
         per = np.add.reduceat(lengths, np.cumsum(counts) - counts) if len(counts) else np.zeros(0, np.int64)
-        if whole:
-            self._keep(known)
+        # Whole texts are not kept.
+        for x in names:
+            del self.memo[x]
+        self.start, self.length, self.flat = self.start[: known[0]], self.length[: known[0]], self.flat[: known[1]]
         return ids, per
 
 
@@ -288,8 +292,10 @@ SEGMENTS = "part int, seq int, n_rows long, n_ids long, data binary"
 def write_ids(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", percentile: float = PERCENTILE, segment_ids: int = SEGMENT_IDS) -> None:
     """Write the segments of ``docs`` below ``path``."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(partitions(docs.sparkSession), F.col("id").asc_nulls_first(), "tie")
-    rows = rows.sortWithinPartitions(F.col("id").asc_nulls_first(), "tie").select("id", "text")
+    # Equal rows may stand in any order, so the last key parts even an id that very many of them have.
+    order = [F.col("id").asc_nulls_first(), F.col("tie"), F.col("row")]
+    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(tasks_for(docs, TASK_BYTES), *order).sortWithinPartitions(*order).select("id", "text")
 
     def run(batches):
         import os
