@@ -1,14 +1,18 @@
 """Toxicity by a subsequence string kernel, Nyström landmarks and a linear support vector machine.
 
-A text is cut into units: its blank-separated tokens without punctuation, digit spellings folded to letters, and
-runs of single characters joined, so that spaced, punctuated and inserted-character insults stay comparable. Two
-units are compared by the gap-weighted subsequence kernel of ORDER letters within a span of SPAN, normalised. Landmarks
-from the training sentences span the Nyström feature space; the machine is linear there. Since each landmark's kernel is
-a sum over subsequences, machine and landmarks together are one weight a subsequence, which is how texts are scored.
-
-A labelled sentence of a toxic text need not hold the insult, so training follows multiple instances: the units of clean
-sentences are negative, and of a toxic text's units the most telling ones, by the counts of distinct sentences of either
-label that hold them, are positive. A text's score is a logistic function of its largest unit margins.
+A text is cut into units (``strings``): its blank-separated tokens without punctuation, digit spellings read as letters, and
+runs of single characters joined, so that spaced, punctuated and inserted-character insults stay comparable. Units are
+compared by the gap-weighted subsequence kernel. Landmarks from the training sentences span the Nyström feature space; the
+machine is linear there. Since each landmark's kernel is a sum over subsequences, machine and landmarks together are one
+weight a subsequence, which is how texts are scored.
+
+A labelled sentence of a toxic text need not hold the insult, so training follows multiple instances: all units of clean
+sentences are negative, by the root of the number of sentences that hold them; of each toxic text the unit that the machine
+finds most toxic, its witness, is positive, and so is every unit that it takes for toxic, unless clean sentences hold it as
+often. The first witnesses come from counts, later ones from the machine of the round before; a text without any unit that
+looks toxic drops out, as labels may be wrong. Each round solves the machine over all units: those that violate the margin
+join the solver's rows until none does. A text's score is a logistic function of its largest unit margins and of its number
+of tokens, since a long text meets chance likenesses more often.
 
 Training reads at most ROWS_A_CLASS labelled rows of each class; every text is scored whole.
 
@@ -21,121 +25,73 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import strings
 from .common import give_back, materialize, table, text_of
 
 ROWS_A_CLASS = 2000
 LANDMARKS = 400
-POSITIVES, NEGATIVES = 600, 5000
-LEAST_TOXIC = 3
-FALSE_STEMS = 0.01  # stems that chance alone may make telling
-STEM = (4, 5, 6, 7)
-FIRST = "`"
-STEM_MARK = "\t"
-RIDGE, COST = 1e-2, 1.0
-SPAN, DECAY = 6, 0.6
-ORDER = 3
-LONGEST, STRIDE = 24, 16
-ROWS_AT_ONCE = 2000
-MEMO = 250_000
+ROUNDS = 3  # of choosing witnesses
+PASSES = 12  # over all units in one round, fewer once no unit violates the margin
+WORST = 4_000  # violating units that join the solver in one pass
+RIDGE, COST = 1e-2, 10.0
+POSITIVE_SHARE = 0.02  # weight of all positive units beside that of all negative ones
+TWICE = 2  # weight of a toxic text beside a clean one in the logistic
+RARER = 10  # a positive unit's share of toxic sentences is at least so many times its share of clean ones
+LOST = -0.5  # margin of the witness below which a toxic text drops out
+SLACK = 0.02  # how far a unit may violate the margin
+MEMO = 400_000
+SCORED_BYTES = 4 << 20
 TOP = 3
 NONE = -1.5
-
-_OFFSETS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN - a)]
-_WEIGHT = {d: DECAY ** (sum(d) + 1) for d in _OFFSETS}
-# Digits and signs that are written for letters.
-_WRITTEN_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
-_SPACED = re.compile(r"(?<!\S)(?:\S\s){2,}\S(?!\S)")
-
-
-def _symbols() -> np.ndarray:
-    """Symbol of each code point below 0x250: 1 to 26 for letters, 27 to 31 for others, 0 for what is left out."""
-    out = np.zeros(0x250, np.uint8)
-    for cp in range(0x250):
-        c = chr(cp).lower()
-        base = _WRITTEN_FOR.get(c, c)
-        out[cp] = ord(base) - 96 if "a" <= base <= "z" and len(base) == 1 else 27 + cp % 5 if c.isalnum() else 0
-    return out
-
-
-_LOW = _symbols()
-
-
-def units_matrix(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, token of each row): a row of LONGEST symbols per token, zero at the end; longer tokens get overlapping rows."""
-    if not tokens:
-        return np.zeros((0, LONGEST), np.uint8), np.zeros(0, np.int64)
-    cp = np.frombuffer("\n".join(tokens).encode("utf-32-le", "surrogatepass"), np.uint32)
-    token = np.cumsum(cp == 10) - (cp == 10)
-    s = np.where(cp < 0x250, _LOW[np.minimum(cp, 0x24F)], 27 + cp % 5).astype(np.uint8)
-    keep = (s > 0) & (cp != 10)
-    s, token = s[keep], token[keep]
-    n = np.bincount(token, minlength=len(tokens))
-    at = np.arange(len(s)) - (np.cumsum(n) - n)[token]
-    rows = np.maximum(1, -(-(n - LONGEST) // STRIDE) + 1)
-    first = np.cumsum(rows) - rows
-    out = np.zeros((int(rows.sum()), LONGEST), np.uint8)
-    for back in range(-(-LONGEST // STRIDE)):
-        row = at // STRIDE - back
-        col = at - row * STRIDE
-        ok = (row >= 0) & (row < rows[token]) & (col < LONGEST)
-        out[first[token[ok]] + row[ok], col[ok]] = s[ok]
-    return out, np.repeat(np.arange(len(tokens)), rows)
-
-
-def subsequences(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and weights (0 where there is none) of the ORDER-letter subsequences of each row."""
-    width = max(1, int((m > 0).sum(1).max(initial=1)))
-    x = m[:, :width].astype(np.int32)
-    codes, weights = [], []
-    for (a, b), w in _WEIGHT.items():
-        if (k := width - a - b) > 0:
-            i, j, l = x[:, :k], x[:, a : a + k], x[:, a + b : a + b + k]
-            codes.append((i << 10) | (j << 5) | l)
-            weights.append(np.where(l > 0, np.float32(w), np.float32(0)))
-    if not codes:
-        return np.zeros((len(m), 1), np.int32), np.zeros((len(m), 1), np.float32)
-    return np.concatenate(codes, 1), np.concatenate(weights, 1)
-
-
-def norms(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Square root of the kernel of each row with itself: equal subsequences of a row add up before they are squared."""
-    order = np.argsort(codes, axis=1, kind="stable")
-    c, w = np.take_along_axis(codes, order, 1), np.take_along_axis(weights, order, 1).astype(np.float64)
-    total = np.cumsum(w, axis=1)
-    last = np.ones_like(c, bool)
-    last[:, :-1] = c[:, 1:] != c[:, :-1]
-    # The running sum at the end of the run before: weights are not negative, so the running maximum carries it on.
-    carried = np.maximum.accumulate(np.where(last, total, 0), axis=1)
-    before = np.zeros_like(total)
-    before[:, 1:] = carried[:, :-1]
-    return np.sqrt(np.where(last, (total - before) ** 2, 0).sum(1))
-
-
-def kernel(m: np.ndarray, landmarks: np.ndarray, dense: np.ndarray | None = None) -> np.ndarray:
-    """Normalised kernel of unit rows with landmark rows, whose ``expand`` is ``dense``."""
-    dense = expand(landmarks) if dense is None else dense
-    out = np.empty((len(m), len(landmarks)))
-    for a in range(0, len(m), ROWS_AT_ONCE):
-        codes, weights = subsequences(m[a : a + ROWS_AT_ONCE])
-        n = np.maximum(norms(codes, weights), 1e-9)
-        for k, row in enumerate(dense):
-            out[a : a + ROWS_AT_ONCE, k] = (row[codes] * weights).sum(1) / n
-    return out
-
-
-def expand(m: np.ndarray) -> np.ndarray:
-    """Normalised weights of all 32^ORDER subsequences, a row per unit row."""
-    codes, weights = subsequences(m)
-    out = np.zeros((len(m), 32**ORDER), np.float32)
-    for row, c, w in zip(out, codes, weights, strict=True):
-        np.add.at(row, c, w)
-    out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
-    return out
+_SPACED = re.compile(r"(?<!\S)(?:\S\s){2,}\S(?!\S)", re.A)
+_SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
+def distinct_tokens(texts) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(words, row, word): the distinct lower-cased tokens of each row of an Arrow array, as pairs of row and word numbers."""
+    import pyarrow.compute as pc
+
+    low = pc.utf8_lower(texts)
+    pieces = pc.utf8_split_whitespace(low)
+    row = np.repeat(np.arange(len(low)), pc.list_value_length(pieces).to_numpy().astype(np.int64))
+    coded = pieces.flatten().dictionary_encode()
+    words, word = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+    more_row, more = [], []
+    for k in np.flatnonzero(pc.match_substring_regex(low, r"(?:^|\s)(?:\S\s){2,}\S(?:\s|$)").to_numpy(zero_copy_only=False)).tolist():
+        runs = ["".join(run.split()) for run in _SPACED.findall(low[k].as_py())]
+        more += runs
+        more_row += [k] * len(runs)
+    word = np.concatenate([word, len(words) + np.arange(len(more))])
+    row, words = np.concatenate([row, np.array(more_row, np.int64)]), words + more
+    some = np.fromiter(map(bool, words), bool, len(words))[word]
+    pairs = _distinct(row[some] * max(1, len(words)) + word[some])
+    return words, pairs // max(1, len(words)), pairs % max(1, len(words))
+
+
+def units_of(texts) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(units, row, unit): the distinct units of each row of an Arrow array."""
+    words, row, word = distinct_tokens(texts)
+    m, owner = strings.units_matrix(words, fold=False)
+    known: dict[str, int] = {}
+    number = np.fromiter((known.setdefault(u, len(known)) for u in strings.as_text(m)), np.int64, len(m))
+    units = list(known)
+    n = np.bincount(owner, minlength=len(words))
+    first = np.cumsum(n) - n
+    times = n[word]
+    at = np.repeat(first[word] - np.cumsum(times) + times, times) + np.arange(times.sum())
+    pairs = _distinct(np.repeat(row, times) * max(1, len(units)) + number[at])
+    return units, pairs // max(1, len(units)), pairs % max(1, len(units))
 
 
 @dataclass
@@ -146,52 +102,52 @@ class Model:
     prior: float
 
     def margins(self, tokens: list[str]) -> np.ndarray:
-        m, token = units_matrix(tokens)
+        """The largest margin of each token's units."""
+        m, owner = strings.units_matrix(tokens)
         out = np.full(len(tokens), NONE, np.float32)
-        # Rows of like length together: each run is only as wide as its longest row.
-        order = np.argsort((m > 0).sum(1), kind="stable")
-        m, token = m[order], token[order]
-        for a in range(0, len(m), ROWS_AT_ONCE):
-            codes, weights = subsequences(m[a : a + ROWS_AT_ONCE])
-            n = norms(codes, weights)
-            f = (self.weights[codes] * weights).sum(1) / np.maximum(n, 1e-9) + self.bias
-            np.maximum.at(out, token[a : a + ROWS_AT_ONCE], np.where(n > 0, f, NONE))
+        np.maximum.at(out, owner, strings.margins(m, self.weights, self.bias, NONE))
         return out
 
-    def score(self, top: np.ndarray) -> np.ndarray:
-        """Scores of rows of the TOP largest margins."""
+    def score(self, seen: np.ndarray) -> np.ndarray:
+        """Scores of rows of ``Scorer.top``."""
         if self.logistic is None:
-            return np.full(len(top), self.prior)
-        z = top @ self.logistic[:-1] + self.logistic[-1]
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
-
-def tokens_of(text: str) -> set[str]:
-    out = set(text.lower().split())
-    for run in _SPACED.findall(text):
-        out.add("".join(run.lower().split()))
-    return out
+            return np.full(len(seen), self.prior)
+        return 1 / (1 + np.exp(-np.clip(seen @ self.logistic[:-1] + self.logistic[-1], -30, 30)))
 
 
 class Scorer:
     def __init__(self, model: Model):
         self.model, self.memo = model, {}
 
-    def top(self, texts: list[str]) -> np.ndarray:
+    def top(self, texts) -> np.ndarray:
+        """Rows of the TOP largest margins of distinct tokens and the logarithm of their number."""
+        n = len(texts)
+        out = np.full((n, TOP + 1), NONE)
+        out[:, TOP] = -5.0
+        if self.model.weights is None or not n:
+            return out
         if len(self.memo) > MEMO:
             self.memo.clear()
-        memo, sets = self.memo, [tokens_of(t) for t in texts]
-        new = list(set().union(*sets).difference(memo)) if sets else []
-        memo.update(zip(new, self.model.margins(new).tolist(), strict=True))
-        out = np.full((len(texts), TOP), NONE)
-        for row, s in zip(out, sets, strict=True):
-            if s:
-                best = sorted(map(memo.__getitem__, s), reverse=True)[:TOP]
-                row[: len(best)] = best
+        words, row, word = distinct_tokens(texts)
+        f = np.fromiter(map(self.memo.get, words, repeat(np.nan)), np.float64, len(words))
+        new = np.flatnonzero(np.isnan(f))
+        names = [words[i] for i in new.tolist()]
+        f[new] = self.model.margins(names)
+        self.memo.update(zip(names, f[new].tolist(), strict=True))
+        tokens = np.bincount(row, minlength=n)
+        have = np.flatnonzero(tokens)
+        first, value = (np.cumsum(tokens) - tokens)[have], f[word]
+        for k in range(TOP if len(have) else 0):
+            most = np.maximum.reduceat(value, first)
+            out[have, k] = np.maximum(most, NONE)
+            # The first place of each row's largest value is not looked at again.
+            at = np.flatnonzero(value == np.repeat(most, tokens[have]))
+            value[at[np.unique(row[at], return_index=True)[1]]] = -np.inf
+        out[:, TOP] = np.log1p(tokens) - 5
         return out
 
 
-def svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, rounds: int = 50) -> np.ndarray:
+def svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Squared-hinge linear machine with bias (last), by Newton steps; ``c`` weighs the rows."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -222,56 +178,70 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     return w
 
 
-def telling(stats: list[tuple[str, int, int]], n_toxic: int, n_clean: int, tried: int) -> list[str]:
-    """Stems that chance would rarely give so many toxic sentences among those that hold them, given that ``tried`` stems are looked at."""
-    share = (n_toxic + 1) / (n_toxic + n_clean + 2)
-    chance = lambda t, c: t * np.log(t / (t + c) / share) + (c * np.log(c / (t + c) / (1 - share)) if c else 0)
-    limit = np.log(max(1, tried) / FALSE_STEMS)
-    return [u for u, t, c in stats if t >= LEAST_TOXIC and t >= 0.95 * (t + c) and chance(t, c) > limit]
+def fit_machine(rows: list[str], y: np.ndarray, c: np.ndarray, marks: strings.Landmarks) -> tuple[np.ndarray, float]:
+    """Weights by subsequence and bias of the machine on unit ``rows`` with labels ``y`` and weights ``c``."""
+    w = svm(marks.features(strings.as_matrix(rows))[:, :-1].astype(np.float64), y, c)
+    return marks.fold(w[:-1]), float(w[-1])
+
+
+def _scan(units: DataFrame, weights: np.ndarray, bias: float) -> list:
+    """Rows (unit, c, can, f) of the units that violate the margin or may be witnesses, by falling margin f."""
+    sent = units.sparkSession.sparkContext.broadcast((weights, bias))
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for b in batches:
+            f = strings.margins(strings.as_matrix(b.column("unit")), *sent.value, NONE)
+            near = pc.or_(pc.and_(pc.greater(b.column("c"), 0), pa.array(f > SLACK - 1)), pc.and_(b.column("can"), pa.array(f > LOST)))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(f, pa.float32())], [*b.schema.names, "f"]).filter(near)
 
+    return units.mapInArrow(run, "unit string, c long, can boolean, f float").orderBy(F.col("f").desc(), "unit").limit(WORST).collect()
 
-def stems_of(unit: str) -> set[str]:
-    """The substrings of STEM characters, a mark before the unit counting as one, and the unit itself."""
-    unit = FIRST + unit
-    return {unit[i : i + n] for n in STEM for i in range(len(unit) - n + 1)} | {unit}
 
+def learn(units: DataFrame, pairs: DataFrame, landmarks: int = LANDMARKS) -> tuple[np.ndarray, float] | None:
+    """units (unit, c, can), pairs (bag, unit, z) of toxic texts and the units that may be positive -> weights and bias.
 
-def fit_units(stats: list[tuple[str, int, int]], stems: list[str], landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
-    """Weights by subsequence and bias from (unit, toxic sentences, clean sentences) and the stems of toxic units."""
-    whole = set(stems)
-    own = [(t, u) for u, t, c in stats if FIRST + u in whole or (t > 2 and not c and any(x in FIRST + u for x in stems))]
-    pos = [u for _, u in sorted(own, key=lambda r: (-r[0], r[1]))[:POSITIVES]]
-    counts = {u: t for u, t, _ in stats}
-    known = set(pos)
-    neg = [u for u, t, c in sorted(stats, key=lambda r: (-r[2], r[0])) if c and u not in known]
-    if not pos or not neg:
-        return np.zeros(32**ORDER, np.float32), 0.0
+    ``z`` ranks a bag's units for the first round. None without units of both kinds."""
+    spark = units.sparkSession
+    n, mean = units.where("c > 0").agg(F.count("*"), F.avg(F.sqrt("c"))).first()
+    best = pairs.groupBy("bag").agg(F.max_by("unit", F.struct("z", "unit")).alias("unit"))
+    positive = {r.unit: float(r.n) for r in best.groupBy("unit").agg(F.count("*").alias("n")).collect()}
+    if not n or not positive:
+        return None
     quarter = landmarks // 4
-    clean, lm_units = neg[:NEGATIVES], pos[: 2 * quarter] + neg[:quarter]
-    seen = np.array([counts[u] for u in pos], float)
-    # The last quarter of the landmarks, and more rows, are the clean units that a first machine comes nearest to take for toxic.
-    for last in (False, True):
-        lm, _ = units_matrix([u[:LONGEST] for u in lm_units])
-        rows, owner = units_matrix(pos + clean)
-        y = np.where(owner < len(pos), 1.0, -1.0)
-        c = np.where(y > 0, len(clean) / len(pos), 1.0) * COST
-        c[y > 0] *= (seen / seen.mean())[owner[y > 0]] ** 0.5
-        dense = expand(lm)
-        value, vector = np.linalg.eigh((dense @ dense.T).astype(np.float64))
-        root = (vector / np.sqrt(np.maximum(value, RIDGE))) @ vector.T
-        w = svm(kernel(rows, lm, dense) @ root, y, c)
-        model = Model((dense.T @ (root @ w[:-1]).astype(np.float32)).astype(np.float32), float(w[-1]), None, 0.0)
-        del dense
-        if last:
-            return model.weights, model.bias
-        order = np.argsort(-model.margins(neg), kind="stable")
-        known = set(lm_units)
-        lm_units += [neg[i] for i in order[: 2 * quarter].tolist() if neg[i] not in known][:quarter]
-        known = set(clean)
-        clean = clean + [neg[i] for i in order[:NEGATIVES].tolist() if neg[i] not in known]
-
-
-_SENTENCE = re.compile(r"[.!?\n]+")
+    plain = {r.unit: int(r.c) for r in units.where("c > 0").select("unit", "c").orderBy(F.xxhash64("unit"), "unit").limit(quarter).collect()}
+    rows, hard, state, marks = dict(plain), [], None, None
+    for turn in range(ROUNDS):
+        if turn < 2:  # the second landmarks hold the clean units that the first machine comes nearest to take for toxic
+            known = sorted(positive, key=lambda u: (-positive[u], u))[: 2 * quarter]
+            marks = strings.Landmarks(strings.as_matrix(list(dict.fromkeys([*known, *plain, *hard]))), RIDGE)
+        for _ in range(PASSES):
+            names = [*positive, *rows]
+            y = np.repeat([1.0, -1.0], [len(positive), len(rows)])
+            weight = np.array([*positive.values(), *np.sqrt(list(rows.values()))])
+            weight[y > 0] *= POSITIVE_SHARE * n / weight[y > 0].sum()
+            weight[y < 0] /= mean
+            state = fit_machine(names, y, COST * weight, marks)
+            near = _scan(units, *state)
+            new = {r.unit: int(r.c) for r in near if r.c > 0 and r.f > SLACK - 1 and r.unit not in rows}
+            if not new:
+                break
+            rows |= new
+        hard = [r.unit for r in near if r.c > 0 and r.unit not in plain][:quarter]
+        found = [(r.unit, float(r.f)) for r in near if r.can and r.f > LOST]
+        if not found:
+            break
+        met = pairs.join(F.broadcast(spark.createDataFrame(found, "unit string, f double")), "unit")
+        # The witness counts once as such, and each unit that is taken for toxic once.
+        top = met.groupBy("bag").agg(F.max_by("unit", F.struct("f", "unit")).alias("unit")).select("unit")
+        counts = top.unionByName(met.where("f > 0").select("unit")).groupBy("unit").agg(F.count("*").alias("n"))
+        now = {r.unit: float(r.n) for r in counts.collect()}
+        if now == positive:
+            break
+        positive = now
+    return state
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: int = 5, rows_a_class: int = ROWS_A_CLASS) -> Model:
@@ -282,6 +252,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = by_hash(1).unionByName(by_hash(0))  # at most 2 * rows_a_class rows: a size that is proven
     sample = docs.select(F.col(id_col).alias("l_id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), "l_id")
     sample = materialize(sample.groupBy("l_id", "y").agg(F.max("text").alias("text")), "labelled")
+    n1, n0 = sample.agg(F.sum("y"), F.sum(1 - F.col("y"))).first()
+    if not n1 or not n0:
+        return Model(None, 0.0, None, (n1 or 0) / ((n1 or 0) + (n0 or 0)) if n1 else 0.0)
 
     def split(batches):
         import pyarrow as pa
@@ -292,60 +265,46 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 if some:
                     yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([y] * len(some), pa.int32())], ["sentence", "y"])
 
-    def units(batches):
+    def count(batches):
         import pyarrow as pa
 
         for b in batches:
-            unit, label = [], []
-            for s, y in zip(b.column("sentence").to_pylist(), b.column("y").to_pylist(), strict=True):
-                some = tokens_of(s)
-                unit += [*some, ""]
-                label += [y] * (len(some) + 1)
-            m, owner = units_matrix(unit)
-            letters = ["".join(chr(96 + v) for v in r if v) for r in m]
-            names, ys = [], []
-            held: set[str] = set()
-            for x, k in zip(letters, owner.tolist(), strict=True):
-                if unit[k]:
-                    held |= {STEM_MARK + g for g in stems_of(x)} | {x} if x else set()
-                else:  # the end of a sentence
-                    names += [*held, ""]
-                    ys += [label[k]] * (len(held) + 1)
-                    held = set()
-                    if len(names) > 100_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(ys, pa.int32())], ["unit", "y"])
-                        names, ys = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(ys, pa.int32())], ["unit", "y"])
+            units, row, unit = units_of(b.column("sentence"))
+            y = b.column("y").to_numpy()[row]
+            t, every = np.bincount(unit, y, len(units)).astype(np.int64), np.bincount(unit, minlength=len(units))
+            yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array(t), pa.array(every - t)], ["unit", "t", "c"])
+
+    def hold(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            units, row, unit = units_of(b.column("text"))
+            names = pa.array(units, pa.string()).take(pa.array(unit))
+            yield pa.RecordBatch.from_arrays([b.column("bag").take(pa.array(row)), names], ["bag", "unit"])
 
     # A sentence that copies repeat counts once; one of both labels is clean.
     sentences = sample.mapInArrow(split, "sentence string, y int").groupBy("sentence").agg(F.min("y").alias("y"))
-    # A unit reads as the characters from "a" on, its stems follow a mark; the empty unit counts sentences.
-    counted = sentences.mapInArrow(units, "unit string, y int").groupBy("unit").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
-    counted = materialize(counted, "units")
-    totals = counted.where("unit = ''").first()
-    n1, n0 = sample.agg(F.sum("y"), F.sum(1 - F.col("y"))).first()
-    if not n1 or not n0 or totals is None:
-        return Model(None, 0.0, None, (n1 or 0) / ((n1 or 0) + (n0 or 0)) if n1 else 0.0)
-    stem_rows = counted.where(F.col("unit").startswith(STEM_MARK)).select(F.expr("substring(unit, 2)").alias("unit"), "t", "c")
-    best = stem_rows.where(F.col("t") >= LEAST_TOXIC).orderBy(((F.col("t") + 0.5) / (F.col("c") + 0.5)).desc(), F.col("t").desc(), "unit").limit(4 * POSITIVES)
-    stems = telling([(r.unit, int(r.t), int(r.c)) for r in best.collect()], int(totals.t), int(totals.c), stem_rows.count())
-    some = counted.where((F.col("unit") != "") & ~F.col("unit").startswith(STEM_MARK))
-    own = some.where(F.concat(F.lit(FIRST), "unit").rlike("|".join(re.escape(x) for x in stems))) if stems else some.limit(0)
-    top = own.where(F.col("t") > 0).orderBy(F.col("t").desc(), F.col("c"), "unit").limit(4 * POSITIVES)
-    low = some.where("c > 0").orderBy(F.col("c").desc(), F.xxhash64("unit")).limit(10 * NEGATIVES)
-    stats = {r.unit: (int(r.t), int(r.c)) for r in [*top.collect(), *low.collect()]}
-    # Symbols 27 to 31 read as the characters after "z"; written back as letters of these symbols.
-    rewrite = str.maketrans({chr(96 + 27 + k): chr(0x250 + (k - 2) % 5) for k in range(5)})
-    weights, bias = fit_units([(u.translate(rewrite), *v) for u, v in stats.items()], [x.translate(rewrite) for x in stems])
+    counted = materialize(sentences.mapInArrow(count, "unit string, t long, c long").groupBy("unit").agg(F.sum("t").alias("t"), F.sum("c").alias("c")), "units")
+    all_t, all_c = counted.agg(F.sum("t"), F.sum("c")).first()
+    can = (F.col("t") > 0) & (F.col("t") * F.lit(float(all_c or 0)) >= RARER * F.col("c") * F.lit(float(all_t or 0)))
+    share = F.col("t") / (F.col("t") + F.col("c") + 1)
+    z = F.col("t") * F.log(share * F.lit(((all_t or 0) + (all_c or 0)) / max(1, all_t or 0)))
+    units = counted.select("unit", "c", can.alias("can"))
+    held = sample.where("y = 1").select(F.col("l_id").cast("string").alias("bag"), "text").mapInArrow(hold, "bag string, unit string")
+    pairs = materialize(held.join(counted.where(can).select("unit", z.alias("z")), "unit"), "bags")
+    state = learn(units, pairs)
+    if state is None:
+        return Model(None, 0.0, None, n1 / (n1 + n0))
     give_back()
-    model = Model(weights, bias, None, 0.0)
-    margins = score_rows(sample.select("l_id", "y", "text"), model, ("l_id", "y")).select("y", "top").collect()
-    model.logistic = logistic(np.array([r.top for r in margins]), np.array([r.y for r in margins], float))
+    model = Model(*state, None, 0.0)
+    seen = score_rows(sample.select("l_id", "y", "text"), model, ("l_id", "y")).select("y", "top").collect()
+    seen = seen + [r for r in seen if r.y] * (TWICE - 1)
+    model.logistic = logistic(np.array([r.top for r in seen]), np.array([r.y for r in seen], float))
     return model
 
 
 def score_docs(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Rows (doc, score, top): ``doc`` is the whole row, top its largest unit margins."""
+    """Rows (doc, score, top): ``doc`` is the whole row, top what ``Scorer.top`` finds in it."""
     from pyspark.sql import types as T
 
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -361,11 +320,8 @@ def score_docs(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
         scorer = Scorer(sent.value)
         for b in batches:
             text = pc.fill_null(pc.struct_field(b.column("doc"), [text_col]), "")
-            tops = [np.zeros((0, TOP))]
-            for a, e in chunks(buffers(text)[1], 1 << 20):
-                part = text.slice(a, e - a).to_pylist()
-                tops.append(scorer.top(part) if scorer.model.weights is not None else np.full((len(part), TOP), NONE))
-            top = np.concatenate(tops)
+            tops = [scorer.top(text.slice(a, e - a)) for a, e in chunks(buffers(text)[1], SCORED_BYTES)]
+            top = np.concatenate([np.zeros((0, TOP + 1)), *tops])
             yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(scorer.model.score(top)), pa.array(list(top), pa.list_(pa.float64()))], ["doc", "score", "top"])
         scorer.memo.clear()
         give_back()

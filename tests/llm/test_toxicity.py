@@ -1,22 +1,24 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from cases import edge_docs, no_docs
 
+from clonelens.llm import strings as g
 from clonelens.llm import toxicity as t
 
 SF = "/root/testdata/sf0.1"
 
 
 def brute_kernel(a, b):
-    """Gap-weighted subsequences of three letters within the span, by enumeration."""
+    """Gap-weighted subsequences of three symbols within the span, by enumeration."""
 
     def phi(s):
         out = {}
         for i in range(len(s)):
             for j in range(i + 1, len(s)):
-                for k in range(j + 1, min(len(s), i + t.SPAN)):
-                    out[s[i], s[j], s[k]] = out.get((s[i], s[j], s[k]), 0) + t.DECAY ** (k - i + 1)
+                for k in range(j + 1, min(len(s), i + g.SPAN)):
+                    out[s[i], s[j], s[k]] = out.get((s[i], s[j], s[k]), 0) + g.DECAY ** (k - i + 1)
         return out
 
     x, y = phi(a), phi(b)
@@ -24,23 +26,67 @@ def brute_kernel(a, b):
     return dot(x, y) / max(1e-9, (dot(x, x) * dot(y, y)) ** 0.5)
 
 
-def test_kernel_equals_enumeration():
-    units = ["stupid", "stxupid", "s.t.u.p.i.d", "idiot", "banana", "aaaa", "ab", "abc", "anaana"]
-    plain = ["".join(c for c in u if c.isalpha()) for u in units]
-    m, _ = t.units_matrix(units)
-    got = t.kernel(m, m)
-    for i, a in enumerate(plain):
-        for j, b in enumerate(plain):
-            assert abs(got[i, j] - brute_kernel(a, b)) < 1e-5
+UNITS = ["stupid", "stxupid", "s.t.u.p.i.d", "idiot", "banana", "aaaa", "ab", "a", "abc", "anaana", "дурак", "добро", "z" * 24]
+LETTERS = ["^" + "".join(c for c in u if c.isalpha()) for u in UNITS]
+
+
+def test_machine_equals_enumerated_kernel():
+    """Folded weights and coordinates against kernel x root x weights."""
+    m, owner = g.units_matrix(UNITS)
+    assert owner.tolist() == list(range(len(UNITS))) and (g.as_matrix(g.as_text(m)) == m).all()
+    few = [0, 3, 4, 10, 12]
+    marks = g.Landmarks(m[few], 1e-2)
+    kernel = np.array([[brute_kernel(a, LETTERS[k]) for k in few] for a in LETTERS])
+    x = marks.features(m)
+    assert np.allclose(x[:, :-1], kernel @ marks.root, atol=1e-4) and (x[:, -1] == 1).all()
+    w = np.random.default_rng(0).normal(size=len(few))
+    want = kernel @ marks.root @ w + 0.25
+    some = [len(u) > 2 for u in LETTERS]
+    assert np.allclose(g.margins(m, marks.fold(w), 0.25, -9)[some], want[some], atol=1e-3)
+    codes, weights = g.subsequences(m)
+    assert np.allclose(g.norms(codes, weights)[2], g.norms(codes, weights)[0])
 
 
 def test_long_units_are_windowed_whole():
     word = "x" * 100 + "worthless" + "y" * 61
-    m, owner = t.units_matrix([word, "", "ab"])
-    assert set(owner.tolist()) == {0, 1, 2}
-    rows = ["".join(chr(96 + v) for v in r if v) for r in m[owner == 0]]
-    joined = rows[0] + "".join(r[t.LONGEST - t.STRIDE :] for r in rows[1:])
+    m, owner = g.units_matrix([word, "", "ab"])
+    assert set(owner.tolist()) == {0, 2}
+    rows = ["".join(chr(97 - g.FIRST_LETTER + v) for v in r if v > g.START) for r in m[owner == 0]]
+    joined = rows[0] + "".join(r[g.LONGEST - g.STRIDE :] for r in rows[1:])
     assert joined == word
+    assert (m[:, 0] == g.START).sum() == 2
+
+
+def test_symbols():
+    text = lambda *w: g.as_text(g.units_matrix(list(w))[0])
+    assert text("1d10t") == text("idiot") and text("$tup1d!") == text("stupid")
+    assert text("ídìot")[1] == text("idiot")[0] != text("ídìot")[0]
+    assert len(text("ídìot")) == 2 and len(g.units_matrix(["ídìot"], fold=False)[0]) == 1
+    words = ["дурак", "добро", "хороший", "ηλίθιος", "καλός", "笨蛋", "你好", "바보", "안녕"]
+    assert len({u for w in words for u in text(w)[:1]}) == len(words)
+
+
+def test_units_of_rows():
+    rows = ["Ab b ab", None, "", "s t u p i d one  ONE", "x\u2003y", " pad "]
+    words, row, word = t.distinct_tokens(pa.array(rows).fill_null(""))
+    got = [{words[w] for r, w in zip(row.tolist(), word.tolist(), strict=True) if r == k} for k in range(len(rows))]
+    assert got == [{"ab", "b"}, set(), set(), {"s", "t", "u", "p", "i", "d", "one", "stupid"}, {"x", "y"}, {"pad"}]
+    units, row, unit = t.units_of(pa.array(["one, two one", "two 2!"]))
+    text = lambda w: g.as_text(g.units_matrix([w])[0])[0]
+    assert {(r, units[u]) for r, u in zip(row.tolist(), unit.tolist(), strict=True)} == {(0, text("one")), (0, text("two")), (1, text("two")), (1, text("2"))}
+
+
+def test_top_margins():
+    weights = np.random.default_rng(1).normal(size=g.CODES).astype(np.float32)
+    weights[0] = 0  # no subsequence
+    model = t.Model(weights, 0.0, None, 0.0)
+    rows = ["one two three four five five", "", "tie tie", "two " * 50_000 + "insult"]
+    for texts in (rows, [rows[3]], rows[:2]):
+        got = t.Scorer(model).top(pa.array(texts))
+        for text, seen in zip(texts, got, strict=True):
+            words = sorted(set(text.split()))
+            best = sorted(np.maximum(model.margins(words), t.NONE).tolist(), reverse=True)[: t.TOP] if words else []
+            assert np.allclose(seen, [*best, *[t.NONE] * (t.TOP - len(best)), np.log1p(len(words)) - 5], atol=1e-6)
 
 
 def test_held_out_accuracy(spark):
@@ -53,9 +99,9 @@ def test_held_out_accuracy(spark):
     pos, neg = [s for s, v in out if v], [s for s, v in out if not v]
     auc = np.mean([(p > n) + (p == n) / 2 for p in pos for n in neg])
     assert len(pos) > 50 and auc > 0.97 and sum(n >= 0.5 for n in neg) <= 0.01 * len(neg)
+    assert sum(p >= 0.5 for p in pos) >= 0.9 * len(pos)
     margins = dict(zip(["stupid", "stuxpid", "st*pid", "s.t.u.p.i.d", "stone"], model.margins(["stupid", "stuxpid", "st*pid", "s.t.u.p.i.d", "stone"]), strict=True))
     assert margins["s.t.u.p.i.d"] == margins["stupid"] > margins["stuxpid"] > margins["stone"] and margins["st*pid"] > margins["stone"]
-    assert "stupid" in t.tokens_of("you s t u p i d one")
 
 
 def test_edges(spark):
@@ -68,3 +114,13 @@ def test_edges(spark):
     assert {r.score for r in t.score_rows(docs, alone, ("doc_id",)).collect()} == {0.0}
     assert t.score_rows(no_docs(spark), model, ("doc_id",)).count() == 0
     assert t.train(no_docs(spark), labels.limit(0)).prior == 0.0
+
+
+def test_query(spark):
+    from clonelens.llm import queries
+
+    small = "/root/testdata/sf0.001"
+    rows = queries.queries()["op1_toxicity"](spark, small).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id").collect())
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
