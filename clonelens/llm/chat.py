@@ -9,8 +9,9 @@ Template: ``<|im_start|>`` role, line end, text, ``<|im_end|>``, line end. Insid
 and ``<|`` becomes ``<\\|``; a line end inside a role becomes ``\\n``. No text can therefore hold a control string, and
 unescaping gives back every character.
 
-Defined results: null role or text reads as empty; null scores count 0; a message whose parent does not exist is a
-root; messages on or below a cycle have no root and are left out; equal scores prefer the deeper branch, then the
+Defined results: null role or text reads as empty; null scores count 0; messages are named by tree and id, so trees may
+share ids; of messages that repeat a tree and id the first by parent, score, role and text stays; a null tree is a tree of
+its own and a null id a message of it; a message whose parent does not exist in its tree is a root; messages on or below a cycle have no root and are left out; equal scores prefer the deeper branch, then the
 smaller leaf id; turns with equal numbers are ordered by role and text; an empty table gives no rows; other columns are
 ignored; a null conversation id is a conversation of its own.
 """
@@ -63,38 +64,51 @@ def number_turns(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     return joined.withColumn("pos", (F.col("_row") - F.col("_first") + F.col("_ahead")).cast("long")).drop("_part", "_row", "_group", "_run", "_first", "_ahead")
 
 
+def _key(tree: str, ident: str):
+    """One text for a message of a tree, null or not."""
+    return F.to_json(F.struct(F.col(tree).alias("tree"), F.col(ident).alias("id")))
+
+
+def distinct_messages(messages: DataFrame) -> DataFrame:
+    """(tree, id, parent, score, ...) with a row per (tree, id), the first by the other columns."""
+    others = [c for c in ("parent", "score", "role", "text") if c in messages.columns]
+    return messages.groupBy("tree", "id").agg(F.min(F.struct(*others)).alias("m")).select("tree", "id", "m.*")
+
+
 def branches(messages: DataFrame, best: int = 1) -> DataFrame:
     """messages (tree, id, parent, score) -> (tree, leaf, rank, id, pos): the messages of the ``best`` branches of each tree."""
-    nodes = messages.select("tree", "id", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
-    known = nodes.select(F.col("id").alias("known"))
-    state = materialize(
-        nodes.join(known, F.col("parent") == F.col("known"), "left").select("tree", "id", F.col("known").alias("up"), F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "jump"
-    )
+    kind = messages.schema["id"].dataType
+    named = distinct_messages(messages.select("tree", "id", F.col("parent").cast(kind).alias("parent"), F.coalesce("score", F.lit(0.0)).cast("double").alias("score")))
+    nodes = materialize(named.select("tree", "id", _key("tree", "id").alias("key"), F.when(F.col("parent").isNotNull(), _key("tree", "parent")).alias("above"), "score"), "nodes")
+    known = nodes.select(F.col("key").alias("known"))
+    state = nodes.join(known, F.col("above") == F.col("known"), "left").select("key", F.col("known").alias("up"), F.lit(1).cast("long").alias("steps"), F.col("score").alias("total"))
+    state = materialize(state, "jump")
     n, jumps = state.count(), []
     while True:
-        jumps.append(state.select("id", "up"))
+        jumps.append(state.select("key", "up"))
         if state.where(F.col("up").isNotNull()).isEmpty() or 1 << (len(jumps) - 1) > n:
             break
-        above = state.select(F.col("id").alias("a_id"), F.col("up").alias("a_up"), F.col("steps").alias("a_steps"), F.col("total").alias("a_total"))
+        above = state.select(F.col("key").alias("a_key"), F.col("up").alias("a_up"), F.col("steps").alias("a_steps"), F.col("total").alias("a_total"))
         # Only messages whose pointer has not passed the root yet are joined again.
-        going = state.where(F.col("up").isNotNull()).join(above, F.col("up") == F.col("a_id"))
-        going = going.select("tree", "id", F.col("a_up").alias("up"), (F.col("steps") + F.col("a_steps")).alias("steps"), (F.col("total") + F.col("a_total")).alias("total"))
+        going = state.where(F.col("up").isNotNull()).join(above, F.col("up") == F.col("a_key"))
+        going = going.select("key", F.col("a_up").alias("up"), (F.col("steps") + F.col("a_steps")).alias("steps"), (F.col("total") + F.col("a_total")).alias("total"))
         state = materialize(state.where(F.col("up").isNull()).unionByName(going), "jump")
-    rooted = state.where(F.col("up").isNull())
-    leaves = rooted.join(nodes.select(F.col("parent").alias("has_child")).distinct(), F.col("id") == F.col("has_child"), "left_anti")
-    order = Window.partitionBy("tree").orderBy(F.col("total").desc(), F.col("steps").desc(), "id")
+    rooted = state.where(F.col("up").isNull()).select("key", "steps", "total")
+    parents = nodes.select(F.col("above").alias("has_child")).where("has_child is not null").distinct()
+    leaves = rooted.join(parents, F.col("key") == F.col("has_child"), "left_anti").join(nodes.select(F.col("key").alias("l_key"), "tree", "id"), F.col("key") == F.col("l_key")).drop("l_key")
+    order = [F.col("total").desc(), F.col("steps").desc(), F.col("id")]
     # A first cut inside salted parts of a tree keeps the ranking of a tree with very many leaves off one task.
-    part = Window.partitionBy("tree", "part").orderBy(F.col("total").desc(), F.col("steps").desc(), "id")
-    first = leaves.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(64))).withColumn("r", F.row_number().over(part)).where(F.col("r") <= best)
-    chosen = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
-    members = materialize(chosen.select("tree", F.col("id").alias("leaf"), "rank", "id", F.lit(0).cast("long").alias("down"), F.col("steps")), "branch")
+    first = leaves.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(64))).withColumn("r", F.row_number().over(Window.partitionBy("tree", "part").orderBy(*order))).where(F.col("r") <= best)
+    chosen = first.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(*order))).where(F.col("rank") <= best)
+    members = materialize(chosen.select("tree", F.col("id").alias("leaf"), "rank", "key", F.lit(0).cast("long").alias("down"), "steps"), "branch")
     for k, jump in enumerate(jumps):
-        more = members.join(jump.where(F.col("up").isNotNull()).select(F.col("id").alias("j_id"), "up"), F.col("id") == F.col("j_id"))
-        more = more.select("tree", "leaf", "rank", F.col("up").alias("id"), (F.col("down") + (1 << k)).alias("down"), "steps")
+        more = members.join(jump.where(F.col("up").isNotNull()).select(F.col("key").alias("j_key"), "up"), F.col("key") == F.col("j_key"))
+        more = more.select("tree", "leaf", "rank", F.col("up").alias("key"), (F.col("down") + (1 << k)).alias("down"), "steps")
         if k == len(jumps) - 1:
             break
         members = materialize(members.unionByName(more), "branch")
-    return members.select("tree", "leaf", "rank", "id", (F.col("steps") - 1 - F.col("down")).alias("pos"))
+    ids = nodes.select(F.col("key").alias("n_key"), "id")
+    return members.join(ids, F.col("key") == F.col("n_key")).select("tree", "leaf", "rank", "id", (F.col("steps") - 1 - F.col("down")).alias("pos"))
 
 
 PARTS = "part long, formatted string, n_turns long, mask array<struct<start:long,end:long>>"
@@ -185,9 +199,10 @@ def linear_tree(conversations: DataFrame, conv_col: str = "conv_id", turn_col: s
 
 
 def format_trees(messages: DataFrame, best: int = 1) -> DataFrame:
-    """messages (tree, id, parent, score, role, text) -> (conv, PARTS); conv is the tree for one branch a tree, else the leaf's id."""
-    members = branches(messages, best).select(*(["leaf"] if best > 1 else []), F.col("id").alias("m_id"), "pos")
-    turns = messages.join(members, F.col("id") == F.col("m_id"))
+    """messages (tree, id, parent, score, role, text) -> (conv, PARTS); conv is the tree for one branch a tree, else the leaf's id, which then must tell the trees' branches apart."""
+    messages = materialize(distinct_messages(messages), "messages")
+    members = branches(messages, best).select(*(["leaf"] if best > 1 else []), F.col("tree").alias("m_tree"), F.col("id").alias("m_id"), "pos")
+    turns = messages.join(members, F.col("tree").eqNullSafe(F.col("m_tree")) & F.col("id").eqNullSafe(F.col("m_id")))
     conv = F.col("leaf") if best > 1 else F.col("tree")
     kind = turns.select(conv).schema[0].dataType.simpleString()
     return format_branches(turns.select(conv.alias("conv"), "pos", "role", "text"), kind)

@@ -68,3 +68,22 @@ def test_branches(spark):
         for r in chat.branches(df, best).orderBy("leaf", "pos").collect():
             got.setdefault(r.leaf, []).append(r.id)
         assert got == want
+
+
+def test_trees_that_share_ids_and_repeated_messages(spark):
+    rows = [(t, i, p, s) for t in ("a", "b", None) for i, p, s in ((1, None, 1.0), (2, 1, 1.0), (3, 1, 2.0), (4, 3, None))]
+    rows += [("a", 4, 3, None), ("a", 4, 9, 5.0), ("b", 1, None, 1.0), ("c", 7, 1, 1.0), ("c", None, 7, 1.0)]
+    df = spark.createDataFrame(rows, "tree string, id long, parent long, score double")
+    got = {}
+    for r in chat.branches(df).orderBy("pos").collect():
+        got.setdefault(r.tree, []).append(r.id)
+    assert got == {"a": [1, 3, 4], "b": [1, 3, 4], None: [1, 3, 4], "c": [7, None]}
+    turns = df.selectExpr("*", "'user' as role", "concat(id, tree) as text")
+    parts = {r.conv: r.formatted for r in chat.format_trees(turns).collect()}
+    assert [t for _, t, _, _ in chat.parse(parts["b"])] == ["1b", "3b", "4b"] and len(parts) == 4
+
+
+def test_query_equals_sql(spark):
+    from sqlcheck import equals_sql
+
+    equals_sql(spark, "op4_chat")
