@@ -4,14 +4,14 @@ A document is the set of its NGRAM-word shingles (one shingle of all its words i
 are one copy class, carried on by one member. The join between classes runs in these steps:
 
 1. MinHash values of every class; BANDS bands of ROWS values are hashed to bucket keys, so that a pair at the threshold
-   shares a bucket but for about 1e-6 of cases.
+   shares a bucket but for about 5e-8 of cases.
 2. In each bucket, pairs are compared on 8-bit MinHash values, STEP more at a time, and dropped as soon as the posterior
    probability (uniform prior on similarity) of reaching the threshold falls below TOLERANCE. Surviving pairs only tie
    their documents together: a spanning forest leaves the task, never the pairs. A bucket above BUCKET members is tied
-   together whole, which only widens what is verified.
+   together whole by a join to its smallest member, which only widens what is verified.
 3. Ties are closed to candidate components, a pair's members always being in one.
 4. Components are cut into blocks of BLOCK classes; each pair of blocks of a component is verified once: pruning on full
-   MinHash values, then exact intersection of the shingle sets. A task returns link counts per class and a spanning
+   MinHash values, then intersection of the whole sets of 64-bit shingle hashes. A task returns link counts per class and a spanning
    forest of the links, so no group is ever written out as all its pairs.
 5. Links are closed to the final classes.
 
@@ -33,7 +33,7 @@ import functools
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import give_back, materialize, table, text_of
@@ -202,11 +202,9 @@ def band_keys(mh: np.ndarray) -> np.ndarray:
 
 
 def bucket_ties(members: DataFrame) -> DataFrame:
-    """(key, id, low) -> (a, b) ties: spanning forests of the pairs that pruning leaves in each bucket of two members or more.
+    """(key, id, low) -> (a, b) ties: spanning forests of the pairs that pruning leaves in each bucket.
 
-    Rows come sorted by bucket, so one bucket of at most BUCKET members is held at a time; of a larger one only the first
-    member is, to which all others are tied.
-    """
+    Rows come sorted by bucket, so one bucket, of at most BUCKET members, is held at a time."""
 
     def run(batches):
         import pyarrow as pa
@@ -233,20 +231,13 @@ def bucket_ties(members: DataFrame) -> DataFrame:
             for k, i, low in zip(b.column("key").to_pylist(), b.column("id").to_pylist(), b.column("low").to_pylist(), strict=True):
                 if k != key:
                     out += close(ids, lows)
-                    key, ids, lows, first = k, [], [], i
-                if lows is None:
-                    out.append((first, i))
-                else:
-                    ids.append(i)
-                    lows.append(low)
-                    if len(ids) > BUCKET:
-                        out += [(first, x) for x in ids[1:]]
-                        ids, lows = [], None
+                    key, ids, lows = k, [], []
+                ids.append(i)
+                lows.append(low)
                 if len(out) > 20_000:
                     yield pack(out)
                     out = []
-        out += close(ids, lows) if lows is not None else []
-        yield pack(out)
+        yield pack(out + close(ids, lows))
 
     return members.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long")
 
@@ -320,9 +311,11 @@ def classed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     sets = materialize(sig.where("set_key is not null").groupBy("set_key").agg(F.min("id").alias("copy_id"), F.min("row").alias("node"), F.count("*").alias("n_copies")), "sets")
     keys = sig.join(sets.select("node"), F.col("row") == F.col("node")).select("node", F.explode("bands").alias("key"))
     # Most buckets hold one document: only those of two or more take MinHash values along.
-    shared = materialize(keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").select("node", "key"), "shared")
-    members = shared.join(sig.select("row", "low"), F.col("node") == F.col("row")).select("key", F.col("node").alias("id"), "low")
-    ties = materialize(bucket_ties(members), "ties")
+    counts = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
+    shared = materialize(keys.join(counts, "key").select("node", "key", "n", "first"), "shared")
+    small, large = shared.where(F.col("n") <= BUCKET), shared.where((F.col("n") > BUCKET) & (F.col("node") != F.col("first")))
+    members = small.join(sig.select("row", "low"), F.col("node") == F.col("row")).select("key", F.col("node").alias("id"), "low")
+    ties = materialize(bucket_ties(members).unionByName(large.select(F.col("first").alias("a"), F.col("node").alias("b"))), "ties")
     found = components(ties)
     counts = found.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
     placed = found.join(counts, "label").select("id", "label", (F.col("blocks") - 1).alias("blocks"), F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"))

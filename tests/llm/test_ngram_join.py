@@ -104,3 +104,9 @@ def test_stated_loss_of_pruning():
             if n % j.STEP == 0:
                 chance[: least[n // j.STEP]] = 0
         assert abs(1 - chance.sum() - stated) < 0.05 * stated
+
+
+def test_query_equals_sql(spark):
+    from sqlcheck import equals_sql
+
+    equals_sql(spark, "op5_ngram_join")
