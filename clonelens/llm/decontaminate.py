@@ -4,8 +4,8 @@ Patterns are the windows of WINDOW consecutive words of each benchmark item (an
 Texts are searched as bytes of lower-cased words parted by one byte. Per class of pattern lengths there is a shift
 table over hashed blocks of up to 8 bytes: a block that no pattern prefix holds lets the search skip to past it; at
 shift 0, a table of (suffix block, prefix block) hashes selects patterns, and a direct comparison confirms. NumPy moves
-many text lanes at once. Items are sent in blocks of ITEM_BYTES, so what is broadcast has a fixed bound; more items
-mean more passes over the texts in the same stage.
+many text lanes at once. Items are sent in blocks of ITEM_BYTES, one at a time: what the driver and a task hold has a fixed
+bound, and each further block is one more pass over the texts, written between passes.
 
 Defined results: a null or wordless text has no words and no hits; items without words are ignored; a null item id
 reads as the empty string; repeated rows give a row each; empty tables give no rows or no hits; ``leaks_of`` passes
@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import materialize, table, text_of
 from .words import Canonical, buffers, chunks
 
 WINDOW = 10
@@ -135,7 +135,7 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, size: int = ITEM_B
     block, n = [], 0
     for row in items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")), text_of(text_col)).toLocalIterator():
         block.append((row[0], row[1]))
-        n += len(row[1])
+        n += len(row[1].encode())
         if n >= size:
             yield block
             block, n = [], 0
@@ -147,7 +147,9 @@ def leaks_of(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id:
     """Rows (doc, n_words, hits, items): ``doc`` is the whole row, hits its merged hit word ranges, items the ids with occurring windows."""
     spark = docs.sparkSession
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"))
-    for block in [*item_blocks(items, item_id, item_text, item_bytes)] or [[]]:
+    blocks = item_blocks(items, item_id, item_text, item_bytes)
+    block = next(blocks, [])
+    while block is not None:
         sent = spark.sparkContext.broadcast(block)
 
         def run(batches, sent=sent):
@@ -167,6 +169,10 @@ def leaks_of(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id:
                 yield pa.RecordBatch.from_arrays([new.get(x, b.column(x)) for x in b.schema.names], b.schema.names)
 
         df = df.mapInArrow(run, df.schema)
+        block = next(blocks, None)
+        if block is not None:
+            df = materialize(df, "searched")
+            sent.unpersist()
     return df
 
 

@@ -74,3 +74,9 @@ def test_long_words(n):
     text = " ".join(f"w{i:03d}" * 9 for i in range(n))
     m = d.Matcher([("x", text)], 10)
     assert [r[2] for r in m.rows(*d.buffers(pa.array(["pre " + text + " post", text[:-1]])))] == [{"x"}, {"x"} if n > 10 else ()]
+
+
+def test_query_equals_sql(spark):
+    from sqlcheck import equals_sql
+
+    equals_sql(spark, "op6_decontamination")
