@@ -5,7 +5,7 @@ by key inside (source, bucket), and a prefix sum runs in two levels: over the bu
 rows of one bucket. A source's budget is cut at its exact word: whole epochs first, then a prefix of the key order.
 
 Defined results: a null or empty text has size 0 and takes 0; a null source is a source of its own and sorts last;
-repeated rows count as rows of their own; ties of key are broken by id and size; a row without
+repeated rows count as rows of their own; ties of key are broken by id, size and a hash of the text; a row without
 id has the key of its text; an empty table gives no rows; columns
 other than the named ones are ignored.
 """
@@ -58,7 +58,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: i
     """Rows (id, source, size, key, bucket) and ``more``."""
     name = F.coalesce(F.col(id_col).cast("string"), text_of(text_col))
     key = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, KEY_BITS // 4), 16, 10).cast("long")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), key.alias("key"), *more)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), key.alias("key"), F.xxhash64(text_of(text_col)).alias("tie"), *more)
     # Uniform keys: a range of keys is a multiple of 2^KEY_BITS / buckets, so no sampling pass is needed to find the ranges.
     return rows.withColumn("bucket", F.floor((F.col("key") / F.lit(float(1 << KEY_BITS))) * buckets).cast("long"))
 
@@ -72,7 +72,7 @@ def _take(rows: DataFrame, small: DataFrame, weights: tuple[int, ...], max_epoch
     t, s = targets.alias("t"), sums.alias("s")
     plan = s.join(t, F.col("s.source").eqNullSafe(F.col("t.source"))).select(F.col("s.source").alias("b_source"), F.col("s.bucket").alias("b_bucket"), "ahead", "source_size", "target")
     joined = rows.join(plan, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
-    inside = Window.partitionBy("source", "bucket").orderBy("key", F.col("id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy("key", F.col("id").asc_nulls_first(), "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     budget = F.floor(F.col("target") + F.lit(1e-6)).cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size")).cast("long")).otherwise(0)
     start = F.col("ahead") + F.coalesce(F.sum("size").over(inside), F.lit(0))

@@ -65,3 +65,18 @@ def test_applied(spark):
     for i, n in taken:
         want[i] = want.get(i, 0) + n
     assert {str(k): v for k, v in got.items()} == want
+
+
+def test_ties_of_equal_ids_and_sizes_agree(spark):
+    rows = [(1, f"w{i} x y", "s") for i in range(30)] + [(2, "a " * 300, "t")]
+    runs = []
+    for n in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(n)
+        runs.append(sorted(map(tuple, m.apply_mix(docs).collect())))
+    assert runs[0] == runs[1]
+
+
+def test_query_equals_sql(spark):
+    from sqlcheck import equals_sql
+
+    equals_sql(spark, "op7_mixing")
