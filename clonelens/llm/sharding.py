@@ -4,23 +4,25 @@ A row's hash is the first 60 bits of md5(id). The directory is indexed by hash-p
 more bit only while its bytes are over the limit. Byte sums are taken once at a prefix some bits finer than the
 expected leaf; sums of all shorter prefixes are rolled up from them, and only rows whose finest bucket is still over
 the limit go another round with more bits. Rows of one id cannot be parted by bits: such a bucket at full depth is
-continued on overflow pages, filled by counting equal rows, not by collecting them.
+continued on overflow pages, filled by numbering its rows in parts, not by collecting them.
 
 Defined results: a null text has 0 bytes; a null id hashes as the empty string; a row larger than the limit fills a
-page of its own; repeated rows count as rows of their own; an empty table gives no rows; other columns are ignored.
+page of its own; repeated rows count as rows of their own; an empty table gives no rows and writes an empty folder;
+``shard`` ignores other columns, ``write_shards`` keeps them, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, table, text_of
 
 BITS = 60
 FINER = 6
+PARTS = 64
 LIMIT = 8 << 20
 
 
@@ -28,10 +30,34 @@ def _prefix(h: str, depth):
     return F.expr(f"shiftrightunsigned({h}, cast({BITS} - {depth} as int))")
 
 
-def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
-    """Rows (id, n_bytes, shard, depth, page, shard_bytes, shard_docs); ``shard`` spells the prefix bits, then the page if above 0."""
-    h = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, BITS // 4), 16, 10).cast("long")
-    rows = materialize(docs.select(F.col(id_col).alias("id"), F.octet_length(text_of(text_col)).cast("long").alias("n_bytes"), h.alias("h")), "shard")
+def _hash(id_col: str):
+    return F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, BITS // 4), 16, 10).cast("long")
+
+
+def _paged(rows: DataFrame, limit: int) -> DataFrame:
+    """``rows`` (id, n_bytes, bits, ...) of buckets over the limit at full depth, with their overflow page.
+
+    Rows of one id and size are numbered in PARTS parts, each counted first, so a group of any size is spread; pages
+    follow from the numbers by arithmetic."""
+    kind = ["bits", "id", "n_bytes"]
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "overflow").withColumn("part", F.col("row") % PARTS)
+    parts = rows.groupBy(*kind, "part").agg(F.count("*").alias("n"))
+    per = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("n_bytes", F.lit(1)))).cast("long")
+    kinds = parts.groupBy(*kind).agg(F.sum("n").alias("n")).withColumn("per", per).withColumn("pages", F.ceil(F.col("n") / F.col("per")).cast("long"))
+    first = F.coalesce(F.expr("sum(pages) over (partition by bits order by n_bytes, id rows between unbounded preceding and 1 preceding)"), F.lit(0))
+    kinds = kinds.select(*[F.col(c).alias(f"k_{c}") for c in kind], "per", first.alias("first"))
+    ahead = F.coalesce(F.expr("sum(n) over (partition by bits, id, n_bytes order by part rows between unbounded preceding and 1 preceding)"), F.lit(0))
+    same = lambda prefix: (F.col("bits") == F.col(f"{prefix}_bits")) & F.col("id").eqNullSafe(F.col(f"{prefix}_id")) & (F.col("n_bytes") == F.col(f"{prefix}_n_bytes"))
+    parts = parts.select(*[F.col(c).alias(f"p_{c}") for c in (*kind, "part")], ahead.alias("ahead"))
+    inside = F.row_number().over(Window.partitionBy(*kind, "part").orderBy("row")) - 1
+    placed = rows.withColumn("inside", inside).join(parts, same("p") & (F.col("part") == F.col("p_part"))).join(kinds, same("k"))
+    page = (F.col("first") + F.floor((F.col("ahead") + F.col("inside")) / F.col("per"))).cast("long")
+    return placed.withColumn("page", page)
+
+
+def _placed(rows: DataFrame, limit: int) -> DataFrame:
+    """rows (id, n_bytes, h, ...) -> with shard, depth, page, shard_bytes, shard_docs."""
+    own = rows.columns
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     at = min(BITS, max(0, math.ceil(math.log2(total / limit))) + FINER if total > limit else 0)
     open_rows, low, leaves = rows, 0, []
@@ -45,37 +71,41 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit
         found = materialize(found, "directory")
         placed = open_rows.withColumn("fine", _prefix("h", at)).join(found, "fine")
         ready = F.col("depth") <= at
-        leaves.append(placed.where(ready | F.lit(at == BITS)).select("id", "n_bytes", "h", F.least("depth", F.lit(BITS)).cast("int").alias("depth"), (~ready).alias("over")))
+        leaves.append(placed.where(ready | F.lit(at == BITS)).select(*own, F.least("depth", F.lit(BITS)).cast("int").alias("depth"), (~ready).alias("over")))
         if at == BITS or found.where(~ready).isEmpty():
             break
-        open_rows = materialize(placed.where(~ready).select("id", "n_bytes", "h"), "open")
+        open_rows = materialize(placed.where(~ready).select(*own), "open")
         low, at = at + 1, min(BITS, at + FINER)
     out = leaves[0]
     for more in leaves[1:]:
         out = out.unionByName(more)
     out = out.withColumn("bits", F.when(F.col("depth") > 0, F.lpad(F.bin(_prefix("h", "depth")), F.col("depth"), F.lit("0"))).otherwise(F.lit("")))
-    if at == BITS:
-        # Overflow pages: rows of equal hash and size are counted, and pages come from their running bytes by arithmetic.
-        full = out.where("over").groupBy("bits", "depth", "id", "n_bytes").agg(F.count("*").alias("n"))
-        per = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("n_bytes", F.lit(1)))).cast("long")
-        kinds = full.select("*", per.alias("per")).withColumn("pages", F.ceil(F.col("n") / F.col("per")).cast("long"))
-        first = F.coalesce(F.expr("sum(pages) over (partition by bits order by n_bytes, id rows between unbounded preceding and 1 preceding)"), F.lit(0))
-        kinds = kinds.withColumn("first", first).select("*", F.explode(F.expr("sequence(0L, pages - 1)")).alias("k"))
-        paged = kinds.select("id", "n_bytes", "bits", "depth", (F.col("first") + F.col("k")).alias("page"), F.explode(F.expr("sequence(1L, least(per, n - k * per))")).alias("_")).drop("_")
-        out = out.where(~F.col("over")).select("id", "n_bytes", "bits", "depth", F.lit(0).cast("long").alias("page")).unionByName(paged)
-    else:
-        out = out.select("id", "n_bytes", "bits", "depth", F.lit(0).cast("long").alias("page"))
+    plain = out.where(~F.col("over")) if at == BITS else out
+    plain = plain.select(*own, "bits", "depth", F.lit(0).cast("long").alias("page"))
+    out = plain.unionByName(_paged(out.where("over").select(*own, "bits", "depth"), limit).select(*plain.columns)) if at == BITS else plain
     sizes = out.groupBy("bits", "page").agg(F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("shard_docs"))
     out = out.join(sizes, ["bits", "page"])
     name = F.concat("bits", F.when(F.col("page") > 0, F.concat(F.lit("+"), F.col("page").cast("string"))).otherwise(F.lit("")))
-    return out.select("id", "n_bytes", name.alias("shard"), "depth", "page", "shard_bytes", "shard_docs")
+    return out.withColumn("shard", name)
 
 
-def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> None:
-    """Write ``docs`` as one folder a shard, each by one task; columns named like ``__shard`` aside, all columns stay."""
-    names = shard(docs, id_col, text_col, limit).select(F.col("id").alias("__id"), F.col("shard").alias("__shard")).distinct()
-    out = docs.join(names, F.col(id_col).eqNullSafe(F.col("__id"))).drop("__id")
-    out.repartition("__shard").write.partitionBy("__shard").parquet(path)
+def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
+    """Rows (id, n_bytes, shard, depth, page, shard_bytes, shard_docs); ``shard`` spells the prefix bits, then the page if above 0."""
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.octet_length(text_of(text_col)).cast("long").alias("n_bytes"), _hash(id_col).alias("h")), "shard")
+    return _placed(rows, limit).select("id", "n_bytes", "shard", "depth", "page", "shard_bytes", "shard_docs")
+
+
+def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> str:
+    """Write every row of ``docs`` once, one folder a shard, each by one task. Returns the name of the column of the folders:
+    ``__shard``, or with more underscores where ``docs`` has that column."""
+    name = "__shard"
+    while name in map(str.lower, docs.columns):
+        name = "_" + name
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.octet_length(text_of(text_col)).cast("long").alias("n_bytes"), _hash(id_col).alias("h"), whole), "shard")
+    out = _placed(rows, limit).select("doc.*", F.col("shard").alias(name))
+    out.repartition(name).write.partitionBy(name).parquet(path)
+    return name
 
 
 def op8_sharding(spark, sf_dir: str) -> DataFrame:

@@ -5,9 +5,13 @@ are the writer's separator) and compressed whole by gzip. They are read by Spark
 Content-Length, so payloads may hold any text. ``assemble`` joins the records of a transaction through WARC-Concurrent-To
 and gives one nested row per capture; payloads stay out of that join, only their sizes and digests enter it.
 
-Defined results: a null html is the empty payload; equal payloads below MIN_REVISIT bytes are all responses; repeated
-page ids give a capture each; an empty table gives no archive and no row; other columns are ignored; a null url or id
-is written as an empty field and read back as null.
+A response's record id is made of its page id and digest, so a revisit can name the record that it refers to; rows of
+one page id and payload share that id, as they are one record.
+
+Defined results: a null html is the empty payload; equal payloads below MIN_REVISIT bytes are all responses; a row with a
+null id revisits the largest id of its payload, and is a response where all ids are null; repeated page ids give a
+capture each; an empty table gives no archive and no row; other columns are ignored; a null url or id is written as an
+empty field and read back as null.
 """
 
 from __future__ import annotations
@@ -35,15 +39,18 @@ def mark_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     id, to as many tasks as archives of ``archive_bytes`` are wanted."""
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), text_of(html_col).alias("html"))
     base = base.select("*", F.octet_length("html").cast("long").alias("payload_bytes"), F.sha1(F.encode("html", "UTF-8")).alias("digest"))
-    small = materialize(base.select("page_id", "payload_bytes", "digest", F.pmod(F.xxhash64("page_id"), F.lit(16)).alias("salt")), "digests")
+    # One key a row and payload; the url's hash spreads rows without id.
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(16))
+    base = base.withColumn("key", F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "digest", salt.cast("string")))
+    small = materialize(base.select("page_id", "payload_bytes", "digest", "key", salt.alias("salt")), "digests")
     n = max(1, -(-int(small.agg(F.sum("payload_bytes")).first()[0] or 0) // archive_bytes))
-    keys = small.where(F.col("payload_bytes") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("newest"), F.count("*").alias("n")).where("n > 1")
+    large = small.where(F.col("payload_bytes") >= min_bytes)
+    keys = large.groupBy("digest").agg(F.max("page_id").alias("newest"), F.count("*").alias("n")).where("n > 1 and newest is not null")
     keys = keys.select("digest", "newest", F.explode(F.expr("sequence(0L, 15L)")).alias("salt"))
-    tied = small.where(F.col("payload_bytes") >= min_bytes).join(keys, ["digest", "salt"]).where(F.col("page_id") < F.col("newest"))
-    tied = tied.select(F.col("page_id").alias("old_id"), F.col("digest").alias("old_digest"), "newest").distinct()
+    tied = large.join(keys, ["digest", "salt"]).where(F.col("page_id").isNull() | (F.col("page_id") < F.col("newest")))
     # Written first, so that the plan below knows its size and deals the texts once only.
-    tied = materialize(tied, "tied").repartition(n, "old_id")
-    joined = base.repartition(n, "page_id").join(tied, (F.col("page_id") == F.col("old_id")) & (F.col("digest") == F.col("old_digest")), "left")
+    tied = materialize(tied.select(F.col("key").alias("old_key"), "newest").distinct(), "tied").repartition(n, "old_key")
+    joined = base.repartition(n, "key").join(tied, F.col("key") == F.col("old_key"), "left")
     return joined.select("page_id", "url", "html", "payload_bytes", "digest", F.col("newest").alias("refers_to"))
 
 
@@ -56,20 +63,23 @@ def _head(kind: str, ident, fields: list, length) -> F.Column:
 
 def write_warc(marked: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z") -> None:
     """Write a request, a response or revisit, and a metadata record for every row, an archive for each task."""
-    urn = lambda kind: F.concat(F.lit(f"<urn:capture:{kind}:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(":"), F.col("no"), F.lit(">"))
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
+    urn = lambda kind: F.concat(F.lit(f"<urn:capture:{kind}:"), page, F.lit(":"), F.col("no"), F.lit(">"))
+    response_of = lambda ident: F.concat(F.lit("<urn:capture:response:"), ident, F.lit(":"), F.col("digest"), F.lit(">"))
     url = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", " ")
     revisit = F.col("refers_to").isNotNull()
     date_field = ("WARC-Date", F.lit(date))
-    common = [("WARC-Target-URI", url), date_field, ("Page-ID", F.coalesce(F.col("page_id").cast("string"), F.lit("")))]
+    own = F.when(revisit, urn("revisit")).otherwise(response_of(page))
+    common = [("WARC-Target-URI", url), date_field, ("Page-ID", page)]
     digest = [("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))), ("Payload-Length", F.col("payload_bytes").cast("string"))]
     http = F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{END}")
     request = F.concat(F.lit("GET "), url, F.lit(f" HTTP/1.1{END}"))
     meta = F.concat(F.lit("n_chars: "), F.char_length("html").cast("string"), F.lit(EOL))
-    refers = [("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))), ("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))]
+    refers = [("WARC-Refers-To", response_of(F.col("refers_to").cast("string"))), ("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))]
     response = F.when(
-        revisit, F.concat(_head("revisit", urn("response"), common + digest + refers, F.octet_length(http)), http)
-    ).otherwise(F.concat(_head("response", urn("response"), common + digest, F.octet_length(http) + F.col("payload_bytes")), http, F.col("html")))
-    to = [("WARC-Concurrent-To", urn("response"))]
+        revisit, F.concat(_head("revisit", own, common + digest + refers, F.octet_length(http)), http)
+    ).otherwise(F.concat(_head("response", own, common + digest, F.octet_length(http) + F.col("payload_bytes")), http, F.col("html")))
+    to = [("WARC-Concurrent-To", own)]
     records = F.concat(
         _head("request", urn("request"), common + to, F.octet_length(request)), request, F.lit(END), response, F.lit(END), _head("metadata", urn("metadata"), common + to, F.octet_length(meta)), meta
     )
@@ -162,7 +172,7 @@ def op9_warc(spark, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     write_warc(mark_revisits(table(spark, sf_dir, "pages")), path)
     r = F.col("response")
-    refers = F.regexp_extract(r["refers_to"], r"<urn:page:(-?\d+)>", 1).try_cast("long")
+    refers = F.regexp_extract(r["refers_to"], r"<urn:capture:response:(-?\d+):", 1).try_cast("long")
     return assemble(read_warc(spark, path, payload=False)).select("page_id", r["payload_bytes"].alias("payload_bytes"), r["payload_digest"].alias("payload_digest"), r["kind"].alias("record_type"), refers.alias("refers_to"))
 
 
@@ -170,7 +180,7 @@ OP9_SQL = f"""
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS newest FROM p)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= {MIN_REVISIT} AND page_id < newest THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= {MIN_REVISIT} AND page_id < newest THEN newest END AS refers_to
+       CASE WHEN payload_bytes >= {MIN_REVISIT} AND coalesce(page_id < newest, newest IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {MIN_REVISIT} AND coalesce(page_id < newest, newest IS NOT NULL) THEN newest END AS refers_to
 FROM g
 """

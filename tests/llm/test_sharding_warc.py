@@ -43,22 +43,47 @@ def test_shard_edges(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "x")).count() == docs.count()
 
 
+def test_written_shards_hold_every_row_once(spark, tmp_path):
+    """An id that spans overflow pages, a null id, a column with the folders' name, and an empty table."""
+    rows = [(7, "x" * 100, k) for k in range(25)] + [(8, "y" * 1000, 1), (9, "z", 1), (None, "n" * 50, 2), (None, "n" * 50, 2), (7, "x" * 100, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __shard int")
+    name = sharding.write_shards(docs, str(tmp_path / "x"), limit=300)
+    back = spark.read.option("partitionOverwriteMode", "static").parquet(str(tmp_path / "x"))
+    assert sorted(map(tuple, back.select(*docs.columns).collect()), key=str) == sorted(rows, key=str)
+    by = {}
+    for r in back.collect():
+        by.setdefault(r[name], []).append(len(r.text))
+    assert all(sum(n) <= 300 or len(n) == 1 for n in by.values())
+    sharding.write_shards(no_docs(spark), str(tmp_path / "y"))
+    assert not list((tmp_path / "y").glob("*.parquet"))
+
+
+def test_queries_equal_sql(spark):
+    from sqlcheck import equals_sql
+
+    equals_sql(spark, "op8_sharding")
+    equals_sql(spark, "op9_warc")
+
+
 PAGES = "page_id long, url string, html string, digest string, kind int"
 
 
 def test_archives_round_trip(spark, tmp_path):
     long = "WARC/1.1\r\n\r\n\r\n" * 100 + "é\x00"
-    rows = [(1, "http://a", long), (2, None, long), (3, "http://c\r\nX: y", long), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", ""), (None, "u", "null id"), (8, "u", long), (8, "u", long)]
+    rows = [(1, "http://a", long), (2, None, long), (3, "http://c\r\nX: y", long), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", ""), (None, "u", "null id"), (8, "u", long), (8, "u", long), (None, "v", long), (None, None, "only null ids " * 99), (None, "v", "only null ids " * 99)]
     pages = spark.createDataFrame([(*r, "d", 1) for r in rows], PAGES)
     warc.write_warc(warc.mark_revisits(pages), str(tmp_path / "w"))
     got = warc.assemble(warc.read_warc(spark, str(tmp_path / "w"))).collect()
     assert len(got) == len(rows) and all(r.request and r.metadata for r in got)
+    records = {r.record_id for r in warc.read_warc(spark, str(tmp_path / "w"), payload=False).collect()}
+    html_of = {hashlib.sha1((h or "").encode()).hexdigest(): (h or "").encode() for _, _, h in rows}
+    assert sorted((str(r.page_id), r.response.payload_digest) for r in got) == sorted((str(i), hashlib.sha1((h or "").encode()).hexdigest()) for i, _, h in rows)
     for r in got:
-        html = next((h or "") for i, _, h in rows if i == r.page_id).encode()
         x = r.response
-        assert (x.payload_bytes, x.payload_digest) == (len(html), hashlib.sha1(html).hexdigest())
-        if r.page_id in (1, 2, 3):
-            assert x.kind == "revisit" and x.refers_to == "<urn:page:8>"
+        html = html_of[x.payload_digest]
+        assert x.payload_bytes == len(html)
+        if r.page_id in (1, 2, 3) or (r.page_id is None and html == long.encode()):
+            assert x.kind == "revisit" and x.refers_to in records and x.refers_to.startswith("<urn:capture:response:8:")
         else:
             assert x.kind == "response" and bytes(x.payload) == html and x.refers_to is None
 
@@ -75,7 +100,7 @@ def test_pages(spark, tmp_path):
     assert len(got) == len(rows) and len(list((tmp_path / "w").glob("*.gz"))) > 3
     for i, h in rows:
         old = len(h) >= 1000 and i < newest[h]
-        assert (got[i].kind, got[i].refers_to) == (("revisit", f"<urn:page:{newest[h]}>") if old else ("response", None))
+        assert (got[i].kind, got[i].refers_to) == (("revisit", f"<urn:capture:response:{newest[h]}:{hashlib.sha1(h).hexdigest()}>") if old else ("response", None))
 
 
 def test_no_pages(spark, tmp_path):
