@@ -1,8 +1,9 @@
 """Media columns: Netpbm and BMP images to numpy arrays, area resizing by integral images, NPY tiles, difference hashes.
 
-``decode`` reads P1 to P6 (plain and raw, 8 and 16 bits) and uncompressed BMP of 1, 4, 8, 24 and 32 bits. ``tiles``
+``decode`` reads P1 to P6 (plain and raw; samples above 255 stay of 16 bits) and uncompressed BMP of 1, 4, 8, 16, 24 and
+32 bits, with bit fields and with the short header of 12 bytes. ``tiles``
 stores an array as NPY tiles of at most TILE_ROWS rows, lossless; ``join_tiles`` puts them together. ``resize`` averages
-exact (fractional) areas by one integral image. ``dhash`` compares neighbours of a 9 x 8 grey reduction.
+exact (fractional) areas by the integral image, of which it holds one strip at a time. ``dhash`` compares neighbours of a 9 x 8 grey reduction.
 
 Defined results: a null or empty text is one row of 64 zero bytes; equal texts give equal values; undecodable bytes
 raise ValueError; an empty table gives no rows; other columns are ignored.
@@ -24,6 +25,7 @@ from .common import materialize, table, text_of
 
 WIDTH = 64
 TILE_ROWS = 4096
+STRIP_ROWS = 8192
 
 
 def _netpbm(data: bytes) -> np.ndarray:
@@ -52,22 +54,49 @@ def _netpbm(data: bytes) -> np.ndarray:
         out = np.frombuffer(data, ">u2" if top > 255 else np.uint8, n, at + 1)
     if len(out) != n:
         raise ValueError("Netpbm data are cut off")
-    if kind not in (1, 4) and top != 255:
-        out = (out.astype(np.float64) * 255 / top + 0.5).astype(np.uint8)
-    return out.astype(np.uint8, copy=False).reshape((h, w, 3) if channels == 3 else (h, w))
+    if not 0 < top < 1 << 16:
+        raise ValueError("unsupported Netpbm depth")
+    most, kept = (65535, np.uint16) if top > 255 else (255, np.uint8)
+    if kind not in (1, 4) and top != most:
+        out = (out.astype(np.float64) * most / top + 0.5).astype(kept)
+    return out.astype(kept, copy=False).reshape((h, w, 3) if channels == 3 else (h, w))
+
+
+def _field(words: np.ndarray, mask: int) -> np.ndarray:
+    """The bits of ``mask`` in each word, spread over 0 to 255."""
+    if not mask:
+        return np.zeros(words.shape, np.uint8)
+    low = (mask & -mask).bit_length() - 1
+    most = mask >> low
+    return (((words & np.uint32(mask)) >> np.uint32(low)).astype(np.float64) * 255 / most + 0.5).astype(np.uint8)
 
 
 def _bmp(data: bytes) -> np.ndarray:
-    start, size, w, h, _, bits, packed = struct.unpack_from("<10xIIiiHHI", data)
-    if packed not in (0, 3) or bits not in (1, 4, 8, 24, 32):
+    if len(data) < 26:
+        raise ValueError("broken BMP header")
+    start, size = struct.unpack_from("<10xII", data)
+    if size == 12:
+        (w, h, _, bits), packed, cell = struct.unpack_from("<HHHH", data, 18), 0, 3
+    elif size >= 40 and len(data) >= 54:
+        (w, h, _, bits, packed), cell = struct.unpack_from("<iiHHI", data, 18), 4
+    else:
+        raise ValueError("broken BMP header")
+    if packed not in (0, 3) or bits not in (1, 4, 8, 16, 24, 32) or (packed == 3 and bits not in (16, 32)):
         raise ValueError("unsupported BMP")
     stride, flip, h = (w * bits + 31) // 32 * 4, h > 0, abs(h)
+    if w <= 0 or len(data) < start + stride * h:
+        raise ValueError("BMP data are cut off")
     raw = np.frombuffer(data, np.uint8, stride * h, start).reshape(h, stride)
-    if bits >= 24:
+    if packed == 3 or bits == 16:
+        # Without masks 16 bits are 5 a channel.
+        masks = struct.unpack_from("<III", data, 54) if packed == 3 else (0x7C00, 0x3E0, 0x1F)
+        words = raw[:, : w * bits // 8].copy().view("<u2" if bits == 16 else "<u4").astype(np.uint32)
+        out = np.stack([_field(words, m) for m in masks], 2)
+    elif bits >= 24:
         out = raw[:, : w * bits // 8].reshape(h, w, bits // 8)[:, :, 2::-1]
     else:
-        colours = struct.unpack_from("<I", data, 46)[0] or 1 << bits
-        palette = np.frombuffer(data, np.uint8, colours * 4, 14 + size).reshape(-1, 4)[:, 2::-1]
+        colours = (struct.unpack_from("<I", data, 46)[0] if cell == 4 else 0) or 1 << bits
+        palette = np.frombuffer(data, np.uint8, colours * cell, 14 + size).reshape(-1, cell)[:, 2::-1]
         if bits == 8:
             index = raw[:, :w]
         else:
@@ -78,7 +107,7 @@ def _bmp(data: bytes) -> np.ndarray:
 
 
 def decode(data: bytes) -> np.ndarray:
-    """uint8 array of shape (h, w) or (h, w, 3)."""
+    """Array of shape (h, w) or (h, w, 3), uint8, or uint16 for Netpbm samples above 255."""
     if data[:1] == b"P" and data[1:2] in b"123456" and len(data) > 2:
         return _netpbm(data)
     if data[:2] == b"BM":
@@ -91,10 +120,6 @@ def resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
     if image.ndim == 3:
         return np.stack([resize(image[:, :, c], height, width) for c in range(image.shape[2])], 2)
     h, w = image.shape
-    # Columns first: the row sums of a wide run of rows stay exact in int64, and one running sum gives every band.
-    total = np.zeros((h + 1, w + 1), np.int64)
-    np.cumsum(image, axis=0, dtype=np.int64, out=total[1:, 1:])
-    np.cumsum(total[1:, 1:], axis=1, out=total[1:, 1:])
 
     def at(edges, size):
         low = np.minimum(np.floor(edges).astype(np.int64), size - 1)
@@ -102,15 +127,24 @@ def resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
 
     ys, fy = at(np.arange(height + 1) * (h / height), h)
     xs, fx = at(np.arange(width + 1) * (w / width), w)
-    rows = total[ys] + (total[ys + 1] - total[ys]) * fy[:, None]
-    grid = rows[:, xs] + (rows[:, xs + 1] - rows[:, xs]) * fx[None, :]
+    # Rows 0 to h of the integral image that are asked for, strip by strip; the sums of all rows above go along.
+    wanted = np.unique(np.concatenate([ys, ys + 1]))
+    rows, above = np.zeros((len(wanted), w + 1), np.int64), np.zeros(w, np.int64)
+    for a in range(0, h, STRIP_ROWS):
+        strip = np.cumsum(image[a : a + STRIP_ROWS], axis=0, dtype=np.int64) + above
+        here = np.flatnonzero((wanted > a) & (wanted <= a + len(strip)))
+        rows[here, 1:] = np.cumsum(strip[wanted[here] - a - 1], axis=1)
+        above = strip[-1]
+    first, second = np.searchsorted(wanted, ys), np.searchsorted(wanted, ys + 1)
+    part = rows[first] + (rows[second] - rows[first]) * fy[:, None]
+    grid = part[:, xs] + (part[:, xs + 1] - part[:, xs]) * fx[None, :]
     return (grid[1:, 1:] - grid[:-1, 1:] - grid[1:, :-1] + grid[:-1, :-1]) * (height * width / (h * w))
 
 
 def dhash(image: np.ndarray) -> str:
     """64 bits as hex: whether each of 8 x 8 cells of the 9 x 8 grey reduction is darker than its right neighbour."""
-    grey = image.mean(2) if image.ndim == 3 else image
-    small = np.round(resize(grey.astype(np.int64), 8, 9), 6)
+    small = resize(image, 8, 9)
+    small = np.round(small.mean(2) if small.ndim == 3 else small, 6)
     return np.packbits(small[:, :-1] < small[:, 1:]).tobytes().hex()
 
 

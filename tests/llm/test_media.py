@@ -35,7 +35,9 @@ def test_netpbm():
     assert m.decode(b"P3 1 1 255 1 2 3").tolist() == [[[1, 2, 3]]]
     assert m.decode(b"P4\n9 1\n\xff\x00").tolist() == [[0] * 8 + [255]]
     assert m.decode(b"P5\n2 2\n255\n\n\x00 \xff").tolist() == [[10, 0], [32, 255]]
-    assert m.decode(b"P5 1 1 65535\n\xff\xff").tolist() == [[255]]
+    deep = m.decode(b"P5 2 1 65535\n\xff\xff\x01\x02")
+    assert deep.dtype == np.uint16 and deep.tolist() == [[65535, 258]]
+    assert (m.join_tiles(m.tiles(deep)) == deep).all()
     assert m.decode(b"P6 1 2 255\n\x01\x02\x03\x04\x05\x06").tolist() == [[[1, 2, 3]], [[4, 5, 6]]]
     for bad in (b"", b"GIF89a", b"P5 4 4 255\n\x00"):
         with pytest.raises(ValueError):
@@ -56,6 +58,48 @@ def test_bmp():
     assert m.decode(bmp(3, 1, 4, b"\x10\x10\x00\x00", palette))[:, :, 0].tolist() == [[255, 0, 255]]
 
 
+def test_bmp_bit_fields_and_short_header():
+    def fields(bits, masks, pixels):
+        return struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 66 + len(pixels), 0, 0, 66, 40, 1, 1, 1, bits, 3, len(pixels), 0, 0, 0, 0) + struct.pack("<III", *masks) + pixels
+
+    assert m.decode(fields(32, (0xFF, 0xFF00, 0xFF0000), b"\x01\x02\x03\x00")).tolist() == [[[1, 2, 3]]]
+    assert m.decode(fields(16, (0xF800, 0x7E0, 0x1F), struct.pack("<HH", 0xF800 | 0x1F, 0))).tolist() == [[[255, 0, 255]]]
+    assert m.decode(bmp(1, 1, 16, struct.pack("<HH", 0x7C00, 0))).tolist() == [[[255, 0, 0]]]
+    short = struct.pack("<2sIHHIIHHHH", b"BM", 32, 0, 0, 26, 12, 1, 1, 1, 24) + b"\x03\x02\x01\x00"
+    assert m.decode(short).tolist() == [[[1, 2, 3]]]
+    palette = struct.pack("<2sIHHIIHHHH", b"BM", 36, 0, 0, 32, 12, 2, 1, 1, 1) + b"\x00\x00\x00\x09\x08\x07" + b"\x40\x00\x00\x00"
+    assert m.decode(palette).tolist() == [[[0, 0, 0], [7, 8, 9]]]
+    for bad in (short[:20], bmp(9, 9, 24, b"\x00"), fields(24, (1, 2, 4), b"\x00" * 4)):
+        with pytest.raises(ValueError):
+            m.decode(bad)
+
+
+def test_dhash_equals_brute(monkeypatch):
+    rng = np.random.default_rng(3)
+    for shape in ((1, 64), (5, 64), (300, 64), (20, 30, 3)):
+        a = rng.integers(0, 256, shape, np.uint8)
+        small = brute_resize(a, 8, 9) if a.ndim == 2 else np.mean([brute_resize(a[:, :, k], 8, 9) for k in range(3)], 0)
+        bits = [small[i, j] < small[i, j + 1] for i in range(8) for j in range(8)]
+        assert m.dhash(a) == f"{int(''.join(str(int(x)) for x in bits), 2):016x}"
+    whole = m.resize(a, 8, 9)
+    monkeypatch.setattr(m, "STRIP_ROWS", 3)
+    assert (m.resize(a, 8, 9) == whole).all()
+
+
+def test_query(spark):
+    from clonelens.llm import queries
+
+    small = "/root/testdata/sf0.001"
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    rows = queries.queries()["op10_media"](spark, small).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        raw = texts[r.doc_id]
+        pad = raw + b"\x00" * (max(64, -(-len(raw) // 64) * 64) - len(raw))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(pad), hashlib.sha256(pad).hexdigest(), zlib.crc32(pad[-64:]))
+        assert r.feature == m.dhash(np.frombuffer(pad, np.uint8).reshape(-1, 64))
+
+
 def test_tiles():
     a = np.arange(64 * 10, dtype=np.int64).astype(np.uint8).reshape(10, 64)
     parts = m.tiles(a, 4)
