@@ -34,10 +34,11 @@ from .words import buffers, chunks
 BLOCK = 128
 PERCENTILE = 0.98
 SEGMENT_IDS = 1 << 20
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 TASK_BYTES = 64 << 20
 END_ID = 0
-MEMO = 400_000
+MEMO = 250_000  # words that a task remembers
+KEPT = 50_000  # of these, words that its process remembers afterwards
 _BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 _HEAD = struct.Struct("<4sIQIIB")
 
@@ -231,8 +232,10 @@ class Encoder:
         ends = np.cumsum(length)
         return self.flat[np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
 
-    def _keep(self, n: int):
+    def keep(self, n: int) -> None:
         """Forget all but the ``n`` first words, which are mostly the frequent ones."""
+        if len(self.memo) <= n:
+            return
         self.memo = dict(islice(self.memo.items(), n))
         self.flat = self._gather(self.start[:n], self.length[:n])
         self.length = self.length[:n]
@@ -244,7 +247,7 @@ class Encoder:
         import pyarrow.compute as pc
 
         if len(self.memo) > MEMO:
-            self._keep(MEMO // 2)
+            self.keep(MEMO // 2)
         odd = pc.match_substring_regex(texts, _ODD if self.by_words else "")
         for s in self.special:
             odd = pc.or_(odd, pc.match_substring(texts, s))
@@ -327,6 +330,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id"
         if keys:
             yield segment()
         keys, lengths, ids = [], [], []
+        enc.keep(KEPT)
         give_back()
 
     rows.mapInArrow(run, SEGMENTS).write.option("compression", "none").parquet(path)
