@@ -4,12 +4,23 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir. Where that is unset, a folder of this machine in local mode, and on a cluster one below the
+    warehouse, which is shared."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if spark.sparkContext.master.startswith("local"):
+        return f"file://{tempfile.mkdtemp(prefix='clonelens-')}"
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to spark.checkpoint.dir (a local folder only where that is unset) and read from there."""
+    """``df`` written to the checkpoint folder and read from there."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='clonelens-')}")
+        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
     return df.checkpoint()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.distances import kmers
+from .numbering import numbered
 
 
 def gini(sizes: DataFrame, size: str = "n") -> DataFrame:
@@ -21,16 +22,17 @@ def gini(sizes: DataFrame, size: str = "n") -> DataFrame:
 
 def lorenz(sizes: DataFrame, size: str = "n") -> DataFrame:
     """(rank, share): cumulative share of ascending sizes, from rank 0 with share 0; one row a cluster."""
-    w = Window.orderBy(size, "cluster_id")
-    total = F.sum(size).over(Window.partitionBy())
-    rows = sizes.select(F.row_number().over(w).alias("rank"), (F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0)) / total).alias("share"))
-    return rows.unionByName(sizes.limit(1).select(F.lit(0).alias("rank"), F.lit(0.0).alias("share")))
+    rows = numbered(sizes.select("cluster_id", F.col(size).alias("x")), [F.col("x"), F.col("cluster_id")], "rank", running="x")
+    total = sizes.agg(F.sum(size).alias("total"))
+    rows = rows.crossJoin(F.broadcast(total)).select(F.col("rank").cast("int").alias("rank"), (F.col("x_sum") / F.col("total")).alias("share"))
+    return rows.unionByName(total.where("total is not null").select(F.lit(0).alias("rank"), F.lit(0.0).alias("share")))
 
 
 def distribution(sizes: DataFrame, size: str = "n", line: float = 0.05) -> DataFrame:
     """(cluster_id, n, share, above): share of all, and whether it is above ``line``."""
-    share = F.col(size) / F.sum(size).over(Window.partitionBy())
-    return sizes.select("cluster_id", F.col(size).alias("n"), share.alias("share"), (share > line).alias("above"))
+    share = F.col(size) / F.col("total")
+    rows = sizes.crossJoin(F.broadcast(sizes.agg(F.sum(size).alias("total"))))
+    return rows.select("cluster_id", F.col(size).alias("n"), share.alias("share"), (share > line).alias("above"))
 
 
 def uniformity_by_size(sizes: DataFrame, uniformity: DataFrame) -> DataFrame:

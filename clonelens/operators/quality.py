@@ -76,14 +76,22 @@ def split_reads(reads: DataFrame, least: int, sequence: str = "whole_seq") -> tu
     return one.where(F.col("occurrence") > least), bad.withColumn("occurrence", F.col("occurrence").cast("long")).unionByName(few)
 
 
-def filter_statistics(reads: DataFrame, rejected: DataFrame, least: int) -> DataFrame:
-    """One row: totals, reads failing each criterion, reads by number of failed criteria, reads failing only the tree one."""
-    flags = ["cluster_ok", "tree_ok", "quality_ok", "minimum_ok"]
-    failed = sum((~F.col(c)).cast("int") for c in flags)
-    only_tree = ~F.col("tree_ok") & (failed == 1)
+def filter_statistics(reads: DataFrame, least: int, sequence: str = "whole_seq") -> DataFrame:
+    """One row over ``reads`` with flags: totals, reads failing each criterion, reads by number of failed criteria, reads
+    failing only the tree one, as ``split_reads`` parts them.
+
+    One pass: reads of accepted flags are summed by sequence, all others fall into one group of map-side sums."""
+    good = F.col("cluster_ok") & F.col("quality_ok")
     n = F.col("occurrence")
-    add = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).cast("long")
+    flags = {"cluster": ~F.col("cluster_ok"), "tree": ~F.col("tree_ok"), "quality": ~F.col("quality_ok"), "minimum": n < least}
+    failed = sum(c.cast("int") for c in flags.values())
+    only_tree = flags["tree"] & (failed == 1)
     names = ["one", "two", "three", "four"]
-    per = rejected.agg(*[add(~F.col(c)).alias(c.replace("_ok", "_failed")) for c in flags], *[add(failed == k + 1).alias(f"failed_{names[k]}") for k in range(4)], add(only_tree).alias("only_tree"), add(~only_tree).alias("filtered"))
-    total = reads.agg(F.coalesce(F.sum("occurrence"), F.lit(0)).cast("long").alias("total"))
-    return total.crossJoin(per).select("total", (F.col("total") - F.col("filtered")).alias("analysed"), F.lit(least).cast("long").alias("least"), *[c for c in per.columns])
+    tests = {f"{k}_failed": c for k, c in flags.items()} | {f"failed_{w}": failed == k + 1 for k, w in enumerate(names)} | {"only_tree": only_tree, "filtered": ~only_tree}
+    per = reads.groupBy(good.alias("good"), F.when(good, F.col(sequence)).alias("key")).agg(F.sum(n).alias("n"), *[F.sum(F.when(c & ~good, n)).alias(k) for k, c in tests.items()])
+    # A sequence of too few reads fails the last criterion alone.
+    few = F.when(F.col("good") & (F.col("n") <= least), F.col("n"))
+    whole = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    sums = {k: whole(k) + whole(few) if k in ("minimum_failed", "failed_one", "filtered") else whole(k) for k in tests}
+    total = whole("n")
+    return per.agg(total.alias("total"), (total - sums["filtered"]).alias("analysed"), F.lit(least).cast("long").alias("least"), *[c.alias(k) for k, c in sums.items()])

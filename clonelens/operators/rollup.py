@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 
 def attach(clusters: DataFrame, reads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(reads with cluster_id, cluster rows whose id is unknown)."""
@@ -27,12 +29,10 @@ def clonotypes(rows: DataFrame) -> DataFrame:
 def ranked(subs: DataFrame, analysed: Column | None = None) -> DataFrame:
     """Sub-clones with clone reads, ranks of clone and sub-clone, shares of clone and repertoire, and display names."""
     per = Window.partitionBy("cluster_id")
-    s = subs.withColumn("clone_reads", F.sum("reads").over(per)).withColumn("clone_first", F.min("first_ordinal").over(per))
     total = subs.agg(F.sum("reads").alias("total"))
-    clones = s.select("cluster_id", "clone_reads", "clone_first").distinct()
-    # A row a clone in one task; clones are few beside reads.
-    clones = clones.withColumn("clone_rank", F.row_number().over(Window.orderBy(F.col("clone_reads").desc(), "clone_first", "cluster_id"))).select("cluster_id", "clone_rank")
-    s = s.join(clones, "cluster_id").crossJoin(F.broadcast(total))
+    clones = subs.groupBy("cluster_id").agg(F.sum("reads").alias("clone_reads"), F.min("first_ordinal").alias("clone_first"))
+    clones = numbered(clones, [F.col("clone_reads").desc(), F.col("clone_first"), F.col("cluster_id")], "clone_rank")
+    s = subs.join(clones.withColumn("clone_rank", F.col("clone_rank").cast("int")), "cluster_id").crossJoin(F.broadcast(total))
     k = F.row_number().over(per.orderBy(F.col("reads").desc(), "first_ordinal"))
     s = s.withColumn("subclone_rank", k).withColumn("of_clone", F.col("reads") / F.col("clone_reads") * 100)
     s = s.withColumn("of_repertoire", F.col("reads") / (F.col("total") if analysed is None else analysed) * 100)
