@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -67,10 +69,10 @@ def kmer_distance(a, b, k: int) -> Column:
 
 
 def combined(v, cdr3, j, weights: tuple[float, float, float] | None = None) -> Column:
-    """Mean of the three distances, or their weighted sum."""
+    """Mean of the three distances, by ``weights`` if given."""
     if weights is None:
         return (_c(cdr3) + _c(v) + _c(j)) / 3
-    return weights[0] * _c(v) + weights[1] * _c(cdr3) + weights[2] * _c(j)
+    return (weights[0] * _c(v) + weights[1] * _c(cdr3) + weights[2] * _c(j)) / sum(weights)
 
 
 def scaled_euclidean(a, b) -> Column:
@@ -91,6 +93,70 @@ def letter_vectors(substitution: np.ndarray, dimensions: int = 16) -> np.ndarray
     return np.pad(out, ((0, 0), (0, dimensions - out.shape[1])))
 
 
+# The BLOSUM62 substitution scores of each amino acid with those before it.
+AMINO_ACIDS = "ARNDCQEGHILKMFPSTWYV"
+SUBSTITUTIONS = """
+R -1
+N -2 0
+D -2 -2 1
+C 0 -3 -3 -3
+Q -1 1 0 0 -3
+E -1 0 0 2 -4 2
+G 0 -2 0 -1 -3 -2 -2
+H -2 0 1 -1 -3 0 0 -2
+I -1 -3 -3 -3 -1 -3 -3 -4 -3
+L -1 -2 -3 -4 -1 -2 -3 -4 -3 2
+K -1 2 0 -1 -3 1 1 -2 -1 -3 -2
+M -1 -1 -2 -3 -1 0 -2 -3 -2 1 2 -1
+F -2 -3 -3 -3 -2 -3 -3 -3 -1 0 0 -3 0
+P -1 -2 -2 -1 -3 -1 -1 -2 -2 -3 -3 -1 -2 -4
+S 1 -1 1 0 -1 0 0 0 -1 -2 -2 0 -1 -2 -1
+T 0 -1 0 -1 -1 -1 -1 -2 -2 -1 -1 -1 -1 -2 -1 1
+W -3 -3 -4 -4 -2 -2 -3 -2 -2 -3 -2 -3 -1 1 -4 -3 -2
+Y -2 -2 -2 -3 -2 -1 -2 -3 2 -1 -1 -2 -1 3 -3 -2 -2 2
+V 0 -3 -3 -3 -1 -2 -2 -3 -3 3 1 -2 1 -1 -2 -2 0 -3 -1
+"""
+DIAGONAL = 4  # for every letter, so that equal letters are equally near
+
+
+@functools.cache
+def amino_acid_vectors(dimensions: int = 16) -> dict[str, list[float]]:
+    """Coordinates of each amino acid by ``letter_vectors``, to six decimals; a direction's first value that is not 0 is positive."""
+    n = len(AMINO_ACIDS)
+    scores = np.full((n, n), float(DIAGONAL))
+    for line in SUBSTITUTIONS.split("\n"):
+        if line:
+            k = AMINO_ACIDS.index(line[0])
+            scores[k, :k] = scores[:k, k] = [int(x) for x in line.split()[1:]]
+    out = letter_vectors(scores, dimensions)
+    for d in range(dimensions):
+        large = np.flatnonzero(np.abs(out[:, d]) > 1e-6)
+        if len(large) and out[large[0], d] < 0:
+            out[:, d] = -out[:, d]
+    return {c: [round(float(x), 6) + 0.0 for x in row] for c, row in zip(AMINO_ACIDS, out, strict=True)}
+
+
+def embedding_distance(a, b) -> Column:
+    """Root of the mean squared difference of the two cyclic embeddings; null where a letter is no amino acid."""
+    vectors = amino_acid_vectors()
+    return scaled_euclidean(cyclic_embedding(a, vectors), cyclic_embedding(b, vectors))
+
+
+def component(kind: str, a, b, longest=None, k: int = 5) -> Column:
+    """One part of the combined distance: ``binary``, ``levenshtein`` over ``longest``, ``similarity``, ``kmers`` or ``embedding``."""
+    if kind == "binary":
+        return binary(a, b).cast("double")
+    if kind == "levenshtein":
+        return normalised_levenshtein(a, b, longest)
+    if kind == "similarity":
+        return edit_similarity_distance(a, b)
+    if kind == "kmers":
+        return kmer_distance(a, b, k)
+    if kind == "embedding":
+        return embedding_distance(a, b)
+    raise ValueError(f"unknown distance {kind}")
+
+
 def cyclic_embedding(c, vectors: dict[str, list[float]], cycle: int = 6) -> Column:
     """Sum of letter vectors by the residue class of the distance from the end, one class after another.
 

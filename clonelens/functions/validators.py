@@ -75,8 +75,8 @@ def all_filled(columns: list[str]) -> Column:
 
 
 def region_offset(position, start) -> Column:
-    """Position counted from ``start``; 1 where either is no integer."""
-    return F.coalesce(_c(position) - _c(start) + 1, F.lit(1))
+    """Position counted from ``start``; either counts as 1 where it is no integer."""
+    return F.coalesce(_c(position), F.lit(1)) - F.coalesce(_c(start), F.lit(1)) + 1
 
 
 def running_maximum(positions: list) -> list[Column]:

@@ -18,12 +18,12 @@ from .numbering import numbered
 LETTERS = "ACDEFGHIKLMNPQRSTVWY*.X-"
 
 
-def consensus_columns(rows: DataFrame, group: str, text: str) -> DataFrame:
+def consensus_columns(rows: DataFrame, group: list[str], text: str) -> DataFrame:
     """(group, consensus): at each place the most frequent letter, ties to the first in LETTERS; counted, never gathered."""
-    cells = rows.select(group, F.posexplode(F.split(text, "")).alias("pos", "letter")).groupBy(group, "pos", "letter").agg(F.count("*").alias("n"))
-    best = cells.groupBy(group, "pos").agg(F.max_by("letter", F.struct(F.col("n"), -F.instr(F.lit(LETTERS), F.col("letter")))).alias("letter"))
+    cells = rows.select(*group, F.posexplode(F.split(text, "")).alias("pos", "letter")).groupBy(*group, "pos", "letter").agg(F.count("*").alias("n"))
+    best = cells.groupBy(*group, "pos").agg(F.max_by("letter", F.struct(F.col("n"), -F.instr(F.lit(LETTERS), F.col("letter")))).alias("letter"))
     ordered = F.array_sort(F.collect_list(F.struct("pos", "letter")))
-    return best.groupBy(group).agg(F.array_join(F.transform(ordered, lambda x: x["letter"]), "").alias("consensus"))
+    return best.groupBy(*group).agg(F.array_join(F.transform(ordered, lambda x: x["letter"]), "").alias("consensus"))
 
 
 def greedy(texts: list[str], threshold: float) -> list[list[int]]:
@@ -80,21 +80,32 @@ def super_merge(blocks: list[tuple[int, list[str]]], tolerance: int, threshold:
     A later block's clusters compare their seeds with those from before the block, of lengths within ``tolerance``; the
     last best one takes them from ``threshold`` on, the others are added after the block."""
     out: list[list[tuple[int, int]]] = []
-    seeds: list[str] = []
+    known: dict[int, list[tuple[int, str]]] = {}  # by length: number and seed of the clusters before the block
+    letters: dict[int, np.ndarray] = {}
     for b, (length, names) in enumerate(blocks):
-        fresh, known = [], len(out)
+        fresh = []
+        same = letters.get(length)
         for k, seed in enumerate(names):
             best, at = -1.0, -1
-            for c in range(known if b else 0):
-                if abs(len(seeds[c]) - length) <= tolerance and (s := similarity(seed, seeds[c])) >= best:
-                    best, at = s, c
+            for n in range(length - tolerance, length + tolerance + 1):
+                some = known.get(n, [])
+                if n == length and some and length:
+                    equal = (same == np.frombuffer(seed.encode("utf-32-le"), np.uint32)).sum(1) / length * 100
+                    scores = zip((c for c, _ in some), equal.tolist(), strict=True)
+                else:
+                    scores = ((c, similarity(seed, x)) for c, x in some)
+                for c, x in scores:
+                    if x > best or (x == best and c > at):
+                        best, at = x, c
             if at >= 0 and best >= threshold:
                 out[at].append((b, k))
             else:
                 fresh.append((b, k))
         for b_, k in fresh:
+            known.setdefault(length, []).append((len(out), names[k]))
             out.append([(b_, k)])
-            seeds.append(names[k])
+        if fresh:
+            letters[length] = np.stack([np.frombuffer(x.encode("utf-32-le"), np.uint32) for _, x in known[length]])
     return out
 
 
@@ -112,7 +123,10 @@ def pre_cluster(cdr3s: DataFrame, threshold: float = 70.0, size: int = CHUNK) ->
 
 
 def merge_blocks(pre: DataFrame, threshold: float = 70.0, tolerant: str = "IGHJ6") -> DataFrame:
-    """(v, j, len, chunk, cluster) -> merged number and place in it, from the clusters' seeds alone."""
+    """(v, j, len, chunk, cluster) -> merged number and place in it, and the order ``band`` of merged numbers.
+
+    Only seeds from the clusters meet. Genes without tolerance compare equal lengths only, so each length is a group of its
+    own; the tolerant gene's lengths stay together. ``band`` is the first order of a group's length, 0 for the tolerant gene."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.groupby("len").len_first.min()
@@ -124,11 +138,12 @@ def merge_blocks(pre: DataFrame, threshold: float = 70.0, tolerant: str = "IGHJ6
         tolerance = 1 if pdf.j_call.iloc[0] == tolerant else 0
         rows = [(*keys[b][:2], keys[b][2][k], m, p) for m, members in enumerate(super_merge(blocks, tolerance, threshold)) for p, (b, k) in enumerate(members)]
         out = pd.DataFrame(rows, columns=["len", "chunk", "cluster", "merged", "place"])
-        return out.assign(v_call=pdf.v_call.iloc[0], j_call=pdf.j_call.iloc[0])
+        return out.assign(v_call=pdf.v_call.iloc[0], j_call=pdf.j_call.iloc[0], band=pdf.band.iloc[0])
 
     first = F.min("ordinal").over(Window.partitionBy("v_call", "j_call", "len"))
-    seeds = pre.withColumn("len_first", first).where("pos = 0").select("v_call", "j_call", "len", "chunk", "cluster", "cdr3_aa", "len_first")
-    return seeds.groupBy("v_call", "j_call").applyInPandas(run, "len int, chunk long, cluster int, merged int, place int, v_call string, j_call string")
+    seeds = pre.withColumn("len_first", first).where("pos = 0")
+    seeds = seeds.select("v_call", "j_call", "len", "chunk", "cluster", "cdr3_aa", "len_first", F.when(F.col("j_call") == tolerant, F.lit(0).cast("long")).otherwise(F.col("len_first")).alias("band"))
+    return seeds.groupBy("v_call", "j_call", "band").applyInPandas(run, "len int, chunk long, cluster int, merged int, place int, v_call string, j_call string, band long")
 
 
 def cluster_reads(reads: DataFrame, threshold: float = 70.0, tolerant: str = "IGHJ6", size: int = CHUNK) -> DataFrame:
@@ -136,10 +151,10 @@ def cluster_reads(reads: DataFrame, threshold: float = 70.0, tolerant: str = "IG
     pre = checkpointed(pre_cluster(distinct_cdr3(reads), threshold, size))
     merged = merge_blocks(pre, threshold, tolerant)
     placed = pre.join(merged, ["v_call", "j_call", "len", "chunk", "cluster"])
-    members = placed.select("v_call", "j_call", "cdr3_aa", "merged", "place", F.col("pos").alias("inside"))
+    members = placed.select("v_call", "j_call", "cdr3_aa", "band", "merged", "place", F.col("pos").alias("inside"))
     rows = reads.select("sequence_id", "ordinal", "v_call", "j_call", "cdr3_aa").join(members, ["v_call", "j_call", "cdr3_aa"])
     genes = reads.groupBy("v_call", "j_call").agg(F.min("ordinal").alias("gene_first"))
-    clusters = numbered(members.select("v_call", "j_call", "merged").distinct().join(genes, ["v_call", "j_call"]), [F.col("gene_first"), F.col("v_call"), F.col("j_call"), F.col("merged")])
-    rows = rows.join(clusters.select("v_call", "j_call", "merged", (F.col("number") - 1).alias("cluster_id")), ["v_call", "j_call", "merged"])
+    clusters = numbered(members.select("v_call", "j_call", "band", "merged").distinct().join(genes, ["v_call", "j_call"]), [F.col(c) for c in ("gene_first", "v_call", "j_call", "band", "merged")])
+    rows = rows.join(clusters.select("v_call", "j_call", "band", "merged", (F.col("number") - 1).alias("cluster_id")), ["v_call", "j_call", "band", "merged"])
     pos = F.row_number().over(Window.partitionBy("cluster_id").orderBy("place", "inside", "ordinal")) - 1
     return rows.select("cluster_id", "sequence_id", pos.cast("long").alias("pos"))

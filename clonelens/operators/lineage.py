@@ -132,10 +132,10 @@ def trimmed(edges: list[tuple[int, int, int]], d: np.ndarray) -> list[tuple[int,
 SCHEMA = "clone_rank int, complexity string, parent string, child string, dist int, silent boolean, abundance long, aligned string"
 
 
-def lineages(subs: DataFrame, trim: bool = False, nodes: int = 30, share: float = 0.01) -> DataFrame:
+def lineages(subs: DataFrame, trim: bool = False, nodes: int = 30, share: float = 0.01, by_abundance: bool = True) -> DataFrame:
     """subs (clone_rank, name, reads, whole_seq, germline, subclone_rank) -> tree edges of three complexities.
 
-    ``germline`` is the clone's chosen one. A clone of one sub-clone or without a germline has no tree."""
+    ``germline`` is the clone's chosen one; without ``by_abundance`` the first of equally near nodes is taken. A clone of one sub-clone or without a germline has no tree."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("subclone_rank", kind="stable")
@@ -147,7 +147,7 @@ def lineages(subs: DataFrame, trim: bool = False, nodes: int = 30, share: float
         names, reads = [GERMLINE, *pdf.name], [1, *(int(x) for x in pdf.reads)]
         rows = star_align(germ.upper(), [s.upper() for s in pdf.whole_seq])
         d = distance_matrix(rows)
-        edges = spanning_tree(d, reads)
+        edges = spanning_tree(d, reads, by_abundance)
         if trim:
             edges = trimmed(edges, d)
         label = lambda x: names[x] if isinstance(x, int) else x

@@ -69,10 +69,8 @@ def simplify_by_share(tree: Tree, nodes: int = 30, share: float = 0.01) -> Tree:
         keep |= good if good - keep else {top} | good
     keep |= most_abundant(tree)
     keep = {y for x in keep for y in tree.path(x)} | {tree.root}
-    every = tree.nodes()
-    size = min(nodes, len(every) - 1) if len(every) <= nodes else nodes
-    for x in sorted(every, key=tree.reads, reverse=True):
-        if len(keep) >= size:
+    for x in sorted(tree.nodes(), key=tree.reads, reverse=True):
+        if len(keep) >= nodes:
             break
         keep |= set(tree.path(x))
     return tree.kept(keep)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.numbering import numbered
+
 
 def parse_records(records: DataFrame) -> DataFrame:
     """(value, ordinal) of records without their ``>`` -> (id, abundance, sequence, ordinal)."""
@@ -42,3 +44,12 @@ def lines(name: str = "name", sequence: str = "sequence", abundance: str | None
 
 def write_fasta(df: DataFrame, path: str, name: str = "name", sequence: str = "sequence", abundance: str | None = "abundance") -> None:
     df.select(lines(name, sequence, abundance).alias("value")).write.text(path)
+
+
+def fold_named(rows: DataFrame, root: str = "germline") -> tuple[DataFrame, DataFrame]:
+    """(sequences, map) of ``parse_records``: equal sequences fold into one named seq1, seq2, ... by first record, or
+    ``root`` where an id holds that word; the map is (id, line) with the folded ids, tab- and comma-separated."""
+    folded = numbered(fold_sequences(rows).withColumn("rooted", F.exists("ids", lambda x: F.contains(x, F.lit(root)))), [F.col("rooted"), F.col("ordinal")])
+    name = F.when(F.col("rooted"), F.lit(root)).otherwise(F.concat(F.lit("seq"), F.col("number").cast("string")))
+    folded = folded.select(name.alias("id"), "sequence", F.size("ids").cast("long").alias("abundance"), "ids", "ordinal")
+    return folded.drop("ids"), folded.select("id", F.concat("id", F.lit("\t"), F.array_join("ids", ",")).alias("line"))
