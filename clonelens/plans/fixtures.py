@@ -38,11 +38,11 @@ select concat('r', cast(p_partkey as string)) as sequence_id, p_partkey as ordin
 from part join f1 f on f.sequence_id = concat('seq', cast(p_partkey as string))
 """
 
-# a 3-ary tree of 200 nodes.
+# a 3-ary tree of all parts.
 F3 = """
 select 't' as tree, case when p_partkey = 0 then null else cast(round((p_partkey - 1 - (p_partkey - 1) % 3) / cast(3 as double)) as bigint) end as parent,
        p_partkey as child, 1 + p_size % 4 as dist
-from part where p_partkey < 200
+from part
 """
 
 # lines to collapse.

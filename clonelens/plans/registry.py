@@ -129,9 +129,7 @@ x as (select *, (not cluster_ok)::int + (not tree_ok)::int + (not quality_ok)::i
 select (select sum(occurrence)::bigint from f) as total, (select sum(occurrence)::bigint from f) - filtered as analysed, {STATS_LEAST}::bigint as least, s.* from s"""
 )
 def filter_stats(spark, sf):
-    reads = _flagged(spark, sf)
-    _, rejected = quality.split_reads(reads, STATS_LEAST)
-    return quality.filter_statistics(reads, rejected, STATS_LEAST)
+    return quality.filter_statistics(_flagged(spark, sf), STATS_LEAST)
 
 
 @query(f"{SPLIT} select sequence_id, n::bigint as occurrence from good where k = 1 and n > {STATS_LEAST}")
@@ -145,13 +143,13 @@ def unique_sequences(spark, sf):
     return out.select("whole_seq", "ref_id", F.array_join(F.transform("dup_ids", lambda x: F.replace(x, F.lit("seq"))), ";").alias("dups"), "occurrence")
 
 
-@query("select p_partkey, case when p_size % 5 = 0 then 1 else p_size - 3 + 1 end as o, greatest(1, p_size % 9) as m1, greatest(1, p_size % 9, p_size % 7) as m2, greatest(1, p_size % 9, p_size % 7, p_size % 11) as m3, coalesce(case when p_size % 5 <> 0 then p_size end, 1) as b1, coalesce(case when p_size % 3 <> 0 then p_size % 7 end, case when p_size % 5 <> 0 then p_size end, 1) as b2 from part")
+@query("select p_partkey, coalesce(case when p_size % 5 <> 0 then p_size end, 1) - coalesce(case when p_size % 7 <> 0 then 3 end, 1) + 1 as o, greatest(1, p_size % 9) as m1, greatest(1, p_size % 9, p_size % 7) as m2, greatest(1, p_size % 9, p_size % 7, p_size % 11) as m3, coalesce(case when p_size % 5 <> 0 then p_size end, 1) as b1, coalesce(case when p_size % 3 <> 0 then p_size % 7 end, case when p_size % 5 <> 0 then p_size end, 1) as b2 from part")
 def region_offsets(spark, sf):
     part = spark.read.parquet(f"{sf}/part.parquet")
     some = F.when(F.col("p_size") % 5 != 0, F.col("p_size"))
     m = v.running_maximum([F.col("p_size") % k for k in (9, 7, 11)])
     b = v.back_filled([some, F.when(F.col("p_size") % 3 != 0, F.col("p_size") % 7)])
-    return part.select("p_partkey", v.region_offset(some, F.lit(3)).alias("o"), *[x.alias(f"m{i}") for i, x in enumerate(m, 1)], *[x.alias(f"b{i}") for i, x in enumerate(b, 1)])
+    return part.select("p_partkey", v.region_offset(some, F.when(F.col("p_size") % 7 != 0, 3)).alias("o"), *[x.alias(f"m{i}") for i, x in enumerate(m, 1)], *[x.alias(f"b{i}") for i, x in enumerate(b, 1)])
 
 
 @query(f"with f1 as ({fx.F1}), f5 as ({fx.F5}), c as (select sequence_id, p1, p2, aligned, unnest(generate_series(1, length(aligned))) as i from f5), n as (select sequence_id, p1, p2, i, row_number() over (partition by sequence_id order by i) as k from c where aligned[i] <> '-') select sequence_id, max(i) filter (k = p1)::int as c1, max(i) filter (k = p2)::int as c2 from n group by sequence_id")
@@ -160,7 +158,7 @@ def aligned_regions(spark, sf):
     return fx.f5(spark, sf).select("sequence_id", F.get(at, F.lit(0)).cast("int").alias("c1"), F.get(at, F.lit(1)).cast("int").alias("c2"))
 
 
-@query()
+@query("select p_partkey, format('{:g}', p_retailprice) as general, case when p_size / 5000 < 0.01 then format('{:.2e}', p_size / 5000) else cast(round(p_size / 5000, 2) as varchar) end as share from part")
 def number_formats(spark, sf):
     part = spark.read.parquet(f"{sf}/part.parquet")
     return part.select("p_partkey", v.general_format("p_retailprice").alias("general"), v.share_format(F.col("p_size") / 5000).alias("share"))
@@ -250,7 +248,7 @@ def kmer_distance(spark, sf):
     return _pairs(spark, sf).select("v_call", "j_call", "a", "b", r6(d.kmer_distance("a", "b", 3)).alias("dist"))
 
 
-@query(f"{WITH1}, m as (select max(length(cdr3_aa)) as longest from f1), r as (select *, substr(whole_seq, 40, 20 + (occurrence % 2)::bigint) as j_nt from f1 where ordinal < 300) select a.ordinal as a, b.ordinal as b, round(((a.v_call <> b.v_call)::int + levenshtein(a.cdr3_aa, b.cdr3_aa) / longest + (1 - ({MIXED.format(a='a.j_nt', b='b.j_nt')}) / 100)) / 3, 6) as dist from r a join r b on a.j_call = b.j_call and a.ordinal < b.ordinal, m")
+@query(f"{WITH1}, m as (select max(length(cdr3_aa)) as longest from f1), r as (select *, substr(whole_seq, 40, 20 + (occurrence % 2)::bigint) as j_nt from f1) select a.ordinal as a, b.ordinal as b, round(((a.v_call <> b.v_call)::int + levenshtein(a.cdr3_aa, b.cdr3_aa) / longest + (1 - ({MIXED.format(a='a.j_nt', b='b.j_nt')}) / 100)) / 3, 6) as dist from r a join r b on a.j_call = b.j_call and a.ordinal < b.ordinal, m")
 def combined_distance(spark, sf):
     reads = fx.f1(spark, sf).withColumn("j_nt", F.substring("whole_seq", F.lit(40), 20 + F.col("occurrence") % 2))
     return refine.read_pairs(reads, blocking.longest(reads)).withColumn("dist", r6("dist"))
@@ -263,12 +261,23 @@ def embedding_distance(spark, sf):
     return p.select(F.col("a.vec_id").alias("a"), F.col("b.vec_id").alias("b"), r6(d.scaled_euclidean("a.embedding", "b.embedding")).alias("dist"))
 
 
-@query(f"{WITH1}, l as (select cdr3_aa, unnest(generate_series(1, length(cdr3_aa))) as i from (select distinct cdr3_aa from f1)), s as (select cdr3_aa, (length(cdr3_aa) - i + 1) % 6 as r, sum(ascii(substr(cdr3_aa, i, 1)) - 64) as x, sum((ascii(substr(cdr3_aa, i, 1)) * 7) % 26) as y from l group by 1, 2) select cdr3_aa, round(sqrt(sum(x * x + y * y) / 12), 6) as norm from s group by 1")
+VECTORS = ", ".join(f"('{c}', {k}, {x!r})" for c, row in d.amino_acid_vectors().items() for k, x in enumerate(row))
+
+
+@query(
+    f"""{PAIRS}, vec(letter, k, x) as (values {VECTORS}), l as (select cdr3_aa, unnest(generate_series(1, length(cdr3_aa))) as i from (select distinct cdr3_aa from f1)),
+sums as (select cdr3_aa, (length(cdr3_aa) - i + 1) % 6 as r, k, sum(x) as x from l join vec on vec.letter = substr(cdr3_aa, i, 1) group by all),
+grid as (select * from (select distinct cdr3_aa from f1), (select unnest(generate_series(0, 5)) as r), (select unnest(generate_series(0, 15)) as k)),
+e as (select cdr3_aa, list(coalesce(x, 0) order by r, k) as e from grid left join sums using (cdr3_aa, r, k) group by cdr3_aa)
+select v_call, j_call, a, b, round(sqrt(list_sum(list_transform(list_zip(p1.e, p2.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) / 96), 5) as dist from p join e p1 on p1.cdr3_aa = a join e p2 on p2.cdr3_aa = b"""
+)
 def cyclic_embedding(spark, sf):
-    vectors = {chr(k): [float(k - 64), float(k * 7 % 26)] for k in range(65, 91)}
-    zero = F.array(*[F.lit(0.0)] * 12)
-    rows = fx.f1(spark, sf).select("cdr3_aa").distinct()
-    return rows.select("cdr3_aa", r6(d.scaled_euclidean(d.cyclic_embedding("cdr3_aa", vectors), zero)).alias("norm"))
+    vectors = d.amino_acid_vectors()
+    reads = fx.f1(spark, sf)
+    embedded = reads.select("cdr3_aa").distinct().select("cdr3_aa", d.cyclic_embedding("cdr3_aa", vectors).alias("e"))
+    side = lambda s: embedded.select(F.col("cdr3_aa").alias(s), F.col("e").alias(f"e_{s}"))
+    pairs = _pairs(spark, sf).join(side("a"), "a").join(side("b"), "b")
+    return pairs.select("v_call", "j_call", "a", "b", F.round(d.scaled_euclidean("e_a", "e_b"), 5).alias("dist"))
 
 
 # --- clusters ----------------------------------------------------------------------------------------------------------
@@ -283,10 +292,9 @@ def _members(spark, sf) -> DataFrame:
 REPS = f"{WITH1}, reps as (select family as cluster_id, sequence_id as id, ordinal, v_call, j_call, cdr3_aa from f1 qualify row_number() over (partition by v_call, j_call, cdr3_aa order by ordinal) = 1)"
 
 
-@query(f"{REPS}, c as (select cluster_id, unnest(generate_series(1, length(cdr3_aa))) as pos, cdr3_aa from reps where length(cdr3_aa) = 8 + cluster_id % 10), n as (select cluster_id, pos, substr(cdr3_aa, pos, 1) as letter, count(*) as n from c group by all), b as (select cluster_id, pos, letter from n qualify row_number() over (partition by cluster_id, pos order by n desc, instr('ACDEFGHIKLMNPQRSTVWY*.X-', letter)) = 1) select cluster_id, string_agg(letter, '' order by pos) as consensus from b group by cluster_id")
+@query(f"{REPS}, c as (select cluster_id, length(cdr3_aa)::int as len, unnest(generate_series(1, length(cdr3_aa))) as pos, cdr3_aa from reps), n as (select cluster_id, len, pos, substr(cdr3_aa, pos, 1) as letter, count(*) as n from c group by all), b as (select cluster_id, len, pos, letter from n qualify row_number() over (partition by cluster_id, len, pos order by n desc, instr('ACDEFGHIKLMNPQRSTVWY*.X-', letter)) = 1) select cluster_id, len, string_agg(letter, '' order by pos) as consensus from b group by cluster_id, len")
 def consensus_positional(spark, sf):
-    rows = _members(spark, sf).where(F.length("cdr3_aa") == 8 + F.col("cluster_id") % 10)
-    return cluster.consensus_columns(rows, "cluster_id", "cdr3_aa")
+    return cluster.consensus_columns(_members(spark, sf).withColumn("len", F.length("cdr3_aa")), ["cluster_id", "len"], "cdr3_aa")
 
 
 MEDOIDS = f"{REPS}, s as (select a.cluster_id, a.ordinal, a.cdr3_aa, sum(levenshtein(a.cdr3_aa, b.cdr3_aa)) as s from reps a join reps b using (cluster_id) group by all), med as (select cluster_id, cdr3_aa as medoid from s qualify row_number() over (partition by cluster_id order by s, ordinal) = 1)"
@@ -302,6 +310,7 @@ def nearest_centroid(spark, sf):
     return refine.nearest_centroids(refine.set_medoid(_members(spark, sf)).withColumnRenamed("medoid", "centroid"))
 
 
+NEAR = "near as (select a.cluster_id as c, b.cluster_id as neighbour from med a join med b on a.cluster_id <> b.cluster_id qualify row_number() over (partition by a.cluster_id order by levenshtein(a.medoid, b.medoid), b.cluster_id) = 1)"
 DIST = "((a.v_call <> b.v_call)::int + levenshtein(a.cdr3_aa, b.cdr3_aa) / 17)"
 
 
@@ -328,7 +337,7 @@ def density_index(spark, sf):
     return diversity.density_index(nearest).select(r6(F.abs("density_index")).alias("density_index"))
 
 
-INTER = f"{INTRA}, inter as (select a.cluster_id, a.id, a.ordinal, b.cluster_id as neighbour, {DIST} as bi, length(a.cdr3_aa) = length(b.cdr3_aa) as same_length from reps a join reps b on b.cluster_id = (a.cluster_id + 30) % 40 qualify row_number() over (partition by a.id order by {DIST}, b.ordinal) = 1)"
+INTER = f"{MEDOIDS}, {NEAR}, {INTRA.removeprefix(REPS + ', ')}, inter as (select a.cluster_id, a.id, a.ordinal, b.cluster_id as neighbour, {DIST} as bi, length(a.cdr3_aa) = length(b.cdr3_aa) as same_length from reps a join near on near.c = a.cluster_id join reps b on b.cluster_id = near.neighbour qualify row_number() over (partition by a.id order by {DIST}, b.ordinal) = 1)"
 
 
 def _inter(spark, sf):
@@ -342,7 +351,7 @@ def inter_distance(spark, sf):
     return _inter(spark, sf)[1].select("id", "neighbour", r6("bi").alias("bi"), "same_length")
 
 
-@query(f"{INTER} select i.cluster_id, neighbour, count(*) as n, min(ordinal) as first from inter i join intra a using (cluster_id, id) where bi < ai + 0.9 and same_length group by 1, 2")
+@query(f"{INTER} select i.cluster_id, neighbour, count(*) as n, min(ordinal) as first from inter i join intra a using (cluster_id, id) where bi < ai and same_length group by 1, 2")
 def inconsistency_counts(spark, sf):
     m, inter = _inter(spark, sf)
     return refine.inconsistencies(refine.intra_distances(m, _distance()), inter)
@@ -475,7 +484,7 @@ def cluster_distribution(spark, sf):
     return diversity.distribution(_sizes(spark, sf), line=0.025).withColumn("share", r6("share"))
 
 
-@query(f"{INTRA}, sizes as (select family as cluster_id, sum(occurrence)::bigint as n from f1 group by family), u as (select cluster_id, avg(nearest) as u from intra where cluster_id % 5 <> 0 group by 1) select cluster_id, n, round(coalesce(u, 0), 6) as uniformity from sizes left join u using (cluster_id)")
+@query(f"{INTRA}, sizes as (select family as cluster_id, sum(occurrence)::bigint as n from f1 group by family), u as (select cluster_id, avg(nearest) as u from intra group by 1) select cluster_id, n, round(coalesce(u, 0), 6) as uniformity from sizes left join u using (cluster_id)")
 def uniformity_by_size(spark, sf):
     u = refine.uniformity(refine.intra_distances(_members(spark, sf), _distance()))
     return diversity.uniformity_by_size(_sizes(spark, sf), u).select("cluster_id", "n", r6("uniformity").alias("uniformity"))
@@ -496,10 +505,11 @@ def tree_depth(spark, sf):
     return treeops.depths(fx.f3(spark, sf)).select("node", "depth")
 
 
-@query(f"{WAYS}, a as (select node, ancestor, steps from up union all select child, child, 0 from f3), p as (select child as a, (child * 7 + 3) % 200 as b from f3) select p.a, p.b, arg_min(x.ancestor, x.steps) as lca from p join a x on x.node = p.a join a y on y.node = p.b and y.ancestor = x.ancestor group by all")
+@query(f"{WAYS}, a as (select node, ancestor, steps from up union all select child, child, 0 from f3), p as (select child as a, (child * 7 + 3) % (select count(*) from f3) as b from f3) select p.a, p.b, arg_min(x.ancestor, x.steps) as lca from p join a x on x.node = p.a join a y on y.node = p.b and y.ancestor = x.ancestor group by all")
 def lowest_common_ancestor(spark, sf):
     edges = fx.f3(spark, sf)
-    pairs = edges.select("tree", F.col("child").alias("a"), ((F.col("child") * 7 + 3) % 200).alias("b"))
+    nodes = edges.agg(F.count("*").alias("nodes"))
+    pairs = edges.crossJoin(F.broadcast(nodes)).select("tree", F.col("child").alias("a"), ((F.col("child") * 7 + 3) % F.col("nodes")).alias("b"))
     return treeops.lowest_common(edges, pairs).select("a", "b", "lca")
 
 
@@ -541,12 +551,60 @@ def newick_trees(spark, sf):
     return export.newick_trees(lineage.lineages(_top_subclones(spark, sf)))
 
 
+NODES = f"""{RANKS.replace('with f1', 'with recursive f1', 1)}, one as (select family as cluster_id, v_call, j_call, cdr3_aa, upper(whole_seq) as seq, upper(germline_seq) as germ from f1 qualify row_number() over (partition by family, v_call, j_call, cdr3_aa order by occurrence desc, ordinal) = 1),
+top as (select r.*, seq, germ from ranks r join one using (cluster_id, v_call, j_call, cdr3_aa) where clone_rank <= 5 and subclone_rank <= 200 qualify count(*) over (partition by clone_rank) > 1),
+nodes as (select clone_rank, subclone_rank as i, seq from top union all select clone_rank, 0, germ from top where subclone_rank = 1),
+d as (select a.clone_rank, a.i as a, b.i as b, hamming(a.seq, b.seq)::bigint as w from nodes a join nodes b using (clone_rank)),
+steps as (select distinct clone_rank, w as t from d),
+reach as (select s.clone_rank, t, i as a, i as b from steps s join nodes using (clone_rank) union select r.clone_rank, r.t, r.a, d.b from reach r join d on d.clone_rank = r.clone_rank and d.a = r.b and d.w <= r.t),
+parts as (select clone_rank, t, count(distinct root) as k from (select clone_rank, t, a, min(b) as root from reach group by all) group by all),
+spans as (select *, lead(t) over (partition by clone_rank order by t) - t as step from parts)"""
+
+
+@query(f"{NODES} select clone_rank::int as clone_rank, (select count(*) from nodes n where n.clone_rank = s.clone_rank) as nodes, sum((k - 1) * coalesce(step, 0))::bigint as weight from spans s group by clone_rank")
+def lineage_weights(spark, sf):
+    """Nodes with reads and summed length of each clone's tree; the SQL has it from the connected parts below each distance."""
+    trees = lineage.lineages(_top_subclones(spark, sf)).where("complexity = 'all'")
+    return trees.groupBy("clone_rank").agg(F.sum((~F.col("silent")).cast("long")).alias("nodes"), F.sum("dist").cast("long").alias("weight"))
+
+
+def _shown(spark, sf) -> DataFrame:
+    """Ranked sub-clones with all that the nested outputs show of them."""
+    rows = _clones(spark, sf)
+    key, o = ["cluster_id", "v_call", "j_call", "cdr3_aa"], F.col("ordinal")
+    facts = rollup.representative(rows, key).select(
+        *key, "sequence_id", export.productive_label(F.when(o % 3 == 0, True).when(o % 3 == 1, False)).alias("productive"), "whole_seq", "germline_seq",
+        (90.0 + o % 7).alias("v_identity"), (70.0 + o % 3).alias("d_identity"), (80.0 + o % 5).alias("j_identity"), F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: 1 + 5 * k).alias("positions"),
+    )
+    return export.display(rollup.ranked(rollup.subclones(rows))).join(facts, key).join(export.unique_reads(rollup.clonotypes(rows)), key)
+
+
 @query()
 def tree_json(spark, sf):
-    subs = _top_subclones(spark, sf)
-    return export.tree_json(lineage.lineages(subs), subs, ["v_call", "j_call", "cdr3_aa", "of_clone"])
+    return export.tree_json(lineage.lineages(_top_subclones(spark, sf)), rollup.top(_shown(spark, sf)))
 
 
-@query()
+_FACTS = "cdr3 string, functionality string, seq string, v_identity double, region struct<CDR3: array<int>>, uniq_seq array<struct<seq_id: string, reads: long, percentage: double, rank: int>>, sequence string, color string, stroke string, style string"
+
+
+@query(
+    f"""{RANKS}, one as (select family as cluster_id, v_call, j_call, cdr3_aa, sequence_id, whole_seq, ordinal, occurrence from f1 qualify row_number() over (partition by family, v_call, j_call, cdr3_aa order by occurrence desc, ordinal) = 1),
+col(values_) as (select ['#' || x for x in string_split('{' '.join(export.COLOURS)}', ' ')]),
+n as (select cluster_id, count(*) as n, sum(reads) / (select sum(reads) from subs) * 100 as value from ranks group by 1),
+u as (select family as cluster_id, v_call, j_call, cdr3_aa, count(*) as reads_listed, max(occurrence) as most, sum(occurrence)::bigint as listed from f1 group by all)
+select clone_rank::int as clone_rank, 'C' || clone_rank as clone, round(value, 6) as value, clone_reads, ranks.v_call as "idV", case when n > 1 then 'C' || clone_rank || '-' || subclone_rank end as name,
+ case when n > 1 then round(reads / clone_reads * 100, 6) end as share, cdr3_aa as cdr3, case ordinal % 3 when 0 then 'productive' when 1 then 'unproductive' else '/' end as functionality, sequence_id as seq, round(90.0 + ordinal % 7, 6)::double as v_identity,
+ 26 as cdr3_start, 51 as cdr3_end, whole_seq as sequence, reads_listed, listed, values_[(case when n > 1 then 150 - (subclone_rank - 1) % 151 else (clone_rank - 1) % 151 end) + 1] as color,
+ values_[(case when n > 1 then ((clone_rank - 1) % 151 + (subclone_rank - 1) // 151) % 151 else 150 - ((clone_rank - 1) // 151) % 151 end) + 1] as stroke
+ from ranks join n using (cluster_id) join one using (cluster_id, v_call, j_call, cdr3_aa) join u using (cluster_id, v_call, j_call, cdr3_aa), col"""
+)
 def repertoire_json(spark, sf):
-    return export.clone_json(rollup.ranked(rollup.subclones(_clones(spark, sf))), ["v_call", "j_call", "cdr3_aa"])
+    """The nested clones, read back: a row per child, or per clone without children."""
+    schema = f"name string, value double, reads long, idV string, {_FACTS}, children array<struct<name: string, value: double, reads: long, {_FACTS}>>"
+    p = export.clone_json(_shown(spark, sf)).select("clone_rank", F.from_json("json", schema).alias("p")).select("clone_rank", "p", F.explode_outer("p.children").alias("c"))
+    told = lambda name: F.coalesce(F.col(f"c.{name}"), F.when(F.col("c").isNull(), F.col(f"p.{name}")))
+    return p.select(
+        "clone_rank", F.col("p.name").alias("clone"), r6(F.col("p.value")).alias("value"), F.col("p.reads").alias("clone_reads"), "p.idV", F.col("c.name").alias("name"), r6(F.col("c.value")).alias("share"),
+        *[told(k).alias(k) for k in ("cdr3", "functionality", "seq", "v_identity", "sequence", "color", "stroke")], told("region")["CDR3"][0].alias("cdr3_start"), told("region")["CDR3"][1].alias("cdr3_end"),
+        F.size(told("uniq_seq")).cast("long").alias("reads_listed"), F.aggregate(told("uniq_seq"), F.lit(0).cast("long"), lambda n, x: n + x["reads"]).alias("listed"),
+    )

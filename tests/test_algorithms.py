@@ -119,6 +119,141 @@ def test_uniform_clusters_join(spark):
     assert out.select("cluster_id").distinct().count() == 1
 
 
+def test_uniform_clusters_of_other_lengths_stay(spark):
+    rows = [(c, f"{c}{i}", i, 10 * c + i, "V", "CASSSSSSSSSSSSS" + x + "F" * c, "acgt") for c in (0, 1) for i, x in enumerate("FGH")]
+    out = refine.merge_uniform(spark.createDataFrame(rows, MEMBERS), refine.pair_distance("a", "b", F.lit(17)))
+    assert out.select("cluster_id").distinct().count() == 2
+
+
+def part_distance(a, b, longest):
+    return ((a[4] != b[4]) + cluster.levenshtein(a[5], b[5]) / longest + 1 - cluster.similarity(a[6], b[6]) / 100) / 3
+
+
+def near_clusters(clusters):
+    """Each cluster's nearest other one by centroid, the first of equal ones."""
+    middle = {c: m[0][5] if len(m) < 3 else refine.median_string([r[5] for r in m]) for c, m in clusters.items()}
+    return {c: min((o for o in sorted(middle) if o != c), key=lambda o: cluster.levenshtein(middle[c], middle[o])) for c in middle} if len(middle) > 1 else {}
+
+
+def plain_refine(rows, rounds=11):
+    """Refinement member by member and merge by merge, as a single pass over lists."""
+    longest = max(len(r[5]) for r in rows)
+    clusters = {}
+    for r in sorted(rows, key=lambda r: (r[0], r[2])):
+        clusters.setdefault(r[0], []).append(r)
+    for _ in range(rounds):
+        near, found = near_clusters(clusters), []
+        for c in sorted(near):
+            for r in clusters[c]:
+                others = [part_distance(r, o, longest) for o in clusters[c] if o is not r]
+                best = min(clusters[near[c]], key=lambda o: part_distance(r, o, longest))
+                if others and part_distance(r, best, longest) < sum(others) / len(others) - 1e-12 and len(best[5]) == len(r[5]) and c not in found:
+                    found.append(c)
+        used = set()
+        for c in found:
+            if not {c, near[c]} & used:
+                clusters[near[c]] += clusters.pop(c)
+                used |= {c, near[c]}
+        if not used:
+            break
+    return {r[1]: c for c, m in clusters.items() for r in m}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_refinement_equals_plain_restatement(spark, seed):
+    rng = random.Random(seed)
+    bases = ["".join(rng.choices("ACDF", k=rng.choice([9, 9, 10]))) for _ in range(5)]
+    rows = []
+    for i in range(26):
+        t = list(rng.choice(bases))
+        for k in rng.sample(range(len(t)), rng.choice([0, 1, 1, 2])):
+            t[k] = rng.choice("ACDF")
+        rows.append((i % 7, f"s{i}", i, i, rng.choice(["V1", "V1", "V2"]), "".join(t), rng.choice(["acgt", "acgg"])))
+    out = refine.refine(spark.createDataFrame(rows, MEMBERS)).collect()
+    assert {r.id: r.cluster_id for r in out} == plain_refine(rows)
+
+
+def test_merges_go_by_cluster_order(spark):
+    pairs = spark.createDataFrame([(0, 7, 0), (3, 7, 3)], "a long, b long, rank long")
+    assert [(r.a, r.b) for r in refine.first_matching(pairs).collect()] == [(0, 7)]
+
+
+def test_lone_members_look_at_the_nearest_member(spark):
+    """The neighbour's nearest member is as long as the lone one though a shorter member is there; a chain follows merges."""
+    long = "CASSSSSSSSSSSSSSSSSSSSSS"
+    rows = [(0, "a", 0, 0, "V", long + "FF", "acgt"), (0, "b", 1, 1, "V", long + "FG", "acgt"), (0, "c", 2, 2, "V", long + "F", "acgt"), (1, "x", 0, 3, "V", long + "GG", "acgt"), (2, "y", 0, 4, "V", long + "GGGG", "acgt")]
+    out = refine.merge_lone(spark.createDataFrame(rows, MEMBERS), refine.pair_distance("a", "b", F.lit(28)))
+    got = {r.id: r.cluster_id for r in out.collect()}
+    assert got["x"] == 0 and got["y"] == 2
+
+
+def test_nearest_centroids_equal_brute_force(spark):
+    rng = random.Random(7)
+    texts = list(dict.fromkeys("".join(rng.choices("ACD", k=rng.choice([3, 6, 7, 8, 14]))) for _ in range(60))) + ["ACDACD", "W" * 25]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "cluster_id long, centroid string")
+    got = {r.cluster_id: (r.dist, r.neighbour) for r in refine.nearest_centroids(df).collect()}
+    assert got == {i: min((cluster.levenshtein(t, o), j) for j, o in enumerate(texts) if j != i) for i, t in enumerate(texts)}
+    assert refine.nearest_centroids(df.limit(1)).count() == 0
+
+
+def test_weighted_distance(spark):
+    one = spark.range(1).select(d.combined(F.lit(1.0), F.lit(0.5), F.lit(0.0), (1, 2, 1)).alias("w"), d.combined(F.lit(1.0), F.lit(0.5), F.lit(0.0)).alias("m")).first()
+    assert (one.w, one.m) == (0.5, 0.5)
+
+
+def test_embedding_distance(spark):
+    vectors = {k: np.array(x) for k, x in d.amino_acid_vectors().items()}
+    assert len(vectors) == 20 and all(len(x) == 16 for x in vectors.values())
+    far = lambda a, b: np.linalg.norm(vectors[a] - vectors[b])
+    assert far("I", "V") < far("I", "G") and far("F", "Y") < far("F", "P")
+
+    def plain(t):
+        out = np.zeros((6, 16))
+        for i, c in enumerate(t):
+            out[(len(t) - i) % 6] += vectors[c]
+        return out
+
+    rows = [("CASSF", "CASTF"), ("CASSLGQGYF", "CASF"), ("A", "A"), ("CAX", "CAS")]
+    got = [r.x for r in spark.createDataFrame(rows, "a string, b string").coalesce(1).select(d.embedding_distance("a", "b").alias("x")).collect()]
+    assert got[3] is None and np.allclose(got[:3], [np.sqrt(((plain(a) - plain(b)) ** 2).mean()) for a, b in rows[:3]])
+
+
+@pytest.mark.parametrize("kinds", [("kmers", "kmers", "kmers"), ("levenshtein", "embedding", "binary"), ("embedding", "binary", "embedding")])
+def test_kinds_of_distance(spark, kinds):
+    cols = MEMBERS + ", v_nt string, v_aa string, j_aa string"
+    rows = [(c, f"{c}{i}", i, 10 * c + i, "V", "CASSSSSS" + x + "F", "acgtacgt", "acgtacgtac", "CASS", "WGQG") for c in (0, 1) for i, x in enumerate("AGH")]
+    out = refine.refine(spark.createDataFrame(rows, cols), kinds=refine.Distances(*kinds, (1, 1, 2)))
+    assert out.count() == 6
+
+
+def test_offsets_without_a_start(spark):
+    from clonelens.functions import validators as v
+
+    rows = spark.createDataFrame([(79, None), (79, 3), (None, 3)], "p int, s int").coalesce(1).select(v.region_offset("p", "s").alias("x")).collect()
+    assert [r.x for r in rows] == [79, 77, -1]
+
+
+def test_seeds_of_one_length_meet_as_in_one_group(spark):
+    """Lengths of a gene without tolerance are grouped apart; the numbers are those of one pass over all its blocks."""
+    rng = random.Random(4)
+    texts = list(dict.fromkeys("".join(rng.choices("AC", k=rng.choice([5, 6, 7]))) for _ in range(60)))
+    for gene, tolerance in (("IGHJ1", 0), ("IGHJ6", 1)):
+        rows = [(f"s{i}", i, "IGHV1", gene, t, 1) for i, t in enumerate(texts)]
+        df = spark.createDataFrame(rows, "sequence_id string, ordinal long, v_call string, j_call string, cdr3_aa string, occurrence int")
+        blocks, owners = [], []
+        for n in dict.fromkeys(map(len, texts)):
+            own = [t for t in texts if len(t) == n]
+            for a in range(0, len(own), 20):
+                groups = cluster.greedy(own[a : a + 20], 70.0)
+                blocks.append((n, [own[a + g[0]] for g in groups]))
+                owners.append([[own[a + k] for k in g] for g in groups])
+        want = {}
+        for m, members in enumerate(cluster.super_merge(blocks, tolerance, 70.0)):
+            want |= {t: m for b, k in members for t in owners[b][k]}
+        got = {texts[int(r.sequence_id[1:])]: r.cluster_id for r in cluster.cluster_reads(df, size=20).collect()}
+        assert got == want
+
+
 def weight(edges):
     return sum(e[2] for e in edges)
 
@@ -173,6 +308,8 @@ def test_simplifications():
         two = simplify.simplify_by_count(one, lambda a, b: 1)
         assert len(two.nodes()) + 1 <= 30 or all(two.reads(x) / 40 >= 0.01 or x in simplify.most_abundant(one) for x in two.leaves())
     assert len(simplify.simplify_by_share(star(40)).nodes()) == 30
+    for n in (16, 21, 29, 30, 31):
+        assert len(simplify.simplify_by_share(star(n - 1)).nodes()) == min(n, 30)
     assert set(simplify.simplify_by_share(star(3)).nodes()) == {"germline", "s0", "s1", "s2"}
 
 
@@ -228,12 +365,45 @@ def test_fasta(spark, tmp_path):
     assert fasta.read_fasta(spark, str(tmp_path / "out" / "*.txt")).first().sequence == "AC"
 
 
+def test_fasta_folded_by_name(spark):
+    rows = [("a", 1, "ACG", 0), ("x germline", 1, "GG", 1), ("b", 1, "ACG", 2), ("c", 1, "TT", 3)]
+    folded, names = fasta.fold_named(spark.createDataFrame(rows, "id string, abundance long, sequence string, ordinal long"))
+    assert sorted((r.id, r.sequence) for r in folded.collect()) == [("germline", "GG"), ("seq1", "ACG"), ("seq2", "TT")]
+    assert sorted(r.line for r in names.collect()) == ["germline\tx germline", "seq1\ta,b", "seq2\tc"]
+
+
+def test_regions_by_aligned_column(spark):
+    from clonelens.operators import export
+
+    row = "ac--gt-a"
+    at = [1, 2, 3, None, 4, 5, 99, 1, 2, 3, 4, 5]
+    plain = [1, 2, 3, 3, 4, 5, 99, 1, 2, 3, 4, 5]
+    got = spark.createDataFrame([(row, plain)], "a string, p array<int>").select(d.aligned_columns("a", "p").alias("x")).first().x
+    assert export.regions_in(row, at) == {k: [got[i], got[j]] for k, (i, j) in export.REGIONS.items()}
+
+
+def test_statistics_equal_the_parts(spark):
+    """One pass gives what the rejected reads of ``split_reads`` sum up to."""
+    rng = random.Random(3)
+    rows = [(f"s{i}", i, rng.randint(1, 4), rng.random() < 0.7, rng.random() < 0.7, rng.random() < 0.7, f"q{rng.randrange(30)}") for i in range(200)]
+    rows = [(*r[:4], r[3] or r[4], *r[5:]) for r in rows]
+    df = spark.createDataFrame(rows, "sequence_id string, ordinal long, occurrence long, cluster_ok boolean, tree_ok boolean, quality_ok boolean, whole_seq string")
+    for least in (0, 3, 6):
+        s, (_, rejected) = quality.filter_statistics(df, least).first(), quality.split_reads(df, least)
+        bad = [(r.occurrence, [not r.cluster_ok, not r.tree_ok, not r.quality_ok, not r.minimum_ok]) for r in rejected.collect()]
+        assert [s.cluster_failed, s.tree_failed, s.quality_failed, s.minimum_failed] == [sum(n for n, f in bad if f[k]) for k in range(4)]
+        assert [s.failed_one, s.failed_two, s.failed_three, s.failed_four] == [sum(n for n, f in bad if sum(f) == k) for k in (1, 2, 3, 4)]
+        assert s.filtered == sum(n for n, f in bad if not (f[1] and sum(f) == 1)) and s.total == sum(r[2] for r in rows)
+    empty = quality.filter_statistics(df.limit(0), 1).first()
+    assert empty.total == empty.filtered == 0
+
+
 def test_statistics_of_the_known_log(spark):
     """The published example: 21 filtered reads are 4 of poor quality, 2 without annotation, and 15 with both faults."""
     rows = [("p", 4, True, True, False), ("m", 2, False, False, True), ("b", 15, False, False, False), ("g", 4978, True, True, True)]
     df = spark.createDataFrame([(n, i, o, c, t, q, n) for i, (n, o, c, t, q) in enumerate(rows)], "sequence_id string, ordinal long, occurrence long, cluster_ok boolean, tree_ok boolean, quality_ok boolean, whole_seq string")
-    accepted, rejected = quality.split_reads(df, 0)
-    s = quality.filter_statistics(df, rejected, 0).first()
+    accepted, _ = quality.split_reads(df, 0)
+    s = quality.filter_statistics(df, 0).first()
     assert (s.total, s.analysed, s.filtered) == (4999, 4978, 21)
     assert (s.cluster_failed, s.tree_failed, s.quality_failed) == (17, 17, 19)
     assert (s.failed_one, s.failed_two, s.failed_three, s.failed_four) == (4, 2, 15, 0)
@@ -279,7 +449,15 @@ def test_whole_analysis(spark, tmp_path):
     assert r.ranks.select("cluster_id").distinct().count() == 3
     trees = spark.read.json(str(tmp_path / "out" / "reads_trees"))
     for row in trees.collect():
-        assert json.loads(row.json)["name"] == "HAUS"
+        tree = json.loads(row.json)
+        assert tree["name"] == "HAUS" and set(tree) == {"name", "value", "color", "stroke", "style", "seq", "uniq_seq", "aligned_seq", "region", "children"}
+        todo = tree["children"]
+        while todo:
+            x = todo.pop()
+            todo += x.get("children", [])
+            if x["style"] != "2,2":
+                assert set(x) - {"children"} == {"name", "value", "reads", "ab", "ab_rep", "functionality", "cdr3", "seq", "v_identity", "d_identity", "j_identity", "uniq_seq", "color", "stroke", "style", "aligned_seq", "region", "length"}
+                assert set(x["region"]) == {"V_region", "D_region", "J_region", "CDR1", "CDR2", "CDR3"} and float(x["length"]) >= 0
     for row in spark.read.json(str(tmp_path / "out" / "reads_newick")).collect():
         assert newick.loads(row.newick)[0] == lineage.GERMLINE
     import zipfile
@@ -292,6 +470,16 @@ def test_whole_analysis(spark, tmp_path):
         assert {"reads_repertoire.json", "reads_tree_all.json", "reads_log.json", "reads_C1_HAUS_sequence.fasta"} <= names
         whole = json.loads(z.read("reads_repertoire.json"))
     assert whole["reads"]["analysed"] == 60 and len(whole["children"]) == 3
+    assert list(whole) == ["name", "value", "reads", "color", "stroke", "style", "children"]
+    for clone in whole["children"]:
+        assert {"name", "value", "reads", "ab", "idV", "idJ", "cdr3", "functionality", "color", "stroke", "style", "children"} == set(clone)
+        assert sum(x["reads"] for x in clone["children"]) == clone["reads"]
+        for x in clone["children"]:
+            assert sum(u["reads"] for u in x["uniq_seq"]) == x["reads"] and x["sequence"] and x["germline"] and len(x["region"]) == 6
+    with pytest.raises(FileExistsError):
+        run(spark, str(tmp_path / "reads.tsv"), str(tmp_path / "out"))
+    with pytest.raises(FileNotFoundError):
+        run(spark, str(tmp_path / "no.tsv"), str(tmp_path / "new"))
 
 
 def test_missing_columns(spark, tmp_path):
@@ -304,5 +492,9 @@ def test_arguments():
     from clonelens.cli import arguments
 
     assert arguments(["a.tsv", "out", "1", "number"]).threshold == 1
+    assert arguments(["a.tsv", "out", "1", "number", "--weights", "1,2,1"]).weights == (1, 2, 1)
+    for bad in (["--weights", "1,x,1"], ["--weights", "1,2"], ["--distances", "binary,kmers"], ["--distances", "similarity,kmers,kmers"]):
+        with pytest.raises(SystemExit):
+            arguments(["a.tsv", "out", "1", "number", *bad])
     with pytest.raises(SystemExit):
         arguments(["a.csv", "out", "1", "number"])
