@@ -13,6 +13,14 @@ def test_imports_without_the_optional_subpackage(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
 
 
+def test_a_broken_subpackage_is_not_hidden(tmp_path):
+    shutil.copytree(f"{ROOT}/clonelens", tmp_path / "clonelens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{ROOT}/__spark_entry__.py", tmp_path)
+    (tmp_path / "corpus_pipeline.py").write_text("import a_module_that_is_not_there\n")
+    run = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+    assert run.returncode and "a_module_that_is_not_there" in run.stderr
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
