@@ -340,21 +340,24 @@ def density_index(spark, sf):
 INTER = f"{MEDOIDS}, {NEAR}, {INTRA.removeprefix(REPS + ', ')}, inter as (select a.cluster_id, a.id, a.ordinal, b.cluster_id as neighbour, {DIST} as bi, length(a.cdr3_aa) = length(b.cdr3_aa) as same_length from reps a join near on near.c = a.cluster_id join reps b on b.cluster_id = near.neighbour qualify row_number() over (partition by a.id order by {DIST}, b.ordinal) = 1)"
 
 
-def _inter(spark, sf):
-    m = _members(spark, sf)
+def _inter(m):
     near = refine.nearest_centroids(refine.set_medoid(m).withColumnRenamed("medoid", "centroid"))
-    return m, refine.inter_distances(m, near, _distance())
+    return refine.inter_distances(m, near, _distance())
 
 
 @query(f"{INTER} select id, neighbour, round(bi, 6) as bi, same_length from inter")
 def inter_distance(spark, sf):
-    return _inter(spark, sf)[1].select("id", "neighbour", r6("bi").alias("bi"), "same_length")
+    return _inter(_members(spark, sf)).select("id", "neighbour", r6("bi").alias("bi"), "same_length")
 
 
-@query(f"{INTER} select i.cluster_id, neighbour, count(*) as n, min(ordinal) as first from inter i join intra a using (cluster_id, id) where bi < ai and same_length group by 1, 2")
+# Every seventh read stands in the next family's cluster.
+MISPLACED = INTER.replace("select family as cluster_id, sequence_id as id", "select (family + (ordinal % 7 = 0)::int) % 40 as cluster_id, sequence_id as id")
+
+
+@query(f"{MISPLACED} select i.cluster_id, neighbour, count(*) as n, min(ordinal) as first from inter i join intra a using (cluster_id, id) where bi < ai and same_length group by 1, 2")
 def inconsistency_counts(spark, sf):
-    m, inter = _inter(spark, sf)
-    return refine.inconsistencies(refine.intra_distances(m, _distance()), inter)
+    m = _members(spark, sf).withColumn("cluster_id", (F.col("cluster_id") + (F.col("ordinal") % 7 == 0).cast("int")) % 40)
+    return refine.inconsistencies(refine.intra_distances(m, _distance()), _inter(m))
 
 
 @query(f"{WITH1} select r.sequence_id as rep_id, s.sequence_id, s.family as cluster_id from f1 s join (select * from f1 qualify row_number() over (partition by v_call, j_call, cdr3_aa order by ordinal) = 1) r using (v_call, j_call, cdr3_aa)")
