@@ -45,8 +45,9 @@ TWICE = 2  # weight of a toxic text beside a clean one in the logistic
 RARER = 10  # a positive unit's share of toxic sentences is at least so many times its share of clean ones
 LOST = -0.5  # margin of the witness below which a toxic text drops out
 SLACK = 0.02  # how far a unit may violate the margin
-MEMO = 400_000
-SCORED_BYTES = 4 << 20
+FILES = 16
+MEMO = 250_000
+SCORED_BYTES = 2 << 20
 TOP = 3
 NONE = -1.5
 _SPACED = re.compile(r"(?<!\S)(?:\S\s){2,}\S(?!\S)", re.A)
@@ -265,10 +266,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 if some:
                     yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([y] * len(some), pa.int32())], ["sentence", "y"])
 
+    def portions(batches, column):
+        """Parts of about SCORED_BYTES of text; what they took is given back at the end."""
+        from .words import buffers, chunks
+
+        for b in batches:
+            for a, e in chunks(buffers(b.column(column))[1], SCORED_BYTES):
+                yield b.slice(a, e - a)
+        give_back()
+
     def count(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in portions(batches, "sentence"):
             units, row, unit = units_of(b.column("sentence"))
             y = b.column("y").to_numpy()[row]
             t, every = np.bincount(unit, y, len(units)).astype(np.int64), np.bincount(unit, minlength=len(units))
@@ -277,21 +287,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def hold(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in portions(batches, "text"):
             units, row, unit = units_of(b.column("text"))
             names = pa.array(units, pa.string()).take(pa.array(unit))
             yield pa.RecordBatch.from_arrays([b.column("bag").take(pa.array(row)), names], ["bag", "unit"])
 
     # A sentence that copies repeat counts once; one of both labels is clean.
     sentences = sample.mapInArrow(split, "sentence string, y int").groupBy("sentence").agg(F.min("y").alias("y"))
-    counted = materialize(sentences.mapInArrow(count, "unit string, t long, c long").groupBy("unit").agg(F.sum("t").alias("t"), F.sum("c").alias("c")), "units")
+    counted = sentences.mapInArrow(count, "unit string, t long, c long").groupBy("unit").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    # Read in every pass, and of a size that the labelled rows bound: few files.
+    counted = materialize(counted.coalesce(FILES), "units")
     all_t, all_c = counted.agg(F.sum("t"), F.sum("c")).first()
     can = (F.col("t") > 0) & (F.col("t") * F.lit(float(all_c or 0)) >= RARER * F.col("c") * F.lit(float(all_t or 0)))
     share = F.col("t") / (F.col("t") + F.col("c") + 1)
     z = F.col("t") * F.log(share * F.lit(((all_t or 0) + (all_c or 0)) / max(1, all_t or 0)))
     units = counted.select("unit", "c", can.alias("can"))
     held = sample.where("y = 1").select(F.col("l_id").cast("string").alias("bag"), "text").mapInArrow(hold, "bag string, unit string")
-    pairs = materialize(held.join(counted.where(can).select("unit", z.alias("z")), "unit"), "bags")
+    pairs = materialize(held.join(counted.where(can).select("unit", z.alias("z")), "unit").coalesce(FILES), "bags")
     state = learn(units, pairs)
     if state is None:
         return Model(None, 0.0, None, n1 / (n1 + n0))
