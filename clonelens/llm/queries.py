@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, media, mixing, ngram_join, pfor, secrets, sharding, toxicity, warc
+from . import chat, collocations, decontaminate, manifest, media, mixing, ngram_join, pfor, piece_bpe, secrets, sharding, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_sharding": sharding.op8_sharding,
         "op9_warc": warc.op9_warc,
         "op10_media": media.op10_media,
+        "op11_collocations": collocations.op11_collocations,
+        "op12_manifest": manifest.op12_manifest,
+        "op13_byte_bpe": piece_bpe.op13_byte_bpe,
     }
 
 
@@ -29,4 +32,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_mixing": mixing.OP7_SQL,
         "op8_sharding": sharding.OP8_SQL,
         "op9_warc": warc.OP9_SQL,
+        "op11_collocations": collocations.OP11_SQL,
+        "op12_manifest": manifest.OP12_SQL,
     }
