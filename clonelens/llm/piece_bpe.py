@@ -8,7 +8,7 @@ encoder gives it. Decoding maps ids to pieces and their letters back to bytes.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; special tokens are ordinary text; repeated rows
 are encoded each for itself; a null id stays null; an empty table gives no rows; columns other than the named ones are
-ignored. A text of any length is encoded in portions of PORTION pre-tokens.
+ignored. A long text is encoded in portions of PORTION pre-tokens.
 """
 
 from __future__ import annotations
@@ -87,31 +87,45 @@ class Coder:
         self.forget()
 
     def forget(self) -> None:
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, int] = {}  # place of each word seen
         self.chars = 0
-
-    def _learn(self, words) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self.memo]
-        many = []
-        for w in new:
-            data = w.encode()
-            whole = self.ranks.get(data)
-            if whole is None:
-                many.append((w, letters(data)))
-            else:
-                self.memo[w] = [whole]
-        if many:
-            self.memo.update(zip([w for w, _ in many], self.model.encode([x for _, x in many], out_type=int, num_threads=1), strict=True))
+        self.flat, self.start, self.length = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        new = list(set(words) - self.memo.keys())
+        whole = {w: [i] for w in new if (i := self.ranks.get(w.encode())) is not None}
+        rest = [w for w in new if w not in whole]
+        lists = [*whole.values(), *self.model.encode([letters(w.encode()) for w in rest], out_type=int, num_threads=1)]
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.memo.update(zip([*whole, *rest], range(len(self.memo), len(self.memo) + len(new)), strict=True))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.length = np.concatenate([self.length, lengths])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum()))])
         self.chars += sum(map(len, new))
 
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in order, and the number of ids of each."""
+        if len(self.memo) > MEMO_WORDS or self.chars > MEMO_CHARS:
+            self.forget()
+        self._learn(words)
+        at = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+        length = self.length[at]
+        shift = self.start[at] - np.cumsum(length) + length
+        return self.flat[np.repeat(shift, length) + np.arange(int(length.sum()))], length
+
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in order, and the number of ids of each. The texts are held as words at once."""
+        found = [self.split.findall(t) for t in texts]
+        ids, length = self._words(list(chain.from_iterable(found)))
+        ends = np.concatenate([[0], np.cumsum(length)])[np.cumsum([0, *map(len, found)])]
+        return ids, np.diff(ends)
+
     def encode(self, text: str) -> np.ndarray:
-        found, out = (m.group() for m in self.split.finditer(text)), []
+        """Ids of one text of any length, in portions."""
+        found, out = (m.group() for m in self.split.finditer(text)), [np.zeros(0, np.int32)]
         while words := list(islice(found, PORTION)):
-            self._learn(words)
-            out.append(np.fromiter(chain.from_iterable(map(self.memo.__getitem__, words)), np.int32))
-            if len(self.memo) > MEMO_WORDS or self.chars > MEMO_CHARS:
-                self.forget()
-        return np.concatenate(out) if out else np.zeros(0, np.int32)
+            out.append(self._words(words)[0])
+        return np.concatenate(out)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
@@ -145,9 +159,13 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
         for b in batches:
             texts, names = b.column("text"), b.column("id")
             for lo, hi in chunks(buffers(texts)[1], BATCH_BYTES):
-                ids = [c.encode(t) for t in texts.slice(lo, hi - lo).to_pylist()]
-                ends = np.cumsum([0, *map(len, ids)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+                some = texts.slice(lo, hi - lo).to_pylist()
+                if len(some) > 1:
+                    ids, counts = c.encode_many(some)
+                else:
+                    ids = c.encode(some[0])
+                    counts = [len(ids)]
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([names.slice(lo, hi - lo), lists], ["id", "ids"])
         c.forget()
         give_back()

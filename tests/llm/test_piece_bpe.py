@@ -38,6 +38,15 @@ def test_odd_texts(plain, text):
     assert c.decode(c.encode(text).tolist()) == text.encode()
 
 
+def test_many_texts_at_once(plain):
+    c = piece_bpe.coder(PATH, PATTERN)
+    texts = ["", *ODD, "", "one two", ODD[0], ""]
+    ids, counts = c.encode_many(texts)
+    assert counts.tolist() == [len(plain.encode_ordinary(t)) for t in texts]
+    assert ids.tolist() == [i for t in texts for i in plain.encode_ordinary(t)]
+    assert c.encode_many([""])[1].tolist() == [0]
+
+
 def test_every_token_is_its_own_encoding(plain):
     """Also tokens that no chain of merges reaches, where they are pre-tokens."""
     c = piece_bpe.coder(PATH, PATTERN)
