@@ -199,13 +199,12 @@ def linear_tree(conversations: DataFrame, conv_col: str = "conv_id", turn_col: s
 
 
 def format_trees(messages: DataFrame, best: int = 1) -> DataFrame:
-    """messages (tree, id, parent, score, role, text) -> (conv, PARTS); conv is the tree for one branch a tree, else the leaf's id, which then must tell the trees' branches apart."""
+    """messages (tree, id, parent, score, role, text) -> (conv, PARTS); conv is the tree for one branch a tree, else (tree, leaf)."""
     messages = materialize(distinct_messages(messages), "messages")
-    members = branches(messages, best).select(*(["leaf"] if best > 1 else []), F.col("tree").alias("m_tree"), F.col("id").alias("m_id"), "pos")
+    conv = F.struct("tree", "leaf") if best > 1 else F.col("tree")
+    members = branches(messages, best).select(conv.alias("conv"), F.col("tree").alias("m_tree"), F.col("id").alias("m_id"), "pos")
     turns = messages.join(members, F.col("tree").eqNullSafe(F.col("m_tree")) & F.col("id").eqNullSafe(F.col("m_id")))
-    conv = F.col("leaf") if best > 1 else F.col("tree")
-    kind = turns.select(conv).schema[0].dataType.simpleString()
-    return format_branches(turns.select(conv.alias("conv"), "pos", "role", "text"), kind)
+    return format_branches(turns.select("conv", "pos", "role", "text"), members.schema["conv"].dataType.simpleString())
 
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"

@@ -87,3 +87,10 @@ def test_query_equals_sql(spark):
     from sqlcheck import equals_sql
 
     equals_sql(spark, "op4_chat")
+
+
+def test_branches_of_trees_that_share_ids(spark):
+    rows = [(t, i, p, 1.0, "user", f"{t}{i}") for t in ("s", "t") for i, p in (("a", None), ("b", "a"), ("c", "a"))]
+    df = spark.createDataFrame(rows, "tree string, id string, parent string, score double, role string, text string")
+    got = {(r.conv.tree, r.conv.leaf): [x[1] for x in chat.parse(r.formatted)] for r in chat.format_trees(df, 2).collect()}
+    assert got == {(t, i): [f"{t}a", f"{t}{i}"] for t in ("s", "t") for i in ("b", "c")}
