@@ -6,8 +6,8 @@ expected leaf; sums of all shorter prefixes are rolled up from them, and only ro
 the limit go another round with more bits. Rows of one id cannot be parted by bits: such a bucket at full depth is
 continued on overflow pages, filled by numbering its rows in parts, not by collecting them.
 
-Defined results: a null text has 0 bytes; a null id hashes as the empty string; a row larger than the limit fills a
-page of its own; repeated rows count as rows of their own; an empty table gives no rows and writes an empty folder;
+Defined results: a null text has 0 bytes; a null id hashes as the empty string; a row larger than the limit is a
+shard of its own as soon as its prefix holds no other row, and one that shares its id a page of its own; repeated rows count as rows of their own; an empty table gives no rows and writes an empty folder;
 ``shard`` ignores other columns, ``write_shards`` keeps them, whatever their names.
 """
 
@@ -62,10 +62,11 @@ def _placed(rows: DataFrame, limit: int) -> DataFrame:
     at = min(BITS, max(0, math.ceil(math.log2(total / limit))) + FINER if total > limit else 0)
     open_rows, low, leaves = rows, 0, []
     while True:
-        fine = open_rows.groupBy(_prefix("h", at).alias("fine")).agg(F.sum("n_bytes").alias("b"))
-        levels = fine.select("fine", "b", F.explode(F.sequence(F.lit(low), F.lit(at))).alias("d")).withColumn("p", F.expr(f"shiftrightunsigned(fine, cast({at} - d as int))"))
+        fine = open_rows.groupBy(_prefix("h", at).alias("fine")).agg(F.sum("n_bytes").alias("b"), F.count("*").alias("n"))
+        levels = fine.select("fine", "b", "n", F.explode(F.sequence(F.lit(low), F.lit(at))).alias("d")).withColumn("p", F.expr(f"shiftrightunsigned(fine, cast({at} - d as int))"))
         # A leaf is one bit deeper than the deepest prefix over the limit; a bucket still over it at ``at`` stays open.
-        full = levels.groupBy("d", "p").agg(F.sum("b").alias("s")).where(F.col("s") > limit).select("d", "p")
+        # One row alone is never split: no bit makes it smaller.
+        full = levels.groupBy("d", "p").agg(F.sum("b").alias("s"), F.sum("n").alias("n")).where((F.col("s") > limit) & (F.col("n") > 1)).select("d", "p")
         over = levels.join(full, ["d", "p"]).groupBy("fine").agg((F.max("d") + 1).alias("depth"))
         found = fine.select("fine").join(over, "fine", "left").select("fine", F.coalesce("depth", F.lit(low)).alias("depth"))
         found = materialize(found, "directory")
@@ -119,7 +120,7 @@ WITH rows_ AS (
   FROM documents),
 depths AS (SELECT r.*, d.d FROM rows_ r, (SELECT unnest(generate_series(0, 40)) AS d) d),
 sums AS (SELECT *, sum(n_bytes) OVER (PARTITION BY d, h >> ({BITS} - d)) AS s, count(*) OVER (PARTITION BY d, h >> ({BITS} - d)) AS c FROM depths),
-leaf AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY d) AS k FROM sums WHERE s <= {LIMIT})
+leaf AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY d) AS k FROM sums WHERE s <= {LIMIT} OR c = 1)
 SELECT doc_id, n_bytes, CASE WHEN d = 0 THEN '' ELSE right(bin(h >> ({BITS} - d) | (1::BIGINT << 62)), d::INT) END AS shard,
        d::INT AS depth, s::BIGINT AS shard_bytes, c::BIGINT AS shard_docs
 FROM leaf WHERE k = 1
