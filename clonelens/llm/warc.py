@@ -5,8 +5,8 @@ are the writer's separator) and compressed whole by gzip. They are read by Spark
 Content-Length, so payloads may hold any text. ``assemble`` joins the records of a transaction through WARC-Concurrent-To
 and gives one nested row per capture; payloads stay out of that join, only their sizes and digests enter it.
 
-A response's record id is made of its page id and digest, so a revisit can name the record that it refers to; rows of
-one page id and payload share that id, as they are one record.
+Every row has records of its own, named by the row. Of equal payloads one response is chosen, of the largest page id and of
+those of the largest url; its record id is made of page id and digest alone, so that revisits can name it.
 
 Defined results: a null html is the empty payload; equal payloads below MIN_REVISIT bytes are all responses; a row with a
 null id revisits the largest id of its payload, and is a response where all ids are null; repeated page ids give a
@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, shared_path, table, text_of
@@ -32,26 +32,29 @@ RECORDS = "kind string, record_id string, concurrent_to string, uri string, refe
 
 
 def mark_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = MIN_REVISIT, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Rows (page_id, url, html, payload_bytes, digest, refers_to): of equal payloads the largest id answers, others refer to it.
+    """Rows (page_id, url, html, payload_bytes, digest, refers_to, chosen): of equal payloads a row of the largest id is ``chosen`` to answer, the others refer to it.
 
     Only digests and ids are grouped; a digest's group is reduced on the map side, and digests of two rows or more go
     back to the ids salted over 16 keys, so that a digest that many rows share is spread. The texts are dealt once, by
     id, to as many tasks as archives of ``archive_bytes`` are wanted."""
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), text_of(html_col).alias("html"))
     base = base.select("*", F.octet_length("html").cast("long").alias("payload_bytes"), F.sha1(F.encode("html", "UTF-8")).alias("digest"))
-    # One key a row and payload; the url's hash spreads rows without id.
-    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(16))
-    base = base.withColumn("key", F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "digest", salt.cast("string")))
-    small = materialize(base.select("page_id", "payload_bytes", "digest", "key", salt.alias("salt")), "digests")
+    # One key a page, url and payload; the url's hash spreads rows without id.
+    row = F.xxhash64("page_id", "url")
+    base = base.withColumn("key", F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "digest", row.cast("string")))
+    small = materialize(base.select("page_id", "url", "payload_bytes", "digest", "key", F.pmod(row, F.lit(16)).alias("salt")), "digests")
     n = max(1, -(-int(small.agg(F.sum("payload_bytes")).first()[0] or 0) // archive_bytes))
     large = small.where(F.col("payload_bytes") >= min_bytes)
-    keys = large.groupBy("digest").agg(F.max("page_id").alias("newest"), F.count("*").alias("n")).where("n > 1 and newest is not null")
-    keys = keys.select("digest", "newest", F.explode(F.expr("sequence(0L, 15L)")).alias("salt"))
-    tied = large.join(keys, ["digest", "salt"]).where(F.col("page_id").isNull() | (F.col("page_id") < F.col("newest")))
+    keys = large.groupBy("digest").agg(F.max(F.struct("page_id", "url", "key")).alias("chosen"), F.count("*").alias("n")).where("n > 1 and chosen.page_id is not null")
+    keys = keys.select("digest", "chosen", F.explode(F.expr("sequence(0L, 15L)")).alias("salt"))
+    tied = large.join(keys, ["digest", "salt"]).select(F.col("key").alias("old_key"), F.col("chosen.page_id").alias("newest"), (F.col("key") == F.col("chosen.key")).alias("answers")).distinct()
     # Written first, so that the plan below knows its size and deals the texts once only.
-    tied = materialize(tied.select(F.col("key").alias("old_key"), "newest").distinct(), "tied").repartition(n, "old_key")
+    tied = materialize(tied, "tied").repartition(n, "old_key")
     joined = base.repartition(n, "key").join(tied, F.col("key") == F.col("old_key"), "left")
-    return joined.select("page_id", "url", "html", "payload_bytes", "digest", F.col("newest").alias("refers_to"))
+    # Of rows that are equal throughout the first answers.
+    first = F.row_number().over(Window.partitionBy("key").orderBy("url")) == 1
+    joined = joined.withColumn("chosen", F.coalesce(F.col("answers") & first, F.lit(False)))
+    return joined.select("page_id", "url", "html", "payload_bytes", "digest", F.when(~F.col("chosen"), F.col("newest")).alias("refers_to"), "chosen")
 
 
 def _head(kind: str, ident, fields: list, length) -> F.Column:
@@ -69,7 +72,8 @@ def write_warc(marked: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z")
     url = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", " ")
     revisit = F.col("refers_to").isNotNull()
     date_field = ("WARC-Date", F.lit(date))
-    own = F.when(revisit, urn("revisit")).otherwise(response_of(page))
+    own = F.when(revisit, urn("revisit")).when(F.col("chosen"), response_of(page))
+    own = F.coalesce(own, F.concat(F.lit("<urn:capture:response:"), page, F.lit(":"), F.col("digest"), F.lit(":"), F.col("no"), F.lit(">")))
     common = [("WARC-Target-URI", url), date_field, ("Page-ID", page)]
     digest = [("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))), ("Payload-Length", F.col("payload_bytes").cast("string"))]
     http = F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{END}")
@@ -178,9 +182,7 @@ def op9_warc(spark, sf_dir: str) -> DataFrame:
 
 OP9_SQL = f"""
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
-g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS newest FROM p)
-SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= {MIN_REVISIT} AND coalesce(page_id < newest, newest IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= {MIN_REVISIT} AND coalesce(page_id < newest, newest IS NOT NULL) THEN newest END AS refers_to
-FROM g
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS newest, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST) AS place FROM p),
+r AS (SELECT *, payload_bytes >= {MIN_REVISIT} AND newest IS NOT NULL AND place > 1 AS again FROM g)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN newest END AS refers_to FROM r
 """

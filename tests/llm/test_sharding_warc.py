@@ -82,10 +82,14 @@ def test_archives_round_trip(spark, tmp_path):
         x = r.response
         html = html_of[x.payload_digest]
         assert x.payload_bytes == len(html)
-        if r.page_id in (1, 2, 3) or (r.page_id is None and html == long.encode()):
+        if r.page_id == 8 and x.kind == "revisit":
+            assert x.refers_to in records and x.refers_to.startswith("<urn:capture:response:8:")
+        elif r.page_id in (1, 2, 3) or (r.page_id is None and html == long.encode()):
             assert x.kind == "revisit" and x.refers_to in records and x.refers_to.startswith("<urn:capture:response:8:")
         else:
             assert x.kind == "response" and bytes(x.payload) == html and x.refers_to is None
+    # Of two rows of the largest id one answers, the other revisits it.
+    assert sorted(r.response.kind for r in got if r.page_id == 8) == ["response", "revisit"]
 
 
 def test_pages(spark, tmp_path):
@@ -107,3 +111,27 @@ def test_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([], PAGES)
     warc.write_warc(warc.mark_revisits(pages), str(tmp_path / "w"))
     assert warc.assemble(warc.read_warc(spark, str(tmp_path / "w"))).count() == 0
+
+
+def test_one_row_over_the_limit_is_not_split_on(spark):
+    """Three rows of which one is over the limit: the directory stops where it stands alone."""
+    docs = spark.createDataFrame([(1, "x" * 5000), (2, "y" * 10), (3, "z" * 10)], "doc_id long, text string")
+    got = {r.id: r for r in sharding.shard(docs, limit=1000).collect()}
+    assert max(r.depth for r in got.values()) < 8
+    assert got[1].shard_docs == 1 and got[1].shard_bytes == 5000 and all(got[i].shard_bytes <= 1000 for i in (2, 3))
+
+
+def test_captures_keep_their_own_requests(spark, tmp_path):
+    """Rows of one page id and payload: one answers, the others revisit it, and each has its own url's request."""
+    long = "p" * 1500
+    rows = [(5, "u5", long), (5, "u6", long), (5, "u6", long), (3, "u3", long), (8, "a", "short"), (8, "b", "short")]
+    pages = spark.createDataFrame([(*r, "d", 1) for r in rows], PAGES)
+    warc.write_warc(warc.mark_revisits(pages), str(tmp_path / "w"))
+    got = warc.assemble(warc.read_warc(spark, str(tmp_path / "w"))).collect()
+    assert len(got) == len(rows) and len({r.response.record_id for r in got}) == len(rows)
+    for r in got:
+        assert r.request.uri == r.uri == r.metadata.uri
+    large = [r.response for r in got if r.response.payload_bytes > 1000]
+    answers = [r for r in large if r.kind == "response"]
+    assert len(answers) == 1 and {r.refers_to for r in large if r.kind == "revisit"} == {answers[0].record_id}
+    assert all(r.response.kind == "response" for r in got if r.page_id == 8)
