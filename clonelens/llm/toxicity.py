@@ -9,12 +9,14 @@ weight a subsequence, which is how texts are scored.
 A labelled sentence of a toxic text need not hold the insult, so training follows multiple instances: all units of clean
 sentences are negative, by the root of the number of sentences that hold them; of each toxic text the unit that the machine
 finds most toxic, its witness, is positive, and so is every unit that it takes for toxic, unless clean sentences hold it as
-often. The first witnesses come from counts, later ones from the machine of the round before; a text without any unit that
+often. Copies of positive units with a symbol put in, left out or doubled are positive too, which is what makes the machine
+bear such spellings; the kernel gives them most of the unit's subsequences. The first witnesses come from counts, later ones from the machine of the round before; a text without any unit that
 looks toxic drops out, as labels may be wrong. Each round solves the machine over all units: those that violate the margin
 join the solver's rows until none does. A text's score is a logistic function of its largest unit margins and of its number
 of tokens, since a long text meets chance likenesses more often.
 
-Training reads at most ROWS_A_CLASS labelled rows of each class; every text is scored whole.
+Training reads at most ROWS_A_CLASS labelled rows of each class, one text of each labelled id (of several the greatest);
+every text is scored whole. A round whose violating units are not used up after PASSES passes says so by a warning.
 
 Defined results: a null or wordless text gets the score of no unit at all; labels of one id that differ count as toxic;
 a null id has the checksum 0; without rows of both classes every score is the toxic share of what is there, or 0;
@@ -24,6 +26,7 @@ repeated rows give a row each; an empty table gives no rows; other columns are i
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -38,7 +41,8 @@ ROWS_A_CLASS = 2000
 LANDMARKS = 400
 ROUNDS = 3  # of choosing witnesses
 PASSES = 12  # over all units in one round, fewer once no unit violates the margin
-WORST = 4_000  # violating units that join the solver in one pass
+WORST = 4_000  # violating units that join the solver in one pass; the next pass looks for more
+ALTERED_FROM, ALTERED_SHARE = 5, 1.0  # units of so many symbols teach altered copies too, of so much of their weight
 RIDGE, COST = 1e-2, 10.0
 POSITIVE_SHARE = 0.02  # weight of all positive units beside that of all negative ones
 TWICE = 2  # weight of a toxic text beside a clean one in the logistic
@@ -185,27 +189,51 @@ def fit_machine(rows: list[str], y: np.ndarray, c: np.ndarray, marks: strings.La
     return marks.fold(w[:-1]), float(w[-1])
 
 
-def _scan(units: DataFrame, weights: np.ndarray, bias: float) -> list:
-    """Rows (unit, c, can, f) of the units that violate the margin or may be witnesses, by falling margin f."""
+def altered(unit: str) -> list[str]:
+    """``unit`` with one of two symbols put in, one left out or doubled, at a third, in the middle and at two thirds."""
+    head, body = unit[:1], unit[1:]
+    n, out = len(body), []
+    if n < ALTERED_FROM:
+        return out
+    for k in sorted({n // 3, n // 2, 2 * n // 3}):
+        put_in = [chr(strings.ZERO + strings.FIRST_LETTER + (ord(body[k]) * 7 + n + shift) % 26) for shift in (0, 13)]
+        out += [*(body[:k] + x + body[k:] for x in put_in), body[:k] + body[k + 1 :], body[:k] + body[k] + body[k:]]
+    return [head + x[: strings.LONGEST] for x in dict.fromkeys(out)]
+
+
+def _margins(units: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
+    """``units`` with f, their margins."""
     sent = units.sparkSession.sparkContext.broadcast((weights, bias))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in units.schema)
 
     def run(batches):
         import pyarrow as pa
-        import pyarrow.compute as pc
 
         for b in batches:
             f = strings.margins(strings.as_matrix(b.column("unit")), *sent.value, NONE)
-            near = pc.or_(pc.and_(pc.greater(b.column("c"), 0), pa.array(f > SLACK - 1)), pc.and_(b.column("can"), pa.array(f > LOST)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(f, pa.float32())], [*b.schema.names, "f"]).filter(near)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(f, pa.float32())], [*b.schema.names, "f"])
+
+    return units.mapInArrow(run, f"{schema}, f float")
+
 
-    return units.mapInArrow(run, "unit string, c long, can boolean, f float").orderBy(F.col("f").desc(), "unit").limit(WORST).collect()
+def _violators(units: DataFrame, state: tuple[np.ndarray, float], known: dict[str, int]) -> dict[str, int]:
+    """The WORST clean units beyond the margin that the solver does not hold yet; none only where there is none."""
+    sent = units.sparkSession.sparkContext.broadcast(frozenset(known))
+
+    def unknown(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield b.filter(pa.array([u not in sent.value for u in b.column("unit").to_pylist()], pa.bool_()))
+
+    near = _margins(units.where("c > 0"), *state).where(F.col("f") > SLACK - 1).mapInArrow(unknown, "unit string, c long, can boolean, f float")
+    return {r.unit: int(r.c) for r in near.orderBy(F.col("f").desc(), "unit").limit(WORST).collect()}
 
 
 def learn(units: DataFrame, pairs: DataFrame, landmarks: int = LANDMARKS) -> tuple[np.ndarray, float] | None:
     """units (unit, c, can), pairs (bag, unit, z) of toxic texts and the units that may be positive -> weights and bias.
 
     ``z`` ranks a bag's units for the first round. None without units of both kinds."""
-    spark = units.sparkSession
     n, mean = units.where("c > 0").agg(F.count("*"), F.avg(F.sqrt("c"))).first()
     best = pairs.groupBy("bag").agg(F.max_by("unit", F.struct("z", "unit")).alias("unit"))
     positive = {r.unit: float(r.n) for r in best.groupBy("unit").agg(F.count("*").alias("n")).collect()}
@@ -218,28 +246,34 @@ def learn(units: DataFrame, pairs: DataFrame, landmarks: int = LANDMARKS) -> tup
         if turn < 2:  # the second landmarks hold the clean units that the first machine comes nearest to take for toxic
             known = sorted(positive, key=lambda u: (-positive[u], u))[: 2 * quarter]
             marks = strings.Landmarks(strings.as_matrix(list(dict.fromkeys([*known, *plain, *hard]))), RIDGE)
+        # Altered copies of a witness share a part of its weight, so that the machine bears gaps and inserted symbols.
+        taught = dict(positive)
+        for u, k in positive.items():
+            copies = [x for x in altered(u) if x not in positive]
+            for x in copies:
+                taught[x] = taught.get(x, 0.0) + ALTERED_SHARE * k / len(copies)
         for _ in range(PASSES):
-            names = [*positive, *rows]
-            y = np.repeat([1.0, -1.0], [len(positive), len(rows)])
-            weight = np.array([*positive.values(), *np.sqrt(list(rows.values()))])
+            names = [*taught, *rows]
+            y = np.repeat([1.0, -1.0], [len(taught), len(rows)])
+            weight = np.array([*taught.values(), *np.sqrt(list(rows.values()))])
             weight[y > 0] *= POSITIVE_SHARE * n / weight[y > 0].sum()
             weight[y < 0] /= mean
             state = fit_machine(names, y, COST * weight, marks)
-            near = _scan(units, *state)
-            new = {r.unit: int(r.c) for r in near if r.c > 0 and r.f > SLACK - 1 and r.unit not in rows}
+            new = _violators(units, state, rows)
             if not new:
                 break
             rows |= new
-        hard = [r.unit for r in near if r.c > 0 and r.unit not in plain][:quarter]
-        found = [(r.unit, float(r.f)) for r in near if r.can and r.f > LOST]
-        if not found:
-            break
-        met = pairs.join(F.broadcast(spark.createDataFrame(found, "unit string, f double")), "unit")
+        else:
+            warnings.warn(f"round {turn} of training ended after {PASSES} passes with units beyond the margin left", stacklevel=2)
+        clean = [u for u in rows if u not in plain]
+        f = strings.margins(strings.as_matrix(clean), *state, NONE) if clean else np.zeros(0)
+        hard = [clean[i] for i in np.lexsort((np.array(clean), -f))[:quarter] if f[i] > SLACK - 1]
+        met = _margins(units.where("can"), *state).where(F.col("f") > LOST).select("unit", "f").join(pairs, "unit")
         # The witness counts once as such, and each unit that is taken for toxic once.
         top = met.groupBy("bag").agg(F.max_by("unit", F.struct("f", "unit")).alias("unit")).select("unit")
         counts = top.unionByName(met.where("f > 0").select("unit")).groupBy("unit").agg(F.count("*").alias("n"))
         now = {r.unit: float(r.n) for r in counts.collect()}
-        if now == positive:
+        if not now or now == positive:
             break
         positive = now
     return state

@@ -1,8 +1,10 @@
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from cases import edge_docs, no_docs
+from pyspark.sql import functions as F
 
 from clonelens.llm import strings as g
 from clonelens.llm import toxicity as t
@@ -124,3 +126,33 @@ def test_query(spark):
     assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id").collect())
     for r in rows:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+
+
+def test_violators_are_found_to_the_last(spark, monkeypatch):
+    """However few join the solver at once, the next pass finds the rest."""
+    monkeypatch.setattr(t, "WORST", 3)
+    names = g.as_text(g.units_matrix([f"word{chr(97 + i)}{chr(98 + i)}" for i in range(11)])[0])
+    units = spark.createDataFrame([(u, 1, True) for u in names], "unit string, c long, can boolean")
+    state, known = (np.zeros(g.CODES, np.float32), 0.5), {}
+    while more := t._violators(units, state, known):
+        assert not known.keys() & more.keys()
+        known |= more
+    assert known.keys() == set(names)
+
+
+def test_altered_spellings_are_found(spark):
+    """Held-out toxic texts whose insults have a letter put in, left out or doubled, by their scores."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    model = t.train(docs, labels)
+    held = docs.join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string")) % 5 == 0).select("text", "toxic").collect()
+    scorer = t.Scorer(model)
+    scores = lambda texts: model.score(scorer.top(pa.array(texts, pa.string())))
+    toxic, clean = ([r.text or "" for r in held if r.toxic == y] for y in (1, 0))
+    assert (scores(toxic) >= 0.5).mean() >= 0.9 and (scores(clean) >= 0.5).mean() <= 0.01
+    words = sorted({w for x in toxic for w in x.split()})
+    insults = {w for w, f in zip(words, model.margins([w.lower() for w in words]), strict=True) if f > 0}
+    half = lambda w: len(w) // 2
+    changes = [lambda w: w[: half(w)] + "x" + w[half(w) :], lambda w: w[: half(w)] + w[half(w) + 1 :], lambda w: w[: half(w)] + w[half(w)] + w[half(w) :], ".".join, " ".join, lambda w: w[: half(w)] + "*" + w[half(w) :]]
+    for change in changes:
+        texts = ["".join(change(p) if p in insults else p for p in re.split(r"(\s+)", x)) for x in toxic]
+        assert (scores(texts) >= 0.5).mean() >= 0.75
