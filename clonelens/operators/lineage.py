@@ -8,66 +8,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .lineage_rows import star_align
+from .progressive import align
 from .simplify import Tree, simplify_by_count, simplify_by_share, tidy
 
 GERMLINE = "germline"
 
 
-def align_pair(a: str, b: str, match: int = 2, mismatch: int = -1, gap: int = -2) -> tuple[str, str]:
-    """Global alignment; among equal scores diagonal steps come first, then gaps in ``b``."""
-    n, m = len(a), len(b)
-    if n == m and a == b:
-        return a, b
-    x, y = np.frombuffer(a.encode("ascii", "replace"), np.uint8), np.frombuffer(b.encode("ascii", "replace"), np.uint8)
-    score = np.zeros((n + 1, m + 1), np.int32)
-    score[0], score[:, 0] = np.arange(m + 1) * gap, np.arange(n + 1) * gap
-    run = np.arange(m + 1) * gap
-    for i in range(1, n + 1):
-        diag = score[i - 1, :-1] + np.where(y == x[i - 1], match, mismatch)
-        row = np.concatenate([[score[i, 0]], np.maximum(diag, score[i - 1, 1:] + gap)])
-        # A gap in ``a`` of any length: running maximum of scores freed from the gap costs along the row.
-        score[i] = np.maximum.accumulate(row - run) + run
-    out, i, j = [], n, m
-    while i or j:
-        if i and j and score[i, j] == score[i - 1, j - 1] + (match if x[i - 1] == y[j - 1] else mismatch):
-            out.append((a[i - 1], b[j - 1]))
-            i, j = i - 1, j - 1
-        elif i and score[i, j] == score[i - 1, j] + gap:
-            out.append((a[i - 1], "-"))
-            i -= 1
-        else:
-            out.append(("-", b[j - 1]))
-            j -= 1
-    return "".join(p for p, _ in reversed(out)), "".join(q for _, q in reversed(out))
-
-
-def star_align(centre: str, texts: list[str]) -> list[str]:
-    """All texts aligned to ``centre`` (first of the result), pairwise alignments put together: once a gap, always a gap."""
-    pairs = [align_pair(centre, t) for t in texts]
-    room = np.zeros(len(centre) + 1, np.int64)
-    for c, _ in pairs:
-        k, run = 0, 0
-        for ch in c:
-            if ch == "-":
-                run += 1
-            else:
-                room[k] = max(room[k], run)
-                k, run = k + 1, 0
-        room[k] = max(room[k], run)
-
-    def spread(c: str, t: str) -> str:
-        out, k, part = [], 0, []
-        for ch, v in zip(c, t, strict=True):
-            if ch == "-":
-                part.append(v)
-            else:
-                out.append("".join(part).rjust(room[k], "-") + v)
-                k, part = k + 1, []
-        return "".join(out) + "".join(part).ljust(room[k], "-")
-
-    return [spread(centre, centre), *(spread(c, t) for c, t in pairs)]
-
-
 def distance_matrix(aligned: list[str]) -> np.ndarray:
     """Different characters of each pair of equally long rows; a gap against a base counts, a gap against a gap does not."""
     m = np.frombuffer("".join(aligned).encode("ascii", "replace"), np.uint8).reshape(len(aligned), -1)
@@ -132,10 +79,11 @@ def trimmed(edges: list[tuple[int, int, int]], d: np.ndarray) -> list[tuple[int,
 SCHEMA = "clone_rank int, complexity string, parent string, child string, dist int, silent boolean, abundance long, aligned string"
 
 
-def lineages(subs: DataFrame, trim: bool = False, nodes: int = 30, share: float = 0.01, by_abundance: bool = True) -> DataFrame:
+def lineages(subs: DataFrame, trim: bool = False, nodes: int = 30, share: float = 0.01, by_abundance: bool = True, star: bool = False) -> DataFrame:
     """subs (clone_rank, name, reads, whole_seq, germline, subclone_rank) -> tree edges of three complexities.
 
-    ``germline`` is the clone's chosen one; without ``by_abundance`` the first of equally near nodes is taken. A clone of one sub-clone or without a germline has no tree."""
+    ``germline`` is the clone's chosen one; without ``by_abundance`` the first of equally near nodes is taken. Sequences are aligned
+    progressively, or with ``star`` each to the germline only, which suits clones of many hundred sub-clones. A clone of one sub-clone or without a germline has no tree."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("subclone_rank", kind="stable")
@@ -145,7 +93,8 @@ def lineages(subs: DataFrame, trim: bool = False, nodes: int = 30, share: float
             kinds = {"int": "int32", "long": "int64", "boolean": "bool", "string": "object"}
             return pd.DataFrame({x.split()[0]: pd.Series([], dtype=kinds[x.split()[1]]) for x in SCHEMA.split(", ")})
         names, reads = [GERMLINE, *pdf.name], [1, *(int(x) for x in pdf.reads)]
-        rows = star_align(germ.upper(), [s.upper() for s in pdf.whole_seq])
+        texts = [germ.upper(), *(s.upper() for s in pdf.whole_seq)]
+        rows = star_align(texts[0], texts[1:]) if star else align(texts)
         d = distance_matrix(rows)
         edges = spanning_tree(d, reads, by_abundance)
         if trim:

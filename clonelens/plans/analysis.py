@@ -27,6 +27,7 @@ class Settings:
     merge_singletons: bool = False
     trim: bool = False
     by_abundance: bool = True
+    star: bool | None = None  # None: progressive alignment where the sub-clones have a limit
     distances: refine.Distances = refine.Distances()
 
 
@@ -76,7 +77,7 @@ def analyse(reads: DataFrame, s: Settings | None = None) -> Result:
     chosen = rollup.germline_choice(top.withColumn("occurrence", F.col("reads")).withColumn("ordinal", F.col("first_ordinal")), ["cluster_id"]).select("cluster_id", F.col("germline_seq").alias("germline"))
     top = checkpointed(top.join(chosen, "cluster_id"))
     unique = quality.unique_sequences(flagged.where("cluster_ok and quality_ok")).where(F.size("dup_ids") > 0)
-    return Result(accepted, rejected, quality.filter_statistics(flagged, least), unique, refined, ranks, clonotypes, lineage.lineages(top, s.trim, by_abundance=s.by_abundance), top, subs)
+    return Result(accepted, rejected, quality.filter_statistics(flagged, least), unique, refined, ranks, clonotypes, lineage.lineages(top, s.trim, by_abundance=s.by_abundance, star=s.subclones is None if s.star is None else s.star), top, subs)
 
 
 def write(result: Result, path: str, name: str) -> None:

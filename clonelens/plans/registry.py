@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import distances as d
 from ..functions import validators as v
-from ..operators import blocking, cluster, diversity, export, lineage, quality, refine, rollup, treeops
+from ..operators import blocking, cluster, diversity, export, lineage, median, quality, refine, rollup, spanning, treeops
+from ..operators.checkpoints import checkpoint_folder
 from ..operators.numbering import numbered
-from ..sources import fasta
+from ..sources import airr, fasta
 from . import fixtures as fx
 
 WITH1 = f"with f1 as ({fx.F1})"
@@ -51,6 +54,18 @@ def collapse_lines(spark, sf):
     return out.select("line", F.array_join(F.col("old_ids").cast("array<string>"), ";").alias("old_ids"), "occurrence", F.col("ordinal").alias("event_id"))
 
 
+AIRR = f"{WITH1}, l as (select sequence_id, whole_seq as sequence, case when ordinal % 4 = 0 then 'F' else 'T' end as productive, concat(v_call, '*01') as v_call, concat(j_call, '*02') as j_call, cdr3_aa, substr(whole_seq, 1, 30) as v_sequence_alignment, substr(whole_seq, 40, 20) as j_sequence_alignment, 'ACD' as v_sequence_alignment_aa, 'WYV' as j_sequence_alignment_aa from f1)"
+
+
+@query(f"{AIRR} select v_call, j_call, productive = 'T' as productive, cdr3_aa, upper(sequence) as sequence, count(*)::int as occurrence, count(*)::int as ids from l group by all")
+def airr_file(spark, sf):
+    """A tab-separated file of reads, written in parts and read back: equal lines merged, columns checked and typed."""
+    lines = fx.view(spark, sf, AIRR.split("l as (", 1)[1][:-1], f1=fx.f1(spark, sf))
+    path = f"{checkpoint_folder(spark).rstrip('/')}/airr-{uuid.uuid4().hex}"
+    airr.write_tsv(lines, path)
+    return airr.read_airr(spark, path).select("v_call", "j_call", "productive", "cdr3_aa", F.upper("sequence").alias("sequence"), F.col("occurrence").cast("int").alias("occurrence"), F.size("old_ids").alias("ids"))
+
+
 @query(f"{WITH1} select sequence_id, row_number() over (order by ordinal) as number, concat('seq', cast(row_number() over (order by ordinal) as varchar)) as new_id from f1")
 def read_ids(spark, sf):
     return numbered(fx.f1(spark, sf), [F.col("ordinal")]).select("sequence_id", "number", F.concat(F.lit("seq"), F.col("number").cast("string")).alias("new_id"))
@@ -305,6 +320,15 @@ def set_medoid(spark, sf):
     return refine.set_medoid(_members(spark, sf))
 
 
+@query(f"{MEDOIDS} select cluster_id, count(*)::bigint as size, true as no_worse from reps group by cluster_id")
+def median_strings(spark, sf):
+    """Whether each family's median string has a sum of edit distances no larger than its medoid's."""
+    m = _members(spark, sf)
+    both = median.medians(m).join(refine.set_medoid(m), "cluster_id")
+    sums = m.join(both, "cluster_id").groupBy("cluster_id", "size").agg(F.sum(F.levenshtein("cdr3_aa", "centroid")).alias("own"), F.sum(F.levenshtein("cdr3_aa", "medoid")).alias("other"))
+    return sums.select("cluster_id", "size", (F.col("own") <= F.col("other")).alias("no_worse"))
+
+
 @query(f"{MEDOIDS} select a.cluster_id, b.cluster_id as neighbour, levenshtein(a.medoid, b.medoid)::int as dist from med a join med b on a.cluster_id <> b.cluster_id qualify row_number() over (partition by a.cluster_id order by levenshtein(a.medoid, b.medoid), b.cluster_id) = 1")
 def nearest_centroid(spark, sf):
     return refine.nearest_centroids(refine.set_medoid(_members(spark, sf)).withColumnRenamed("medoid", "centroid"))
@@ -571,6 +595,23 @@ def lineage_weights(spark, sf):
     return trees.groupBy("clone_rank").agg(F.sum((~F.col("silent")).cast("long")).alias("nodes"), F.sum("dist").cast("long").alias("weight"))
 
 
+FOREST = NODES.replace("where clone_rank <= 5 and subclone_rank <= 200 qualify", "qualify")
+
+
+@query(f"{FOREST} select clone_rank::bigint as clone_rank, (select count(*) - 1 from nodes n where n.clone_rank = s.clone_rank)::bigint as edges, sum((k - 1) * coalesce(step, 0))::bigint as weight from spans s group by clone_rank")
+def spanning_weights(spark, sf):
+    """Edges and length of the spanning trees of all clones over all their sub-clones and germlines, in blocks."""
+    rows = _clones(spark, sf)
+    key = ["cluster_id", "v_call", "j_call", "cdr3_aa"]
+    seqs = rollup.representative(rows, key).select(*key, "whole_seq", "germline_seq")
+    subs = rollup.ranked(rollup.subclones(rows)).join(seqs, key)
+    named = subs.select(F.col("clone_rank").cast("long").alias("clone"), F.col("subclone_rank").cast("long").alias("node"), F.upper("whole_seq").alias("text"), F.col("reads").cast("long").alias("abundance"))
+    germ = subs.where("subclone_rank = 1").select(F.col("clone_rank").cast("long").alias("clone"), F.lit(0).cast("long").alias("node"), F.upper("germline_seq").alias("text"), F.lit(1).cast("long").alias("abundance"))
+    large = subs.groupBy(F.col("clone_rank").cast("long").alias("clone")).count().where("count > 1").select("clone")
+    edges = spanning.spanning_forest(named.unionByName(germ).join(large, "clone", "left_semi"), block=8)
+    return edges.groupBy(F.col("clone").alias("clone_rank")).agg(F.count("*").alias("edges"), F.sum("dist").alias("weight"))
+
+
 def _shown(spark, sf) -> DataFrame:
     """Ranked sub-clones with all that the nested outputs show of them."""
     rows = _clones(spark, sf)
