@@ -1,7 +1,7 @@
 """Clones from CDR3s: greedy consensus clustering in blocks, then merging of blocks by seeds.
 
 Greedy steps depend on order, which ``ordinal`` fixes. They run as grouped functions on bounded groups: at most CHUNK
-distinct CDR3s of one (v, j, length), then only the seeds of one (v, j)."""
+distinct CDR3s of one (v, j, length). Their seeds then meet through an index of segments (``seeds``), in no group."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import seeds
 from .blocking import CHUNK, chunked, distinct_cdr3
 from .checkpoints import checkpointed
 from .numbering import numbered
@@ -74,41 +75,6 @@ def similarity(a: str, b: str) -> float:
     return max(round(share(a, b, n)), round(share(a[-n:], b[-n:], n)), round((1 - levenshtein(a, b) / ((len(a) + len(b)) / 2)) * 100))
 
 
-def super_merge(blocks: list[tuple[int, list[str]]], tolerance: int, threshold: float) -> list[list[tuple[int, int]]]:
-    """blocks: (length, seeds) in order -> merged clusters as lists of (block, number), the first being the seed.
-
-    A later block's clusters compare their seeds with those from before the block, of lengths within ``tolerance``; the
-    last best one takes them from ``threshold`` on, the others are added after the block."""
-    out: list[list[tuple[int, int]]] = []
-    known: dict[int, list[tuple[int, str]]] = {}  # by length: number and seed of the clusters before the block
-    letters: dict[int, np.ndarray] = {}
-    for b, (length, names) in enumerate(blocks):
-        fresh = []
-        same = letters.get(length)
-        for k, seed in enumerate(names):
-            best, at = -1.0, -1
-            for n in range(length - tolerance, length + tolerance + 1):
-                some = known.get(n, [])
-                if n == length and some and length:
-                    equal = (same == np.frombuffer(seed.encode("utf-32-le"), np.uint32)).sum(1) / length * 100
-                    scores = zip((c for c, _ in some), equal.tolist(), strict=True)
-                else:
-                    scores = ((c, similarity(seed, x)) for c, x in some)
-                for c, x in scores:
-                    if x > best or (x == best and c > at):
-                        best, at = x, c
-            if at >= 0 and best >= threshold:
-                out[at].append((b, k))
-            else:
-                fresh.append((b, k))
-        for b_, k in fresh:
-            known.setdefault(length, []).append((len(out), names[k]))
-            out.append([(b_, k)])
-        if fresh:
-            letters[length] = np.stack([np.frombuffer(x.encode("utf-32-le"), np.uint32) for _, x in known[length]])
-    return out
-
-
 def pre_cluster(cdr3s: DataFrame, threshold: float = 70.0, size: int = CHUNK) -> DataFrame:
     """Distinct CDR3s -> (v_call, j_call, len, chunk, cluster, pos, cdr3_aa, ordinal)."""
 
@@ -123,27 +89,15 @@ def pre_cluster(cdr3s: DataFrame, threshold: float = 70.0, size: int = CHUNK) ->
 
 
 def merge_blocks(pre: DataFrame, threshold: float = 70.0, tolerant: str = "IGHJ6") -> DataFrame:
-    """(v, j, len, chunk, cluster) -> merged number and place in it, and the order ``band`` of merged numbers.
-
-    Only seeds from the clusters meet. Genes without tolerance compare equal lengths only, so each length is a group of its
-    own; the tolerant gene's lengths stay together. ``band`` is the first order of a group's length, 0 for the tolerant gene."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.groupby("len").len_first.min()
-        pdf = pdf.assign(rank=pdf.len.map(first)).sort_values(["rank", "chunk", "cluster"], kind="stable")
-        keys, blocks = [], []
-        for (_, length, chunk), part in pdf.groupby(["rank", "len", "chunk"], sort=True):
-            keys.append((length, chunk, part.cluster.tolist()))
-            blocks.append((int(length), part.cdr3_aa.tolist()))
-        tolerance = 1 if pdf.j_call.iloc[0] == tolerant else 0
-        rows = [(*keys[b][:2], keys[b][2][k], m, p) for m, members in enumerate(super_merge(blocks, tolerance, threshold)) for p, (b, k) in enumerate(members)]
-        out = pd.DataFrame(rows, columns=["len", "chunk", "cluster", "merged", "place"])
-        return out.assign(v_call=pdf.v_call.iloc[0], j_call=pdf.j_call.iloc[0], band=pdf.band.iloc[0])
+    """(v, j, len, chunk, cluster) -> the number of the seed that it is merged into and its own, which is its place there.
 
+    Only seeds of the clusters meet, those of the tolerant gene also where lengths differ by one, in the order of the first
+    read of a length, then of chunks and clusters."""
     first = F.min("ordinal").over(Window.partitionBy("v_call", "j_call", "len"))
-    seeds = pre.withColumn("len_first", first).where("pos = 0")
-    seeds = seeds.select("v_call", "j_call", "len", "chunk", "cluster", "cdr3_aa", "len_first", F.when(F.col("j_call") == tolerant, F.lit(0).cast("long")).otherwise(F.col("len_first")).alias("band"))
-    return seeds.groupBy("v_call", "j_call", "band").applyInPandas(run, "len int, chunk long, cluster int, merged int, place int, v_call string, j_call string, band long")
+    firsts = pre.withColumn("first", first).where("pos = 0").select("v_call", "j_call", "len", "first", "chunk", "cluster", F.col("cdr3_aa").alias("text"))
+    order = [F.col(c) for c in ("v_call", "j_call", "first", "chunk", "cluster")]
+    named = checkpointed(numbered(firsts, order))
+    return named.join(seeds.owners(named, threshold, tolerant), "number").select("v_call", "j_call", "len", "chunk", "cluster", F.col("head").alias("merged"), F.col("number").alias("place"))
 
 
 def cluster_reads(reads: DataFrame, threshold: float = 70.0, tolerant: str = "IGHJ6", size: int = CHUNK) -> DataFrame:
@@ -151,10 +105,10 @@ def cluster_reads(reads: DataFrame, threshold: float = 70.0, tolerant: str = "IG
     pre = checkpointed(pre_cluster(distinct_cdr3(reads), threshold, size))
     merged = merge_blocks(pre, threshold, tolerant)
     placed = pre.join(merged, ["v_call", "j_call", "len", "chunk", "cluster"])
-    members = placed.select("v_call", "j_call", "cdr3_aa", "band", "merged", "place", F.col("pos").alias("inside"))
+    members = placed.select("v_call", "j_call", "cdr3_aa", "merged", "place", F.col("pos").alias("inside"))
     rows = reads.select("sequence_id", "ordinal", "v_call", "j_call", "cdr3_aa").join(members, ["v_call", "j_call", "cdr3_aa"])
     genes = reads.groupBy("v_call", "j_call").agg(F.min("ordinal").alias("gene_first"))
-    clusters = numbered(members.select("v_call", "j_call", "band", "merged").distinct().join(genes, ["v_call", "j_call"]), [F.col(c) for c in ("gene_first", "v_call", "j_call", "band", "merged")])
-    rows = rows.join(clusters.select("v_call", "j_call", "band", "merged", (F.col("number") - 1).alias("cluster_id")), ["v_call", "j_call", "band", "merged"])
+    clusters = numbered(members.select("v_call", "j_call", "merged").distinct().join(genes, ["v_call", "j_call"]), [F.col(c) for c in ("gene_first", "v_call", "j_call", "merged")])
+    rows = rows.join(clusters.select("v_call", "j_call", "merged", (F.col("number") - 1).alias("cluster_id")), ["v_call", "j_call", "merged"])
     pos = F.row_number().over(Window.partitionBy("cluster_id").orderBy("place", "inside", "ordinal")) - 1
     return rows.select("cluster_id", "sequence_id", pos.cast("long").alias("pos"))

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clonelens.functions import distances as d
-from clonelens.operators import cluster, lineage, quality, refine, simplify, treeops
+from clonelens.operators import cluster, lineage, quality, refine, seeds, simplify, treeops
 from clonelens.operators.numbering import numbered
 from clonelens.sources import airr, fasta, newick
 
@@ -49,15 +49,73 @@ def test_chunks_meet_again(spark):
         out = cluster.cluster_reads(df).collect()
         texts = sorted(seen, key=seen.get)
         blocks = [(12, [texts[250 * b + m[0]] for m in cluster.greedy(texts[250 * b : 250 * b + 250], 70.0)]) for b in range(-(-n // 250))]
-        assert len({r.cluster_id for r in out}) == len(cluster.super_merge(blocks, 0, 70.0))
+        assert len({r.cluster_id for r in out}) == len(plain_merge(blocks, 0, 70.0))
         assert len(out) == n
 
 
-def test_super_merge_last_best_and_no_merge_inside_a_block():
+def plain_merge(blocks, tolerance, threshold):
+    """blocks (length, seeds) in order -> merged clusters as lists of (block, number), seed by seed."""
+    out = []
+    for b, (length, names) in enumerate(blocks):
+        before = [(m, blocks[m[0][0]][1][m[0][1]]) for m in out]
+        for k, seed in enumerate(names):
+            scores = [(cluster.similarity(seed, t), i) for i, (_, t) in enumerate(before) if abs(len(t) - length) <= tolerance]
+            best = max(scores, default=(-1, -1))
+            out[best[1]].append((b, k)) if best[0] >= threshold and best[1] >= 0 else out.append([(b, k)])
+    return out
+
+
+SEEDS = "number long, v_call string, j_call string, len int, first long, chunk long, text string"
+
+
+def merged_seeds(spark, blocks, gene, threshold):
+    names = [(b, k, t) for b, (_, seeds_) in enumerate(blocks) for k, t in enumerate(seeds_)]
+    rows = [(i + 1, "V", gene, len(t), b, 0, t) for i, (b, _, t) in enumerate(names)]
+    out = {}
+    for r in sorted(seeds.owners(spark.createDataFrame(rows, SEEDS), threshold, "IGHJ6").collect()):
+        out.setdefault(r.head, []).append(names[r.number - 1][:2])
+    return [out[h] for h in sorted(out)]
+
+
+def test_seeds_join_the_last_best_and_never_their_own_block(spark):
     blocks = [(4, ["AAAA", "CCCC"]), (4, ["AACC", "AACD"])]
-    assert cluster.super_merge(blocks, 0, 50.0) == [[(0, 0), (1, 1)], [(0, 1), (1, 0)]] or cluster.super_merge(blocks, 0, 50.0)[1][1] == (1, 0)
-    assert cluster.super_merge([(4, ["AAAA"]), (5, ["AAAAA"])], 0, 70.0) == [[(0, 0)], [(1, 0)]]
-    assert cluster.super_merge([(4, ["AAAA"]), (5, ["AAAAA"])], 1, 70.0) == [[(0, 0), (1, 0)]]
+    assert merged_seeds(spark, blocks, "IGHJ1", 50.0) == [[(0, 0), (1, 1)], [(0, 1), (1, 0)]]
+    assert merged_seeds(spark, [(4, ["AAAA"]), (5, ["AAAAA"])], "IGHJ1", 70.0) == [[(0, 0)], [(1, 0)]]
+    assert merged_seeds(spark, [(4, ["AAAA"]), (5, ["AAAAA"])], "IGHJ6", 70.0) == [[(0, 0), (1, 0)]]
+    assert merged_seeds(spark, [(0, [""]), (1, ["A", "C"])], "IGHJ6", 70.0) == [[(0, 0)], [(1, 0)], [(1, 1)]]
+
+
+@pytest.mark.parametrize("threshold", [50.0, 70.0, 90.0])
+def test_seeds_by_index_equal_the_pass_seed_by_seed(spark, threshold):
+    """Random and mutated seeds of many blocks, lengths apart by one meeting for the tolerant gene only."""
+    rng = random.Random(int(threshold))
+    bases = ["".join(rng.choices("ACDFG", k=13)) for _ in range(6)]
+    for gene, tolerance in (("IGHJ1", 0), ("IGHJ6", 1)):
+        blocks = []
+        for _ in range(14):
+            n, names = rng.choice([11, 12, 13]), set()
+            for _ in range(8):
+                t = list(rng.choice(bases))
+                for i in rng.sample(range(13), rng.choice([0, 2, 4])):
+                    t[i] = rng.choice("ACDFG")
+                for _ in range(13 - n):
+                    del t[rng.randrange(len(t))]
+                names.add("".join(t))
+            blocks.append((n, sorted(names)))
+        seen, unique = set(), []
+        for n, names in blocks:
+            unique.append((n, [t for t in names if t not in seen]))
+            seen |= set(names)
+        got = merged_seeds(spark, unique, gene, threshold)
+        assert got == plain_merge(unique, tolerance, threshold)
+        assert any(len(m) > 1 for m in got)
+
+
+def test_a_chain_of_seeds_is_decided_in_order(spark):
+    """Each seed is like the one before it only, so every second one is a head."""
+    rows = [(i, i - 1) for i in range(1, 9)]
+    met = spark.createDataFrame(rows, "late long, early long")
+    assert sorted(r.number for r in seeds.heads(met).collect()) == [0, 2, 4, 6, 8]
 
 
 @given(st.text("ACGT", max_size=8), st.text("ACGT", max_size=8))
@@ -234,7 +292,7 @@ def test_offsets_without_a_start(spark):
 
 
 def test_seeds_of_one_length_meet_as_in_one_group(spark):
-    """Lengths of a gene without tolerance are grouped apart; the numbers are those of one pass over all its blocks."""
+    """The numbers are those of one pass over all blocks of a gene."""
     rng = random.Random(4)
     texts = list(dict.fromkeys("".join(rng.choices("AC", k=rng.choice([5, 6, 7]))) for _ in range(60)))
     for gene, tolerance in (("IGHJ1", 0), ("IGHJ6", 1)):
@@ -248,7 +306,7 @@ def test_seeds_of_one_length_meet_as_in_one_group(spark):
                 blocks.append((n, [own[a + g[0]] for g in groups]))
                 owners.append([[own[a + k] for k in g] for g in groups])
         want = {}
-        for m, members in enumerate(cluster.super_merge(blocks, tolerance, 70.0)):
+        for m, members in enumerate(plain_merge(blocks, tolerance, 70.0)):
             want |= {t: m for b, k in members for t in owners[b][k]}
         got = {texts[int(r.sequence_id[1:])]: r.cluster_id for r in cluster.cluster_reads(df, size=20).collect()}
         assert got == want
