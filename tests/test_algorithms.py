@@ -231,6 +231,39 @@ def test_refinement_equals_plain_restatement(spark, seed):
     assert {r.id: r.cluster_id for r in out} == plain_refine(rows)
 
 
+def test_later_rounds_measure_what_merges_touched(spark, monkeypatch):
+    """Two clusters of one family are split apart among many others that stay as they are; each round equals one from scratch."""
+    rng = random.Random(8)
+    rows = []
+    for c in range(12):
+        base = rng.choices("ACDEFGHIKLMNPQRSTVWY", k=12)
+        for i in range(4):
+            t = list(base)
+            t[i] = "A" if t[i] != "A" else "C"
+            rows.append((c if c or i % 2 else 99, f"s{c}-{i}", len(rows), len(rows), "V1", "".join(t), "acgt"))
+    rows.append((0, "far", len(rows), len(rows), "V2", rows[1][5][::-1], "ttgg"))
+    measured, plain = [], refine.intra_distances
+    monkeypatch.setattr(refine, "intra_distances", lambda m, *a: measured.append(m.select("cluster_id").distinct().count()) or plain(m, *a))
+    out = refine.refine(spark.createDataFrame(rows, MEMBERS)).collect()
+    assert {r.id: r.cluster_id for r in out} == plain_refine(rows)
+    assert measured[0] == 13 and len(measured) > 1 and set(measured[1:]) == {1}
+
+
+def test_renewed_neighbours_equal_a_search_from_scratch(spark):
+    rng = random.Random(3)
+    texts = {c: "".join(rng.choices("ACD", k=rng.choice([6, 7, 8]))) for c in range(40)}
+    frame = lambda: spark.createDataFrame([(c, t, 1) for c, t in texts.items()], "cluster_id long, centroid string, size long")
+    old = refine.nearest_centroids(frame())
+    near = {r.cluster_id: r.neighbour for r in old.collect()}
+    merged = [(c, near[c]) for c in (5, 17) if near[c] not in (5, 17)]
+    for a, b in merged:
+        del texts[a]
+        texts[b] = "".join(rng.choices("ACD", k=7))
+    changed = spark.createDataFrame([(b,) for _, b in merged], "cluster_id long").distinct()
+    got = refine.renewed_neighbours(old, frame(), changed)
+    assert merged and {r.cluster_id: (r.dist, r.neighbour) for r in got.collect()} == {i: min((cluster.levenshtein(t, o), j) for j, o in texts.items() if j != i) for i, t in texts.items()}
+
+
 def test_merges_go_by_cluster_order(spark):
     pairs = spark.createDataFrame([(0, 7, 0), (3, 7, 3)], "a long, b long, rank long")
     assert [(r.a, r.b) for r in refine.first_matching(pairs).collect()] == [(0, 7)]
