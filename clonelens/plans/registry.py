@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import distances as d
 from ..functions import validators as v
-from ..operators import blocking, cluster, diversity, export, lineage, median, quality, refine, rollup, spanning, treeops
+from ..operators import blocking, cluster, contract, diversity, export, lineage, median, quality, refine, rollup, spanning, treeops
 from ..operators.checkpoints import checkpoint_folder
 from ..operators.numbering import numbered
 from ..sources import airr, fasta
@@ -546,6 +546,17 @@ def tree_cost(spark, sf):
     return treeops.cost(edges, "silent").join(treeops.cost(edges).withColumnRenamed("cost", "plain"), "tree").select("cost", "plain")
 
 
+@query(
+    f"""{WAYS}, a as (select child as node from f3 where child % 4 = 0 or parent is null union select ancestor from up where node % 4 = 0), k as (select f3.parent as node, count(*) as n from f3 join a on f3.child = a.node where f3.parent is not null group by 1),
+s as (select f3.child as node from f3 join a on f3.child = a.node join k using (node) where n = 1 and f3.child % 4 <> 0 and f3.parent is not null)
+select u.node as child, arg_min(u.ancestor, u.steps) as parent, min(u.length)::bigint as dist from up u join a using (node) where u.node not in (select node from s) and u.ancestor not in (select node from s) group by 1"""
+)
+def tidy_tree(spark, sf):
+    """The tree without idle silent nodes: three of four nodes are silent, leaves as well."""
+    edges = fx.f3(spark, sf).withColumn("silent", F.col("child") % 4 != 0)
+    return contract.without_idle(edges).where("parent is not null").select("child", "parent", "dist")
+
+
 @query(f"{WITH3}, l as (select child as label from f3 where child % 9 <> 0), s as (select case when child % 13 = 0 then child + 1 else child end as label, count(*) as n from f3 group by 1) select label, coalesce(n, 0) as n from l full join s using (label) where coalesce(n, 0) <> 1")
 def tree_consistency(spark, sf):
     edges = fx.f3(spark, sf)
