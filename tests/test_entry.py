@@ -2,6 +2,11 @@ import os
 import shutil
 import subprocess
 import sys
+from types import SimpleNamespace
+
+import pytest
+
+from clonelens.operators.checkpoints import checkpoint_folder
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -36,3 +41,16 @@ def test_followed_counts(spark, tmp_path):
         stream = spark.readStream.schema("line string").parquet(str(tmp_path / "in"))
         follow(line_counts(stream, ["line"]), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(60)
     assert {r.line: r.occurrence for r in current(spark, str(tmp_path / "out"), ["line"]).collect()} == {"a": 3, "b": 2}
+
+
+@pytest.mark.parametrize("warehouse", ["file:/opt/warehouse", "hdfs://nn/warehouse"])
+def test_a_cluster_gets_no_machine_local_folder(warehouse):
+    conf = {"spark.sql.warehouse.dir": warehouse}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=SimpleNamespace(master="spark://m:7077"))
+    if warehouse.startswith("file:"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_folder(session)
+    else:
+        assert checkpoint_folder(session) == "hdfs://nn/warehouse/_checkpoints"
+    conf["spark.checkpoint.dir"] = "s3a://b/c"
+    assert checkpoint_folder(session) == "s3a://b/c"
