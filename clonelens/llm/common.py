@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a folder of this machine in
-    local mode, and on a cluster one below the warehouse, which is shared."""
+    local mode, and on a cluster one below the warehouse unless that lies on this machine's disk: then an error says what to
+    set."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         local = spark.sparkContext.master.startswith("local")
-        base = f"file://{tempfile.mkdtemp(prefix='clonelens-')}" if local else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+        if not local and warehouse.startswith("file:"):
+            raise ValueError(f"spark.checkpoint.dir is unset and the warehouse ({warehouse}) is local: set it to a folder that all machines share")
+        base = f"file://{tempfile.mkdtemp(prefix='clonelens-')}" if local else f"{warehouse}/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
