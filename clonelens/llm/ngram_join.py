@@ -10,9 +10,10 @@ are one copy class, carried on by one member. The join between classes runs in t
    their documents together: a spanning forest leaves the task, never the pairs. A bucket above BUCKET members is tied
    together whole by a join to its smallest member, which only widens what is verified.
 3. Ties are closed to candidate components, a pair's members always being in one.
-4. Components are cut into blocks of BLOCK classes; each pair of blocks of a component is verified once: pruning on full
-   MinHash values, then intersection of the whole sets of 64-bit shingle hashes. A task returns link counts per class and a spanning
-   forest of the links, so no group is ever written out as all its pairs.
+4. Components are cut into blocks of about BLOCK classes, and of about BLOCK_SHINGLES shingles where texts are long; each
+   pair of blocks of a component is verified once: pruning on full MinHash values, then intersection of the whole sets of
+   64-bit shingle hashes. A task returns link counts per class and a spanning forest of the links, so no group is ever
+   written out as all its pairs.
 5. Links are closed to the final classes.
 
 Result, a row per document: class_id (smallest id of its connected near-duplicates), copy_id (smallest id of its equal
@@ -48,6 +49,8 @@ STEP = 16
 TOLERANCE = 1e-5
 BUCKET = 4096
 BLOCK = 256
+BLOCK_SHINGLES = 1 << 20
+SALTS = 32
 
 _rng = np.random.default_rng(20)
 _MUL = _rng.integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -242,19 +245,29 @@ def bucket_ties(members: DataFrame) -> DataFrame:
     return members.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long")
 
 
+def lookup(rows: DataFrame, key: str, spread: str, found: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``found``, which has one row a ``key``, where one key may hold most of ``rows``.
+
+    Rows are dealt by key and a salt of ``spread``; each salt of a key that occurs takes the key's row of ``found``, so a
+    task gets a key's SALTS-th part and ``found`` grows to SALTS rows a key at most, never beyond the rows themselves."""
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    wanted = rows.select(key, "salt").distinct().join(found, key)
+    return rows.join(wanted, [key, "salt"], how).drop("salt")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Undirected (a, b) -> (id, label): the smallest id of each connected component, by minimum labels and pointer jumps.
 
-    Every round takes the smallest label among a node and its neighbours (reduced on the map side, so a node with very
-    many edges is no bottleneck) and then replaces labels by their labels' labels.
+    Every round takes the smallest label among a node and its neighbours and then replaces labels by their labels' labels.
+    A node with very many edges and a label of very many nodes are dealt by ``lookup``; minima are reduced on the map side.
     """
     both = materialize(edges.where("a != b").select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.a", "e.b").distinct(), "edges")
     labels = materialize(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
     while True:
-        near = both.join(labels.select(F.col("id").alias("b"), F.col("label").alias("theirs")), "b").groupBy("a").agg(F.min("theirs").alias("near"))
+        near = lookup(both, "b", "a", labels.select(F.col("id").alias("b"), F.col("label").alias("theirs"))).groupBy("a").agg(F.min("theirs").alias("near"))
         step = labels.join(near, labels.id == near.a).select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("id").alias("j_id"), F.col("label").alias("j_label"))
-        step = step.join(jump, F.col("label") == F.col("j_id"), "left").select("id", "old", F.least("label", F.coalesce("j_label", "label")).alias("label"))
+        jump = labels.select(F.col("id").alias("label"), F.col("label").alias("j_label"))
+        step = lookup(step, "label", "id", jump, "left").select("id", "old", F.least("label", F.coalesce("j_label", "label")).alias("label"))
         step = materialize(step, "labels")
         changed = not step.where("old != label").isEmpty()
         labels = step.select("id", "label")
@@ -317,9 +330,11 @@ def classed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     members = small.join(sig.select("row", "low"), F.col("node") == F.col("row")).select("key", F.col("node").alias("id"), "low")
     ties = materialize(bucket_ties(members).unionByName(large.select(F.col("first").alias("a"), F.col("node").alias("b"))), "ties")
     found = components(ties)
-    counts = found.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    placed = found.join(counts, "label").select("id", "label", (F.col("blocks") - 1).alias("blocks"), F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"))
-    placed = placed.join(sets, F.col("id") == F.col("node")).join(sig.select("row", "hash"), F.col("id") == F.col("row"))
+    placed = found.join(sets.drop("copy_id"), F.col("id") == F.col("node")).join(sig.select("row", "hash", "n_shingles"), F.col("id") == F.col("row"))
+    placed = materialize(placed.select("node", "hash", "label", "set_key", "n_copies", "n_shingles"), "nodes")
+    need = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
+    counts = placed.groupBy("label").agg((need - 1).alias("blocks"))
+    placed = lookup(placed, "label", "node", counts).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks") + 1))
     # Block b meets the blocks q >= b as the first side and the blocks p < b as the second.
     spots = F.concat(
         F.transform(F.sequence("block", "blocks"), lambda q: F.struct(F.col("block").alias("p"), q.alias("q"), F.lit(0).alias("side"))),
@@ -334,7 +349,7 @@ def classed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     links = verified.where("other is null").groupBy(F.col("id").alias("l_node")).agg(F.sum("n").alias("links"))
     labels = components(verified.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
     named = labels.join(sets, F.col("id") == F.col("node")).groupBy("label").agg(F.min("copy_id").alias("least"))
-    labels = labels.join(named, "label").select(F.col("id").alias("c_node"), "label", "least")
+    labels = lookup(labels, "label", "id", named).select(F.col("id").alias("c_node"), "label", "least")
     per = sets.join(links, F.col("node") == F.col("l_node"), "left").join(labels, F.col("node") == F.col("c_node"), "left")
     per = per.select(
         F.col("set_key").alias("k"), F.coalesce("label", "node").alias("label"), "copy_id", F.coalesce("least", "copy_id").alias("class_id"),

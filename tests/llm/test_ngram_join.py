@@ -69,9 +69,35 @@ def test_blocks_and_large_buckets(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert run(docs) == want
     monkeypatch.setattr(j, "BUCKET", 20)
+    monkeypatch.setattr(j, "BLOCK_SHINGLES", 12_000)
     assert run(docs) == want
 
 
+def test_components(spark):
+    """A star, a chain, two nodes linked twice and by themselves, and random links."""
+    rng = np.random.default_rng(4)
+    links = [(500, 1000 + i) for i in range(400)] + [(2000 + i, 2001 + i) for i in range(90)] + [(7, 8), (8, 7), (7, 7)]
+    links += [(3000 + int(a), 3000 + int(b)) for a, b in rng.integers(0, 200, (120, 2))]
+    up = {x: x for e in links for x in e if e[0] != e[1]}
+    for _ in range(len(up)):
+        now = dict(up)
+        for a, b in links:
+            if a != b:
+                up[a] = up[b] = min(up[a], up[b])
+        if up == now:
+            break
+    got = j.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert len(got) == len(up) and {r.id: r.label for r in got} == up
+
+
+def test_lookup_keeps_rows_without_a_match(spark):
+    rows = spark.createDataFrame([(i, 1 if i < 90 else i) for i in range(100)], "id long, k long")
+    found = spark.createDataFrame([(1, "one"), (95, "other")], "k long, v string")
+    got = j.lookup(rows, "k", "id", found, "left").collect()
+    assert sorted((r.id, r.v) for r in got) == [(i, "one" if i < 90 else "other" if i == 95 else None) for i in range(100)]
+    assert j.lookup(rows, "k", "id", found).count() == 91
+
+
 def test_edges(spark):
     docs = edge_docs(spark).where("doc_id is not null")
     assert run(docs) == brute([(r.doc_id, r.text) for r in docs.collect()])
