@@ -249,10 +249,11 @@ def lookup(rows: DataFrame, key: str, spread: str, found: DataFrame, how: str =
     """``rows`` with the columns of ``found``, which has one row a ``key``, where one key may hold most of ``rows``.
 
     Rows are dealt by key and a salt of ``spread``; each salt of a key that occurs takes the key's row of ``found``, so a
-    task gets a key's SALTS-th part and ``found`` grows to SALTS rows a key at most, never beyond the rows themselves."""
+    task gets a key's SALTS-th part and ``found`` grows to SALTS rows a key at most, never beyond the rows themselves. The
+    hint keeps Spark from sending ``rows`` to the tasks of ``found``, where a task would put out all rows of its keys."""
     rows = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
     wanted = rows.select(key, "salt").distinct().join(found, key)
-    return rows.join(wanted, [key, "salt"], how).drop("salt")
+    return rows.join(wanted.hint("merge"), [key, "salt"], how).drop("salt")
 
 
 def components(edges: DataFrame) -> DataFrame:
