@@ -40,11 +40,13 @@ def uniformity_by_size(sizes: DataFrame, uniformity: DataFrame) -> DataFrame:
 
 
 def density_index(nearest: DataFrame) -> DataFrame:
-    """One row: per cluster n times the summed relative deviation of least distances from their mean, over all members."""
+    """One row: per cluster n times the summed relative deviation of least distances from their mean, over all members.
+
+    ``density_index`` takes deviations by sign, so that they cancel and it is 0 but for rounding; ``spread`` takes their sizes."""
     mean = F.avg("nearest").over(Window.partitionBy("cluster_id"))
     dev = nearest.select("cluster_id", F.when(mean != 0, (F.col("nearest") - mean) / mean).otherwise(0.0).alias("d"))
-    per = dev.groupBy("cluster_id").agg((F.count("*") * F.sum("d")).alias("x"), F.count("*").alias("n"))
-    return per.agg((F.sum("x") / F.sum("n")).alias("density_index"))
+    per = dev.groupBy("cluster_id").agg((F.count("*") * F.sum("d")).alias("x"), (F.count("*") * F.sum(F.abs("d"))).alias("y"), F.count("*").alias("n"))
+    return per.agg((F.sum("x") / F.sum("n")).alias("density_index"), (F.sum("y") / F.sum("n")).alias("spread"))
 
 
 def kmer_counts(df: DataFrame, column: str, k: int) -> DataFrame:

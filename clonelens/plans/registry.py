@@ -355,10 +355,10 @@ def uniformity(spark, sf):
     return refine.uniformity(refine.intra_distances(_members(spark, sf), _distance())).select("cluster_id", r6("uniformity").alias("uniformity"))
 
 
-@query(f"{INTRA}, m as (select *, avg(nearest) over (partition by cluster_id) as mean from intra), p as (select count(*) * sum(case when mean <> 0 then (nearest - mean) / mean else 0 end) as x, count(*) as n from m group by cluster_id) select round(abs(sum(x) / sum(n)), 6) as density_index from p")
+@query(f"{INTRA}, m as (select *, avg(nearest) over (partition by cluster_id) as mean from intra), p as (select count(*) * sum(case when mean <> 0 then (nearest - mean) / mean else 0 end) as x, count(*) * sum(case when mean <> 0 then abs(nearest - mean) / mean else 0 end) as y, count(*) as n from m group by cluster_id) select round(abs(sum(x) / sum(n)), 6) as density_index, round(sum(y) / sum(n), 6) as spread from p")
 def density_index(spark, sf):
     nearest = refine.intra_distances(_members(spark, sf), _distance())
-    return diversity.density_index(nearest).select(r6(F.abs("density_index")).alias("density_index"))
+    return diversity.density_index(nearest).select(r6(F.abs("density_index")).alias("density_index"), r6("spread").alias("spread"))
 
 
 INTER = f"{MEDOIDS}, {NEAR}, {INTRA.removeprefix(REPS + ', ')}, inter as (select a.cluster_id, a.id, a.ordinal, b.cluster_id as neighbour, {DIST} as bi, length(a.cdr3_aa) = length(b.cdr3_aa) as same_length from reps a join near on near.c = a.cluster_id join reps b on b.cluster_id = near.neighbour qualify row_number() over (partition by a.id order by {DIST}, b.ordinal) = 1)"
@@ -606,6 +606,32 @@ def lineage_weights(spark, sf):
     return trees.groupBy("clone_rank").agg(F.sum((~F.col("silent")).cast("long")).alias("nodes"), F.sum("dist").cast("long").alias("weight"))
 
 
+TREES = f"{RANKS}, shown as (select * from ranks where clone_rank <= 5 and subclone_rank <= 200 qualify count(*) over (partition by clone_rank) > 1)"
+
+
+@query(f"{TREES} select clone_rank::int as clone_rank, name, 1::bigint as times, reads as abundance, true as hangs, 0::bigint as lean from (select *, 'C' || clone_rank || '-' || subclone_rank as name from shown)")
+def lineage_nodes(spark, sf):
+    """Each sub-clone of the trees: how often it stands there, with what reads, whether its parent does too, and how many silent
+    nodes of its tree have fewer than two children."""
+    trees = lineage.lineages(_top_subclones(spark, sf)).where("complexity = 'all'")
+    kids = trees.groupBy("clone_rank", F.col("parent").alias("child")).agg(F.count("*").alias("kids"))
+    nodes = trees.join(kids, ["clone_rank", "child"], "left").fillna(0, ["kids"])
+    lean = nodes.groupBy("clone_rank").agg(F.count_if(F.col("silent") & (F.col("kids") < 2)).alias("lean"))
+    ups = trees.select("clone_rank", F.col("child").alias("parent"), F.lit(True).alias("known")).distinct()
+    own = nodes.where("not silent and parent is not null").join(ups, ["clone_rank", "parent"], "left").join(lean, "clone_rank")
+    return own.groupBy("clone_rank", F.col("child").alias("name"), "lean").agg(F.count("*").alias("times"), F.sum("abundance").alias("abundance"), F.every(F.coalesce("known", F.lit(False))).alias("hangs"))
+
+
+@query(f"{NODES} select clone_rank::int as clone_rank, (select count(*) from nodes n where n.clone_rank = s.clone_rank) as nodes, sum((k - 1) * coalesce(step, 0))::bigint as weight from spans s group by clone_rank")
+def newick_lengths(spark, sf):
+    """Nodes with reads and summed branch lengths, read back from the Newick texts; the SQL is that of the spanning trees."""
+    texts = export.newick_trees(lineage.lineages(_top_subclones(spark, sf))).where("complexity = 'all'")
+    labels = texts.select("clone_rank", F.explode(F.regexp_extract_all("newick", F.lit("([^(),:;]+)(:[0-9.e+]+)?"), F.lit(0))).alias("label"))
+    parts = labels.withColumn("p", F.split("label", ":")).select("clone_rank", F.get("p", F.lit(0)).alias("name"), F.get("p", F.lit(1)).cast("double").alias("length"))
+    named = F.col("length").isNull() | F.col("name").rlike("^C[0-9]+-[0-9]+$")
+    return parts.groupBy("clone_rank").agg(F.count_if(named).alias("nodes"), F.sum("length").cast("long").alias("weight"))
+
+
 FOREST = NODES.replace("where clone_rank <= 5 and subclone_rank <= 200 qualify", "qualify")
 
 
@@ -639,6 +665,15 @@ def tree_json(spark, sf):
     return export.tree_json(lineage.lineages(_top_subclones(spark, sf)), rollup.top(_shown(spark, sf)))
 
 
+@query(f"{TREES} select clone_rank::int as clone_rank, 'C' || clone_rank || '-' || subclone_rank as name, round(reads / clone_reads * 100, 6) as share, reads from shown")
+def tree_json_nodes(spark, sf):
+    """The sub-clones of the full trees with their share and reads, read back from the JSON."""
+    texts = export.tree_json(lineage.lineages(_top_subclones(spark, sf)), rollup.top(_shown(spark, sf))).where("complexity = 'all'")
+    part = lambda k: F.regexp_extract_all("json", F.lit('"name": "(C[0-9]+-[0-9]+)", "value": ([0-9.e+-]+), "reads": ([0-9]+)'), F.lit(k))
+    rows = texts.select("clone_rank", F.explode(F.arrays_zip(part(1).alias("name"), part(2).alias("share"), part(3).alias("reads"))).alias("x"))
+    return rows.select("clone_rank", "x.name", r6(F.col("x.share").cast("double")).alias("share"), F.col("x.reads").cast("long").alias("reads"))
+
+
 _FACTS = "cdr3 string, functionality string, seq string, v_identity double, region struct<CDR3: array<int>>, uniq_seq array<struct<seq_id: string, reads: long, percentage: double, rank: int>>, sequence string, color string, stroke string, style string"
 
 
