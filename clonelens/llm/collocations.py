@@ -8,7 +8,9 @@ and what no longer has a neighbour is dropped. Each level's table holds its phra
 last words, joined on from the table below, so cuts are scored from the tables alone.
 
 The table of frequent grams is sent to all tasks in blocks of BLOCK_ROWS rows and BLOCK_BYTES bytes of words at most: where
-it has more, the arrays take one more pass for each block. Counts are summed in tasks before they are shuffled.
+it has more, the arrays take one more pass for each block. Counts are summed in tasks before they are shuffled. A batch of
+rows is worked off in runs of rows of about PART_IDS ids or PART_BYTES bytes of text, so that what a task holds besides the
+batch itself does not grow with it.
 
 Defined results: a null text is empty; a null language is `und`; repeated rows count again; ties of score and count are
 ordered by the phrase's bytes; an empty table gives no rows; columns other than the named ones are ignored. Words and texts
@@ -31,6 +33,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK_ROWS, BLOCK_BYTES = 1_000_000, 32 << 20
 HELD = 300_000  # distinct words that a counting task holds
 ROW_IDS = 4096  # ids of a row of the arrays, or more where no 0 parts them
+PART_IDS, PART_BYTES = 1 << 20, 4 << 20  # ids or bytes of a run of rows, or one row's where it has more
 SALTS = 64
 # What remains as white space for split() after this table is the line feed, blank and tab.
 _MAP = bytes.maketrans((UPPER + SEPARATORS).encode(), LOWER.encode() + b"\n" * len(SEPARATORS))
@@ -44,6 +47,20 @@ def _languages(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def _runs(batch, column: str):
+    """``batch`` in runs of whole rows, each of about PART_IDS ids or PART_BYTES bytes in ``column``."""
+    import pyarrow.compute as pc
+
+    values = batch.column(column)
+    texts = column == "text"
+    sizes = (pc.binary_length(values) if texts else pc.list_value_length(values)).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes, dtype=np.int64) // (PART_BYTES if texts else PART_IDS)
+    begin = 0
+    for end in [*(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]:
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) of ``docs`` (lang, text), and a row without word for all words of a language."""
 
@@ -150,12 +167,13 @@ def _pass(rows: DataFrame, block, first: bool, last: bool) -> DataFrame:
     """``rows`` with the ids of one block filled in; after the last block only the squeezed ids are left."""
     keep = [c for c in rows.columns if c != "ids"]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    first_level = "text" in keep
     schema = "prev array<long>" if last else ", ".join(f"{c} {kinds[c]}" for c in keep) + ", ids array<long>"
 
     def run(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in (part for whole in batches for part in _runs(whole, "text" if first_level else "prev")):
             found, ends = block.value.fill(b)
             if not first:
                 found = np.where(found == 0, b.column("ids").flatten().to_numpy(), found)
@@ -191,8 +209,8 @@ def pair_counts(rows: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            x = batch.column("prev").flatten().to_numpy()
+        for part in (part for whole in batches for part in _runs(whole, "prev")):
+            x = part.column("prev").flatten().to_numpy()
             at = neighbours(x)
             a, ia = np.unique(x[at], return_inverse=True)
             b, ib = np.unique(x[at + 1], return_inverse=True)

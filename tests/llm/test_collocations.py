@@ -1,8 +1,10 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import edge_docs, no_docs
 from hypothesis import given, settings
@@ -110,3 +112,56 @@ def test_equals_sql(spark):
 
 def test_equals_sql_of_the_larger_table(spark):
     equals_sql(spark, "op11_collocations", "/root/testdata/sf0.01")
+
+
+class Taken:
+    """Stands for a frame, of which it keeps the function over batches."""
+
+    columns, schema = ["prev"], []
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+    def groupBy(self, *_):
+        return self
+
+    def agg(self, *_):
+        return self
+
+
+def test_memory_of_a_task_does_not_grow_with_its_batch(spark):
+    ids = np.random.default_rng(1).integers(1, 300, (1500, 4096))
+    ids[:, -1] = 0
+    batch = pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(ids.ravel()), 4096).cast(pa.list_(pa.int64()))], ["prev"])
+    frame = Taken()
+    collocations.pair_counts(frame)
+    tracemalloc.start()
+    counts = sum(int(np.sum(b.column("n").to_numpy())) for b in frame.run([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts == 1500 * 4094
+    assert peak < 160e6  # 49 MB in the batch
+
+
+def test_runs_hold_each_row_once(monkeypatch):
+    monkeypatch.setattr(collocations, "PART_IDS", 10)
+    monkeypatch.setattr(collocations, "PART_BYTES", 10)
+    lists = [[1, 0]] * 7 + [[], [2] * 50 + [0], []] + [[3, 4, 0]] * 9
+    texts = ["ab c"] * 7 + ["", "x" * 70, ""] + ["é"] * 9
+    for name, rows, kind in (("prev", lists, pa.list_(pa.int64())), ("text", texts, pa.string())):
+        batch = pa.RecordBatch.from_arrays([pa.array(rows, kind)], [name])
+        runs = [r.column(name).to_pylist() for r in collocations._runs(batch, name)]
+        assert [x for r in runs for x in r] == rows and len(runs) > 3
+        assert list(collocations._runs(batch.slice(0, 0), name))[0].num_rows == 0
+
+
+def test_short_runs_give_the_same(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", None]), " ".join(rng.choice("abcde") for _ in range(30)) + "." + "x y z " * rng.randrange(3)) for _ in range(60)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    kw = dict(min_count=5, block_rows=8)
+    want = sorted(map(tuple, collocations.collocations(docs, **kw).select(*COLUMNS).collect()))
+    monkeypatch.setattr(collocations, "PART_IDS", 40)
+    monkeypatch.setattr(collocations, "PART_BYTES", 100)
+    assert want and sorted(map(tuple, collocations.collocations(docs, **kw).select(*COLUMNS).collect())) == want
