@@ -177,3 +177,18 @@ def test_few_of_many_pairs_are_compared(spark):
     texts = ["".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(rng.randrange(10, 18))) for _ in range(3000)]
     df = spark.createDataFrame(list(enumerate(texts)), "cluster_id long, t string")
     assert refine.near_candidates(df, df, 4).count() < 0.01 * len(texts) ** 2
+
+
+@pytest.mark.parametrize("held, side", [(512, 4096), (3, 6)])
+def test_read_pairs_of_large_and_odd_reads(spark, monkeypatch, held, side):
+    """A read with many copies, nulls, and two reads of one number, which are no pair by their order."""
+    monkeypatch.setattr(refine, "READS", held)
+    monkeypatch.setattr(refine, "SIDE", side)
+    rows = [("V1", "J1", "CASSF", "acgt", i) for i in range(40)] + [(f"V{i % 3}", f"J{i % 2}", "CASS" + "AGH"[i % 3], "acg" + "tca"[i % 3], 100 + i) for i in range(12)]
+    rows += [("V1", "J1", "CAF", "acgg", 7), (None, "J1", "CAF", "acgt", 200), ("V1", None, "CAF", "acgt", 201), ("V1", "J1", "CAF", None, 202)]
+    reads = spark.createDataFrame(rows, "v_call string, j_call string, cdr3_aa string, j_nt string, ordinal long")
+    longest = spark.createDataFrame([(5,)], "cdr3 int")
+    got = refine.read_pairs(reads, longest, 6).collect()
+    met = reads.alias("a").join(reads.alias("b"), (F.col("a.j_call") == F.col("b.j_call")) & (F.col("a.ordinal") < F.col("b.ordinal")))
+    want = met.select("a.ordinal", "b.ordinal", F.round(refine.pair_distance("a", "b", F.lit(5)), 6)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
