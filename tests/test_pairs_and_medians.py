@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -192,3 +193,19 @@ def test_read_pairs_of_large_and_odd_reads(spark, monkeypatch, held, side):
     met = reads.alias("a").join(reads.alias("b"), (F.col("a.j_call") == F.col("b.j_call")) & (F.col("a.ordinal") < F.col("b.ordinal")))
     want = met.select("a.ordinal", "b.ordinal", F.round(refine.pair_distance("a", "b", F.lit(5)), 6)).collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
+
+
+def test_read_pairs_of_one_gene_are_dealt_to_all_tasks_in_runs(spark):
+    """4000 reads of one J gene fit one tile of SIDE; a task's pairs come in runs of one earlier read."""
+    reads = spark.range(4000).select(F.lit("V1").alias("v_call"), F.lit("J1").alias("j_call"), F.concat(F.lit("CA"), F.col("id") % 10).alias("cdr3_aa"), F.concat(F.lit("acg"), F.col("id") % 20).alias("j_nt"), F.col("id").alias("ordinal"))
+    pairs = refine.read_pairs(reads, spark.createDataFrame([(3,)], "cdr3 int"), 6).withColumn("task", F.spark_partition_id())
+
+    def shares(batches):
+        for t in batches:
+            a = t.column("a").to_numpy()
+            yield pa.record_batch([pa.array([t.column("task")[0].as_py()], pa.int32()), pa.array([len(a)]), pa.array([int((a[1:] != a[:-1]).sum()) + 1])], ["task", "n", "runs"])
+
+    got = pairs.mapInArrow(shares, "task int, n long, runs long").groupBy("task").agg(F.sum("n").alias("n"), F.sum("runs").alias("runs")).collect()
+    assert sum(r.n for r in got) == 4000 * 3999 // 2
+    assert max(r.n for r in got) < 0.5 * 4000 * 3999 / 2
+    assert sum(r.runs for r in got) < 0.2 * sum(r.n for r in got)
