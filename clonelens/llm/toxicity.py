@@ -68,7 +68,8 @@ def distinct_tokens(texts) -> tuple[list[str], np.ndarray, np.ndarray]:
     import pyarrow.compute as pc
 
     low = pc.utf8_lower(texts)
-    pieces = pc.utf8_split_whitespace(low)
+    # Trimmed, as Arrow reads past the last row's end for the end of its blanks, and by what lies there may leave them on.
+    pieces = pc.utf8_split_whitespace(pc.utf8_rtrim_whitespace(low))
     row = np.repeat(np.arange(len(low)), pc.list_value_length(pieces).to_numpy().astype(np.int64))
     coded = pieces.flatten().dictionary_encode()
     words, word = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)

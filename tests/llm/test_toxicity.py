@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from cases import edge_docs, no_docs
 from pyspark.sql import functions as F
 
@@ -78,6 +79,17 @@ def test_units_of_rows():
     assert {(r, units[u]) for r, u in zip(row.tolist(), unit.tolist(), strict=True)} == {(0, text("one")), (0, text("two")), (1, text("two")), (1, text("2"))}
 
 
+def test_blanks_at_the_end_of_the_last_row(monkeypatch):
+    """Whatever bytes lie behind an array's last row."""
+    rows = [b"one two ", b" pad \xe2\x80\x83"]
+    ends = pa.py_buffer(np.cumsum([0, *map(len, rows)]).astype(np.int32).tobytes())
+    for behind in (b"\0", b" ", b"x", b"\xff", b"\xc3", b"\xe2\x80"):
+        texts = pa.StringArray.from_buffers(len(rows), ends, pa.py_buffer(b"".join(rows) + behind * 32))
+        monkeypatch.setattr(pc, "utf8_lower", lambda x: x)
+        words, row, word = t.distinct_tokens(texts)
+        assert sorted((r, words[w]) for r, w in zip(row.tolist(), word.tolist(), strict=True)) == [(0, "one"), (0, "two"), (1, "pad")]
+
+
 def test_top_margins():
     weights = np.random.default_rng(1).normal(size=g.CODES).astype(np.float32)
     weights[0] = 0  # no subsequence
